@@ -1,32 +1,24 @@
-"""Geometry expressions."""
-
-import math
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+"""Geometry expressions, as SQL text."""
 
 # Sphere radius in km, and the step in degrees between circle vertices.
 EARTH_RADIUS_KM = 6378.8
 CIRCLE_STEP_DEG = 10
 
 
-def circle_vertex(lat, lon, radius_m, bearing) -> tuple[Column, Column]:
+def circle_vertex(lat: str, lon: str, radius_m: str, bearing: str) -> tuple[str, str]:
     """Point at ``radius_m`` metres from (lat, lon) on the sphere, west of north
-    by ``bearing`` degrees; longitude comes back in [-180, 180).
+    by ``bearing`` degrees; the longitude lies in [-180, 180).
 
-    All constants are double literals; a decimal literal would be cut to a few digits.
+    Constants are double literals; decimal ones would be cut to a few digits.
     """
-    phi, lam, turn = F.radians(lat), F.radians(lon), F.radians(bearing)
-    arc = radius_m / F.lit(1000.0) / F.lit(EARTH_RADIUS_KM)
-    phi2 = F.asin(F.sin(phi) * F.cos(arc) + F.cos(phi) * F.sin(arc) * F.cos(turn))
-    shift = F.atan2(
-        F.sin(turn) * F.sin(arc) * F.cos(phi),
-        F.cos(arc) - F.sin(phi) * F.sin(phi2),
-    )
-    lam2 = F.pmod(lam - shift + F.lit(math.pi), F.lit(2 * math.pi)) - F.lit(math.pi)
-    return F.degrees(phi2), F.degrees(lam2)
+    arc = f"({radius_m} / 1000D / {EARTH_RADIUS_KM}D)"
+    phi, turn = f"radians({lat})", f"radians({bearing})"
+    phi2 = f"asin(sin({phi}) * cos({arc}) + cos({phi}) * sin({arc}) * cos({turn}))"
+    shift = f"atan2(sin({turn}) * sin({arc}) * cos({phi}), cos({arc}) - sin({phi}) * sin({phi2}))"
+    lam2 = f"pmod(radians({lon}) - {shift} + pi(), 2D * pi()) - pi()"
+    return f"degrees({phi2})", f"degrees({lam2})"
 
 
-def round6(x) -> Column:
+def round6(x: str) -> str:
     """Six decimals, with minus zero turned into zero."""
-    return F.round(x, 6) + F.lit(0.0)
+    return f"round({x}, 6) + 0D"

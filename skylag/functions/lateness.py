@@ -3,10 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LATE = 4
 
-
-def lateness_branch(time="time", eta="eta", dep_time="dep_time") -> Column:
+def lateness_branch() -> Column:
     """Which part of the rule decides a sample: 1, 2, 3 = on time, 4 = late.
 
     Hours are UTC hours of the day; ``time`` may run past 24 on an overnight flight.
@@ -25,26 +23,18 @@ def lateness_branch(time="time", eta="eta", dep_time="dep_time") -> Column:
     A NaN estimate is late. Spark sorts NaN above all numbers, so that case
     needs its own test; a NaN time or departure falls through to late by itself.
     """
-    t, e, d = F.col(time), F.col(eta), F.col(dep_time)
-    return (
-        F.when(F.isnan(e), LATE)
-        .when(t <= e, 1)
-        .when((d > e) & (t >= d) & (t <= 24), 2)
-        .when((t > 24) & (t % 24 < e), 3)
-        .otherwise(LATE)
-    )
-
-
-def is_late(time="time", eta="eta", dep_time="dep_time") -> Column:
-    return lateness_branch(time, eta, dep_time) == LATE
+    return F.expr("""
+        CASE WHEN isnan(eta) THEN 4
+             WHEN time <= eta THEN 1
+             WHEN dep_time > eta AND time >= dep_time AND time <= 24 THEN 2
+             WHEN time > 24 AND time % 24 < eta THEN 3
+             ELSE 4 END""")
 
 
-def late_label(late="late") -> Column:
-    """``r`` for late, ``k`` for on time; both are colour codes of the map layers."""
-    return F.when(F.col(late), "r").otherwise("k")
+def is_late() -> Column:
+    return lateness_branch() == 4
 
 
-def delay_hours(time="time", eta="eta") -> Column:
+def delay_hours() -> Column:
     """Hours past the estimated arrival, null where not positive or not a number."""
-    hours = F.col(time) - F.col(eta)
-    return F.when((hours > 0) & ~F.isnan(hours), hours)
+    return F.expr("CASE WHEN time - eta > 0 AND NOT isnan(time - eta) THEN time - eta END")

@@ -1,53 +1,41 @@
-"""Number and text formats of the report and of marker comments."""
+"""Number and text formats of the report and of marker comments.
 
-from functools import reduce
+The functions take and give SQL text, because the formats nest deeply.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def two_decimals(x) -> Column:
+def two_decimals(x: str) -> str:
     """Two-decimal text, built from whole hundredths.
 
     ``format_string('%.2f')`` rounds the decimal text of the value while other
     engines round the binary value; integers give the same text everywhere.
     """
-    x = F.col(x) if isinstance(x, str) else x
-    hundredths = F.floor(F.abs(x) * 100 + 0.5).cast("bigint")
-    text = F.concat(
-        F.when(x < 0, "-").otherwise(""),
-        F.floor(hundredths / 100).cast("bigint").cast("string"),
-        F.lit("."),
-        F.lpad((hundredths % 100).cast("string"), 2, "0"),
-    )
-    return F.when(F.isnan(x), "nan").otherwise(text)
+    hundredths = f"cast(floor(abs({x}) * 100 + 0.5D) AS bigint)"
+    return f"""CASE WHEN isnan({x}) THEN 'nan' ELSE concat(
+        CASE WHEN {x} < 0 THEN '-' ELSE '' END,
+        cast({hundredths} div 100 AS string), '.', lpad(cast({hundredths} % 100 AS string), 2, '0')) END"""
 
 
-def short_number(x) -> Column:
+def short_number(x: str) -> str:
     """A double as text with at most 12 significant digits: 4.75, 10.0, 0.808333333333."""
-    x = F.col(x) if isinstance(x, str) else x
-    steps = [(10.0 ** k, 11 - k) for k in range(-2, 7)]
-    rounded = reduce(
-        lambda smaller, step: F.when(F.abs(x) >= step[0], F.round(x, step[1])).otherwise(smaller),
-        steps,
-        F.round(x, 14),
+    steps = " ".join(
+        f"WHEN abs({x}) >= {10.0 ** k!r}D THEN round({x}, {11 - k})" for k in range(6, -3, -1)
     )
-    return rounded.cast("string")
+    return f"cast(CASE {steps} ELSE round({x}, 14) END AS string)"
 
 
-def flight_date() -> Column:
-    """The sample date without zero padding: 2004-5-1."""
-    return F.concat_ws("-", *[F.col(c).cast("string") for c in ("year", "month", "day")])
+# The sample date without zero padding: 2004-5-1.
+FLIGHT_DATE = "concat(year, '-', month, '-', day)"
 
 
-def marker_comment(first_eta, first_arpt, time) -> Column:
+def marker_comment(first_eta: str, first_arpt: str, time: str) -> str:
     """Comment of a marker; lines end in the two characters backslash and n."""
-    eol = F.lit("\\n")
-    return F.concat(
-        F.lit("Flight ID: "), F.col("flight_id"), eol,
-        F.lit("Date: "), flight_date(), eol,
-        F.lit("Departed Time: "), short_number("dep_time"), eol,
-        F.lit("ETA: "), short_number(first_eta), eol,
-        F.lit("Airport: "), first_arpt, eol,
-        F.lit("Time: "), short_number(time), eol,
-    )
+    lines = {
+        "Flight ID": "flight_id",
+        "Date": FLIGHT_DATE,
+        "Departed Time": short_number("dep_time"),
+        "ETA": short_number(first_eta),
+        "Airport": first_arpt,
+        "Time": short_number(time),
+    }
+    return "concat(" + ", ".join(f"'{name}: ', {text}, r'\\n'" for name, text in lines.items()) + ")"

@@ -8,7 +8,7 @@ shuffle as one row per task.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.functions.lateness import delay_hours, is_late, late_label, lateness_branch
+from skylag.functions.lateness import delay_hours, is_late, lateness_branch
 from skylag.schema import KEY, ORDER, SAMPLE_COLUMNS
 
 
@@ -18,12 +18,12 @@ def project_samples(samples: DataFrame) -> DataFrame:
 
 
 def label_samples(samples: DataFrame) -> DataFrame:
-    """Projected samples with ``late`` and its label, computed once."""
-    return (
-        project_samples(samples)
-        .withColumn("late", is_late())
-        .withColumn("label", late_label())
-    )
+    """Projected samples with ``late`` and ``label``: r for late, k for on time.
+
+    The labels are colour codes of the map layers.
+    """
+    late = project_samples(samples).select("*", is_late().alias("late"))
+    return late.select("*", F.expr("if(late, 'r', 'k') AS label"))
 
 
 def late_samples(samples: DataFrame) -> DataFrame:
@@ -56,16 +56,12 @@ def flight_delay(samples: DataFrame) -> DataFrame:
         F.bool_or(is_late()).alias("late"),
         F.max(delay_hours()).alias("delay"),
     )
-    ranked = F.when(
-        F.col("delay").isNotNull(), F.struct((-F.col("delay")).alias("minus"), "craft_type")
-    )
     per_flight = per_craft.groupBy(*KEY).agg(
-        F.bool_or("late").alias("late"), F.min(ranked).alias("top")
+        F.bool_or("late").alias("late"),
+        F.expr("min(CASE WHEN delay IS NOT NULL THEN struct(-delay AS minus, craft_type) END) AS top"),
     )
-    return per_flight.where("late").select(
-        *KEY,
-        F.col("top.craft_type").alias("craft_type"),
-        F.coalesce(-F.col("top.minus"), F.lit(0.0)).alias("delay"),
+    return per_flight.where("late").selectExpr(
+        *KEY, "top.craft_type AS craft_type", "coalesce(-top.minus, 0D) AS delay"
     )
 
 
@@ -84,36 +80,37 @@ def delay_summary(delays: DataFrame) -> DataFrame:
     largest and the smallest delay. Without delayed flights the count is 0 and
     the rest null."""
     flight = [*KEY, "craft_type"]
-    stats = delays.agg(
+    columns = ", ".join(flight)
+    stats = delays.selectExpr("delay", f"struct(delay, {columns}) AS up", f"struct(-delay AS minus, {columns}) AS down")
+    stats = stats.agg(
         F.count("*").alias("delayed_flights"),
         F.avg("delay").alias("avg_delay"),
-        F.min(F.struct((-F.col("delay")).alias("minus"), *flight)).alias("longest"),
-        F.min(F.struct("delay", *flight)).alias("shortest"),
+        F.min("down").alias("longest"),
+        F.min("up").alias("shortest"),
     )
-    return stats.select(
+    return stats.selectExpr(
         "delayed_flights",
         "avg_delay",
-        *[F.col(f"longest.{c}").alias(f"max_{c}") for c in flight],
-        (-F.col("longest.minus")).alias("max_delay"),
-        *[F.col(f"shortest.{c}").alias(f"min_{c}") for c in flight],
-        F.col("shortest.delay").alias("min_delay"),
+        *[f"longest.{c} AS max_{c}" for c in flight],
+        "-longest.minus AS max_delay",
+        *[f"shortest.{c} AS min_{c}" for c in flight],
+        "shortest.delay AS min_delay",
     )
 
 
 def flight_ends(samples: DataFrame) -> DataFrame:
     """First sample and first late sample of each delayed flight, as structs of ORDER."""
-    sample = F.struct(*ORDER)
-    ends = project_samples(samples).groupBy(*KEY).agg(
-        F.min(sample).alias("first"), F.min(F.when(is_late(), sample)).alias("first_late")
+    sample = project_samples(samples).select(
+        *KEY, F.struct(*ORDER).alias("sample"), is_late().alias("late")
+    )
+    ends = sample.groupBy(*KEY).agg(
+        F.min("sample").alias("first"), F.expr("min(CASE WHEN late THEN sample END) AS first_late")
     )
-    return ends.where(F.col("first_late").isNotNull())
+    return ends.where("first_late IS NOT NULL")
 
 
 def first_sample_attrs(samples: DataFrame) -> DataFrame:
     """Estimated arrival and arrival airport of a delayed flight's earliest sample."""
-    return flight_ends(samples).select(
-        *KEY,
-        F.col("first.time").alias("first_time"),
-        F.col("first.eta").alias("first_eta"),
-        F.col("first.arpt").alias("first_arpt"),
+    return flight_ends(samples).selectExpr(
+        *KEY, "first.time AS first_time", "first.eta AS first_eta", "first.arpt AS first_arpt"
     )

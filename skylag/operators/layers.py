@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from skylag.functions.colors import hex_color, resolve_colors
 from skylag.functions.geo import CIRCLE_STEP_DEG, circle_vertex
-from skylag.functions.text import flight_date, marker_comment
+from skylag.functions.text import FLIGHT_DATE, marker_comment
 from skylag.operators.delays import flight_ends
 from skylag.schema import KEY
 
@@ -54,31 +54,27 @@ def segment_layer(segments: DataFrame) -> DataFrame:
 
 def first_late_marker(samples: DataFrame) -> DataFrame:
     """One marker per delayed flight, at its first late sample."""
-    return flight_ends(samples).select(
+    comment = marker_comment("first.eta", "first.arpt", "first_late.time")
+    return flight_ends(samples).selectExpr(
         *KEY,
-        F.col("first_late.time").alias("time"),
-        F.col("first_late.lat").alias("lat"),
-        F.col("first_late.lon").alias("lon"),
-        marker_comment("first.eta", F.col("first.arpt"), "first_late.time").alias("comment"),
-        F.lit(MARKER_COLOR).alias("color"),
+        "first_late.time AS time", "first_late.lat AS lat", "first_late.lon AS lon",
+        f"{comment} AS comment",
+        f"'{MARKER_COLOR}' AS color",
     )
 
 
 def track_geojson(paths: DataFrame) -> DataFrame:
     """Each path as a GeoJSON line. The later pieces of a long flight start at the
     last point of the piece before; a flight of one sample has no line."""
-    lead = F.col("path")[0]
-    points = F.transform("path", lambda p: F.array(p["lon"], p["lat"]))
-    line = F.when(
-        F.col("start") > 1, F.concat(F.array(F.array(lead["prev_lon"], lead["prev_lat"])), points)
-    ).otherwise(points)
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(F.lit("LineString").alias("type"), line.alias("coordinates")).alias("geometry"),
-        F.struct("flight_id", flight_date().alias("date"), "dep_time").alias("properties"),
-    )
-    return paths.where((F.col("samples") > 1) | (F.col("start") > 1)).select(
-        *KEY, "start", F.to_json(feature).alias("geojson")
+    points = "transform(path, p -> array(p.lon, p.lat))"
+    return paths.where("samples > 1 OR start > 1").selectExpr(
+        *KEY, "start",
+        f"""to_json(struct(
+            'Feature' AS type,
+            struct('LineString' AS type,
+                   if(start > 1, concat(array(array(path[0].prev_lon, path[0].prev_lat)), {points}), {points})
+                   AS coordinates) AS geometry,
+            struct(flight_id, {FLIGHT_DATE} AS date, dep_time) AS properties)) AS geojson""",
     )
 
 
@@ -92,28 +88,28 @@ def point_layer(points: DataFrame) -> DataFrame:
     })
 
 
-def circle_ring(points: DataFrame, radius="radius") -> DataFrame:
+def circle_ring(points: DataFrame, radius: str = "radius") -> DataFrame:
     """Vertices of a circle around each point: 36 rows with ``bearing, ring_lat, ring_lon``.
 
     ``radius`` is in metres; 0 or null means the default point size.
     """
-    metres = F.coalesce(F.nullif(F.col(radius), F.lit(0)), F.lit(POINT_SIZE)).cast("double")
-    bearings = F.sequence(F.lit(0), F.lit(360 - CIRCLE_STEP_DEG), F.lit(CIRCLE_STEP_DEG))
-    spread = points.select("*", F.explode(bearings).alias("bearing"))
-    lat, lon = circle_vertex(F.col("lat"), F.col("lon"), metres, F.col("bearing"))
-    return spread.select("*", lat.alias("ring_lat"), lon.alias("ring_lon"))
+    spread = points.select("*", F.expr(f"explode({_BEARINGS}) AS bearing"))
+    lat, lon = circle_vertex("lat", "lon", _metres(radius), "bearing")
+    return spread.selectExpr("*", f"{lat} AS ring_lat", f"{lon} AS ring_lon")
 
 
-def circle_layer(points: DataFrame, radius="radius") -> DataFrame:
+def circle_layer(points: DataFrame, radius: str = "radius") -> DataFrame:
     """Each point with its circle as one array of vertices."""
-    metres = F.coalesce(F.nullif(F.col(radius), F.lit(0)), F.lit(POINT_SIZE)).cast("double")
-    bearings = F.sequence(F.lit(0), F.lit(360 - CIRCLE_STEP_DEG), F.lit(CIRCLE_STEP_DEG))
+    lat, lon = circle_vertex("lat", "lon", _metres(radius), "bearing")
+    ring = f"transform({_BEARINGS}, bearing -> struct({lat} AS lat, {lon} AS lon)) AS ring"
+    return points.selectExpr("*", ring)
+
+
+_BEARINGS = f"sequence(0, {360 - CIRCLE_STEP_DEG}, {CIRCLE_STEP_DEG})"
 
-    def vertex(bearing):
-        lat, lon = circle_vertex(F.col("lat"), F.col("lon"), metres, bearing)
-        return F.struct(lat.alias("lat"), lon.alias("lon"))
 
-    return points.select("*", F.transform(bearings, vertex).alias("ring"))
+def _metres(radius: str) -> str:
+    return f"cast(coalesce(nullif({radius}, 0), {POINT_SIZE}) AS double)"
 
 
 def sample_density(
@@ -152,30 +148,17 @@ def grid_lines(specs: DataFrame) -> DataFrame:
     An axis has as many lines as whole steps fit between its bounds; all lines
     are moved by half a step on both axes. The black line colour is added.
     """
-    half_lat, half_lon = F.col("lat_step") / 2, F.col("lon_step") / 2
-
-    def axis(name: str):
-        """Line numbers of one axis."""
-        low, high, step = (F.col(f"{name}_{part}") for part in ("min", "max", "step"))
-        count = ((high - low) / step).cast("bigint")
-        return F.when(count > 0, F.sequence(F.lit(0).cast("bigint"), count - 1))
-
-    def line(name: str):
-        def build(i):
-            at = F.col(f"{name}_min") + i.cast("double") * F.col(f"{name}_step")
-            at = at + (half_lat if name == "lat" else half_lon)
-            along_lat = (at, at) if name == "lat" else (F.col("lat_min") + half_lat, F.col("lat_max") + half_lat)
-            along_lon = (at, at) if name == "lon" else (F.col("lon_min") + half_lon, F.col("lon_max") + half_lon)
-            return F.struct(
-                F.lit(name).alias("axis"), i.alias("line"),
-                along_lat[0].alias("lat_from"), along_lat[1].alias("lat_to"),
-                along_lon[0].alias("lon_from"), along_lon[1].alias("lon_to"),
-            )
-        return build
-
-    none = F.array().cast("array<bigint>")
-    lines = F.concat(*[
-        F.transform(F.coalesce(axis(name), none), line(name)) for name in ("lat", "lon")
-    ])
+    def numbers(axis):
+        count = f"cast(({axis}_max - {axis}_min) / {axis}_step AS bigint)"
+        return f"if({count} > 0, sequence(0L, {count} - 1L), cast(array() AS array<bigint>))"
+
+    def lines(axis):
+        ends = {name: (f"{name}_min + {name}_step / 2", f"{name}_max + {name}_step / 2") for name in ("lat", "lon")}
+        ends[axis] = (f"{axis}_min + i * {axis}_step + {axis}_step / 2",) * 2
+        fields = [f"{text} AS {name}_{end}" for name, pair in ends.items() for end, text in zip(("from", "to"), pair)]
+        return f"transform({numbers(axis)}, i -> struct('{axis}' AS axis, i AS line, {', '.join(fields)}))"
+
     keep = [c for c in specs.columns if not c.startswith(("lat_", "lon_"))]
-    return specs.select(*keep, F.inline(lines)).withColumn("color", F.lit("#000000"))
+    return specs.selectExpr(*keep, f"inline(concat({lines('lat')}, {lines('lon')}))").select(
+        "*", F.lit("#000000").alias("color")
+    )

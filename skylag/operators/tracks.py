@@ -1,4 +1,4 @@
-"""Ordered samples of flights: position, previous point, segments, paths.
+"""Ordered samples of delayed flights: position, previous point, segments, paths.
 
 One flight may hold a large share of all samples, and a window over the flight
 would put all of it into one task. Heavy flights are therefore cut into chunks of
@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylag.functions.lateness import is_late
-from skylag.operators.delays import label_samples
+from skylag.operators.delays import delayed_flight_keys, label_samples
 from skylag.schema import KEY, ORDER
 
 # A flight with more samples than this is heavy. A heavy flight gets one chunk per
 # this many samples.
 CHUNK_SAMPLES = 1_000_000
-# The heavy flights are broadcast. This bounds them; any flight left out is smaller
+# The heavy flights are broadcast. This bounds them; any flight left out is no larger
 # than each of these, so holds less than 1/1000 of the samples, and stays in one chunk.
 HEAVY_FLIGHTS = 1000
 # Longest path kept in one row.
@@ -27,7 +27,7 @@ CHUNK = [*KEY, "chunk"]
 
 def flight_summary(samples: DataFrame) -> DataFrame:
     """Per flight: number of samples, whether any is late, first and last finite time."""
-    finite = F.when(F.abs("time") < F.lit(float("inf")), F.col("time"))
+    finite = F.expr("CASE WHEN abs(time) < double('infinity') THEN time END")
     return samples.groupBy(*KEY).agg(
         F.count("*").alias("samples"),
         F.bool_or(is_late()).alias("any_late"),
@@ -37,16 +37,16 @@ def flight_summary(samples: DataFrame) -> DataFrame:
 
 
 def heavy_flights(summary: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> DataFrame:
-    """The flights to cut, at most HEAVY_FLIGHTS rows."""
+    """The flights to cut, at most HEAVY_FLIGHTS rows, with their number of chunks.
+
+    A heavy flight without a late sample gets 0 chunks: none of its samples is wanted.
+    """
+    chunks = f"if(any_late, cast(ceil(samples / {chunk_samples}) AS int), 0)"
     return (
         summary.where(F.col("samples") > chunk_samples)
         .orderBy(F.desc("samples"), *KEY)
         .limit(HEAVY_FLIGHTS)
-        .select(
-            *KEY, "t_low", "t_high",
-            F.col("any_late").alias("heavy_late"),
-            F.ceil(F.col("samples") / chunk_samples).cast("int").alias("chunks"),
-        )
+        .selectExpr(*KEY, "t_low", "t_high", f"coalesce({chunks}, 0) AS chunks")
     )
 
 
@@ -55,102 +55,87 @@ def cut_flights(samples: DataFrame, heavy: DataFrame) -> DataFrame:
 
     The chunk never falls as time grows, so chunks follow each other in sample order.
     It depends on exact values only; a task that runs again gives the same chunk.
+    Samples of heavy flights that are on time are dropped here, before any shuffle.
     """
-    part = (F.col("time") - F.col("t_low")) / (F.col("t_high") - F.col("t_low"))
-    chunk = (
-        F.when(F.col("chunks").isNull(), 0)
-        .when(F.col("time") >= F.col("t_high"), F.col("chunks") - 1)
-        .when(F.col("time") <= F.col("t_low"), 0)
-        .otherwise(F.least(F.floor(part * F.col("chunks")), F.col("chunks") - 1))
-    )
+    chunk = F.expr("""cast(
+        CASE WHEN chunks IS NULL OR time <= t_low THEN 0
+             WHEN time >= t_high THEN greatest(chunks - 1, 0)
+             ELSE least(floor((time - t_low) / (t_high - t_low) * chunks), chunks - 1) END AS int)""")
     return (
         samples.join(F.broadcast(heavy), KEY, "left")
-        .withColumn("chunk", chunk.cast("int"))
+        .withColumn("chunk", chunk)
         .drop("t_low", "t_high")
+        .where("chunk < coalesce(chunks, 1)")
     )
 
 
-def delayed_chunks(summary: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Key and chunk of every delayed flight; the small side of the semi join."""
-    return (
-        summary.where("any_late")
-        .join(F.broadcast(heavy.select(*KEY, "chunks")), KEY, "left")
-        .select(*KEY, F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)).alias("chunk"))
-    )
-
-
-def _delayed_cut(samples: DataFrame, chunk_samples: int) -> DataFrame:
-    summary = flight_summary(samples)
-    heavy = heavy_flights(summary, chunk_samples)
-    cut = cut_flights(label_samples(samples), heavy)
-    return cut.join(delayed_chunks(summary, heavy), CHUNK, "left_semi")
-
-
-def delayed_flight_samples(samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> DataFrame:
-    """All samples, late or not, of every flight with a late sample.
-
-    Keys are found by a small aggregate first, then a semi join on key and chunk
-    keeps the samples. Spark broadcasts the keys if they turn out small;
-    otherwise both sides are shuffled, with heavy flights spread over their chunks.
-    """
-    return _delayed_cut(samples, chunk_samples).drop("heavy_late", "chunks", "chunk")
-
-
-def delayed_flight_samples_window(
-    samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES
-) -> DataFrame:
-    """The same rows from a window instead of a join: one shuffle of all samples.
-
-    For heavy flights the flag comes with the broadcast row.
-    """
-    heavy = heavy_flights(flight_summary(samples), chunk_samples)
-    flagged = cut_flights(label_samples(samples), heavy).withColumn(
-        "any_late",
-        F.coalesce("heavy_late", F.bool_or("late").over(Window.partitionBy(*CHUNK))),
-    )
-    return flagged.where("any_late").drop("heavy_late", "any_late", "chunks", "chunk")
-
-
 def chunk_ends(cut: DataFrame) -> DataFrame:
-    """For each chunk of a heavy flight: samples before it, and the point before it."""
+    """For each chunk of a heavy flight: samples before it, the last point before it,
+    and whether it is the last chunk. Empty, and cheap, without heavy flights."""
     ends = (
-        cut.where(F.col("chunks").isNotNull())
+        cut.where("chunk < chunks")
         .groupBy(*CHUNK)
         .agg(F.count("*").alias("n"), F.max(F.struct(*ORDER)).alias("last"))
     )
-    earlier = Window.partitionBy(*KEY).orderBy("chunk")
+    by_chunk = Window.partitionBy(*KEY).orderBy("chunk")
     return ends.select(
         *CHUNK,
-        F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-        F.lag("last").over(earlier).alias("carry"),
+        F.sum("n").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.lag("last").over(by_chunk).alias("carry"),
+        F.lead("n").over(by_chunk).isNotNull().alias("goes_on"),
     )
 
 
-def number_samples(cut: DataFrame) -> DataFrame:
-    """Add the position ``seq`` in the flight (from 1) and the previous point.
+def delayed_tracks(samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> DataFrame:
+    """All samples of the delayed flights with position ``seq`` (from 1), previous
+    point and ``is_last``.
 
-    One shuffle by key and chunk, shared with the semi join before it; the chunk
-    ends are joined on the same columns and do not move the samples again.
+    One shuffle of the samples, by key and chunk. The window that orders them also
+    tells whether the flight is delayed, so no join with the delayed keys is needed;
+    for heavy flights the broadcast row tells it. The chunk ends are joined on the
+    columns of the same shuffle.
     """
+    heavy = heavy_flights(flight_summary(samples), chunk_samples)
+    cut = cut_flights(label_samples(samples), heavy)
     in_chunk = Window.partitionBy(*CHUNK).orderBy(*ORDER)
+    whole = in_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = cut.select(
         "*",
         F.row_number().over(in_chunk).alias("chunk_seq"),
-        F.lag(F.struct("lat", "lon")).over(in_chunk).alias("prev"),
-    )
-    rows = rows.join(chunk_ends(cut), CHUNK, "left")
-    return rows.select(
-        *[c for c in cut.columns if c not in ("heavy_late", "chunks")],
+        F.lag("lat").over(in_chunk).alias("lag_lat"),
+        F.lag("lon").over(in_chunk).alias("lag_lon"),
+        F.lead("time").over(in_chunk).isNull().alias("ends_chunk"),
+        F.bool_or("late").over(whole).alias("any_late"),
+    ).where("any_late OR chunks IS NOT NULL")
+    return rows.join(chunk_ends(cut), CHUNK, "left").selectExpr(
+        *[c for c in cut.columns if c != "chunks"],
         "chunk_seq",
-        (F.coalesce("before", F.lit(0)) + F.col("chunk_seq")).cast("bigint").alias("seq"),
-        F.coalesce("prev.lat", "carry.lat").alias("prev_lat"),
-        F.coalesce("prev.lon", "carry.lon").alias("prev_lon"),
+        "coalesce(before, 0) + chunk_seq AS seq",
+        "coalesce(lag_lat, carry.lat) AS prev_lat",
+        "coalesce(lag_lon, carry.lon) AS prev_lon",
+        "ends_chunk AND NOT coalesce(goes_on, false) AS is_last",
     )
 
 
-def delayed_tracks(samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> DataFrame:
-    """Numbered samples of all delayed flights."""
-    return number_samples(_delayed_cut(samples, chunk_samples))
+def delayed_flight_samples(samples: DataFrame) -> DataFrame:
+    """All samples, late or not, of every flight with a late sample, by semi join.
+
+    Spark broadcasts the keys if they turn out small. Otherwise both sides are
+    shuffled, and adaptive execution splits the samples of a heavy flight: a left
+    semi join can be split on its left side.
+    """
+    keys = delayed_flight_keys(samples)
+    return label_samples(samples).join(keys, KEY, "left_semi")
+
+
+def delayed_flight_samples_window(
+    samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES
+) -> DataFrame:
+    """The same rows from a window over the flight, cut where it is heavy."""
+    heavy = heavy_flights(flight_summary(samples), chunk_samples)
+    cut = cut_flights(label_samples(samples), heavy)
+    flagged = cut.withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*CHUNK)))
+    return flagged.where("any_late OR chunks IS NOT NULL").drop("any_late", "chunks", "chunk")
 
 
 def track_segments(tracks: DataFrame) -> DataFrame:
@@ -158,10 +143,9 @@ def track_segments(tracks: DataFrame) -> DataFrame:
 
     A flight with one sample has none.
     """
-    return tracks.where(F.col("seq") > 1).select(
+    return tracks.where("seq > 1").selectExpr(
         *KEY, "seq",
-        F.col("prev_lat").alias("from_lat"), F.col("prev_lon").alias("from_lon"),
-        F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"),
+        "prev_lat AS from_lat", "prev_lon AS from_lon", "lat AS to_lat", "lon AS to_lon",
         "label",
     )
 
@@ -173,16 +157,12 @@ def flight_tracks(tracks: DataFrame, path_samples: int = PATH_SAMPLES) -> DataFr
     by the position ``start`` of their first sample. Rows stay bounded, and the
     pieces of a chunk are collected where the chunk already is.
     """
-    piece = F.floor((F.col("chunk_seq") - 1) / path_samples)
-    sample = F.struct("seq", "time", "lat", "lon", "eta", "label", "arpt", "craft_type", "prev_lat", "prev_lon")
+    sample = F.struct(
+        "seq", "time", "lat", "lon", "eta", "label", "arpt", "craft_type", "prev_lat", "prev_lon"
+    )
     pieces = (
-        tracks.withColumn("piece", piece)
+        tracks.withColumn("piece", F.expr(f"(chunk_seq - 1) div {path_samples}"))
         .groupBy(*CHUNK, "piece")
         .agg(F.sort_array(F.collect_list(sample)).alias("path"))
     )
-    return pieces.select(
-        *KEY,
-        F.col("path")[0]["seq"].alias("start"),
-        F.size("path").alias("samples"),
-        "path",
-    )
+    return pieces.selectExpr(*KEY, "path[0].seq AS start", "size(path) AS samples", "path")

@@ -72,7 +72,6 @@ def delay_report(
     summary = delays.delay_summary(flight_delays)
     ordered = tracks.delayed_tracks(scoped, chunk_samples)
     paths = tracks.flight_tracks(ordered)
-    flights = tracks.flight_summary(scoped).where("any_late")
     return DelayReport(
         area=area,
         center=scope.area_center(area),
@@ -81,7 +80,7 @@ def delay_report(
         summary=summary,
         tracks=ordered,
         paths=paths,
-        lines=report.report_lines(summary, flights, ordered),
+        lines=report.report_lines(summary, ordered),
         layers={
             "boundary": layers.area_boundary(area),
             "segments": layers.segment_layer(tracks.track_segments(ordered)),

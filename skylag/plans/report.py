@@ -1,93 +1,71 @@
 """Text report of the delayed flights."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from skylag.functions.text import flight_date, short_number, two_decimals
+from skylag.functions.text import FLIGHT_DATE, short_number, two_decimals
 from skylag.schema import KEY
 
 # Rules between the parts of the report.
 THIN_RULE = "-" * 54
 THICK_RULE = "#" * 54
 
-REPORT_COLUMNS = ["section", *KEY, "line_no", "line"]
 REPORT_ORDER = ["section", *KEY, "line_no"]
 
 
-def _flight_lines(prefix: str) -> list:
-    def value(name, text=lambda c: c.cast("string")):
-        return F.coalesce(text(F.col(f"{prefix}_{name}")), F.lit("None"))
-
-    date = F.concat(value("year"), F.lit("-"), value("month"), F.lit("-"), value("day"))
-    return [
-        F.concat(F.lit("Flight ID: "), value("flight_id")),
-        F.concat(F.lit("Date: "), date),
-        F.concat(F.lit("Departure Time: "), value("dep_time", short_number)),
-        F.concat(F.lit("Craft Type: "), value("craft_type")),
-        F.concat(F.lit("Delay Time: "), value("delay", short_number)),
-    ]
+def _flight_lines(prefix: str) -> list[str]:
+    date = f"concat_ws('-', {prefix}_year, {prefix}_month, {prefix}_day)"
+    values = {
+        "Flight ID": f"{prefix}_flight_id",
+        "Date": f"nullif({date}, '')",
+        "Departure Time": short_number(f"{prefix}_dep_time"),
+        "Craft Type": f"{prefix}_craft_type",
+        "Delay Time": short_number(f"{prefix}_delay"),
+    }
+    return [f"concat('{name}: ', coalesce({text}, 'None'))" for name, text in values.items()]
 
 
 def header_lines(summary: DataFrame) -> DataFrame:
     """Section 0: the statistics."""
-    average = F.coalesce(short_number("avg_delay"), F.lit("None"))
+    thin, thick = f"'{THIN_RULE}'", f"'{THICK_RULE}'"
     lines = [
-        F.concat(F.lit("Number of delayed flights: "), F.col("delayed_flights").cast("string")),
-        F.concat(F.lit("Average Delay Time: "), average),
-        F.lit(THIN_RULE), F.lit("Max Delay:"), F.lit(THIN_RULE), *_flight_lines("max"),
-        F.lit(THIN_RULE), F.lit("Min Delay:"), F.lit(THIN_RULE), *_flight_lines("min"),
-        F.lit(THICK_RULE), F.lit(""),
+        "concat('Number of delayed flights: ', delayed_flights)",
+        f"concat('Average Delay Time: ', coalesce({short_number('avg_delay')}, 'None'))",
+        thin, "'Max Delay:'", thin, *_flight_lines("max"),
+        thin, "'Min Delay:'", thin, *_flight_lines("min"),
+        thick, "''",
     ]
-    return summary.select(
-        F.lit(0).alias("section"),
-        F.lit(None).cast("string").alias("flight_id"),
-        *[F.lit(None).cast("int").alias(c) for c in ("year", "month", "day")],
-        F.lit(None).cast("double").alias("dep_time"),
-        F.posexplode(F.array(*lines)).alias("pos", "line"),
-    ).select(*REPORT_COLUMNS[:-2], (F.col("pos") + 1).cast("bigint").alias("line_no"), "line")
-
+    return summary.selectExpr(f"posexplode(array({', '.join(lines)})) AS (pos, line)").selectExpr(
+        "0 AS section",
+        "cast(NULL AS string) AS flight_id",
+        *[f"cast(NULL AS int) AS {c}" for c in ("year", "month", "day")],
+        "cast(NULL AS double) AS dep_time",
+        "cast(pos + 1 AS bigint) AS line_no",
+        "line",
+    )
 
-def block_lines(flights: DataFrame) -> DataFrame:
-    """Section 1: three lines before and two blank lines after the samples of a flight.
 
-    ``flights`` has the key and the number of ``samples``.
-    """
+def flight_lines(tracks: DataFrame) -> DataFrame:
+    """Section 1: three lines before the samples of a flight, one per sample, two blank ones after."""
     before = [
-        F.concat(F.lit("Flight ID: "), F.col("flight_id")),
-        F.concat(F.lit("Date: "), flight_date()),
-        F.concat(F.lit("Departed Time: "), short_number("dep_time")),
+        "concat('Flight ID: ', flight_id)",
+        f"concat('Date: ', {FLIGHT_DATE})",
+        f"concat('Departed Time: ', {short_number('dep_time')})",
     ]
-    numbered = [(F.lit(i + 1), text) for i, text in enumerate(before)]
-    numbered += [(F.col("samples") + 4 + i, F.lit("")) for i in range(2)]
-    lines = F.array(*[
-        F.struct(no.cast("bigint").alias("line_no"), text.alias("line")) for no, text in numbered
-    ])
-    return flights.select(F.lit(1).alias("section"), *KEY, F.inline(lines))
-
-
-def sample_lines(tracks: DataFrame) -> DataFrame:
-    """Section 1: one line per sample."""
-    status = F.when(F.col("late"), "Delayed").otherwise("On-time")
-    return tracks.select(
-        F.lit(1).alias("section"),
-        *KEY,
-        (F.col("seq") + 3).alias("line_no"),
-        F.concat(
-            F.lit("Time: "), two_decimals("time"),
-            F.lit("\tLat: "), two_decimals("lat"),
-            F.lit("\tLon: "), two_decimals("lon"),
-            F.lit("\tStatus: "), status,
-        ).alias("line"),
+    sample = f"""concat('Time: ', {two_decimals('time')}, '\\tLat: ', {two_decimals('lat')},
+        '\\tLon: ', {two_decimals('lon')}, '\\tStatus: ', if(late, 'Delayed', 'On-time'))"""
+    lines = f"""concat(
+        if(seq = 1, array({', '.join(before)}), array()),
+        array({sample}),
+        if(is_last, array('', ''), array()))"""
+    numbered = tracks.selectExpr(
+        *KEY, "if(seq = 1, 1L, seq + 3) AS first_no", f"posexplode({lines}) AS (pos, line)"
     )
+    return numbered.selectExpr("1 AS section", *KEY, "first_no + pos AS line_no", "line")
 
 
-def report_lines(summary: DataFrame, flights: DataFrame, tracks: DataFrame) -> DataFrame:
+def report_lines(summary: DataFrame, tracks: DataFrame) -> DataFrame:
     """All lines of the report, each with its place; sorting is left to the sink."""
-    return (
-        header_lines(summary)
-        .unionByName(block_lines(flights))
-        .unionByName(sample_lines(tracks))
-    )
+    return header_lines(summary).unionByName(flight_lines(tracks))
 
 
 def write_report(lines: DataFrame, path: str, mode: str = "error") -> None:

@@ -7,90 +7,74 @@ flights use) and one airfield from each ``customer``, so both sides grow.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.schema import AIRPORT_COLUMNS, TRACK_SCHEMA
+from skylag.schema import AIRPORT_COLUMNS
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _padded(prefix: str, number, width: int):
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
-
-
 def derived_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, region = F.col("n_nationkey"), F.col("n_regionkey")
-    hubs = _table(spark, sf_dir, "nation").select(
-        key.cast("string").alias("a_id"),
-        F.col("n_name").alias("name"),
-        F.concat(F.lit("City, "), "n_name").alias("city"),
-        F.when(region < 4, "United States").otherwise("Elsewhere").alias("country"),
-        _padded("N", key, 2).alias("faa"),
-        _padded("KN", key, 2).alias("icao"),
-        (25 + key).cast("double").alias("lat"),
-        (-120 + 2 * key).cast("double").alias("lon"),
-        (key * 10).cast("double").alias("alt"),
-        (-region).cast("double").alias("timezone"),
-        F.lit("A").alias("dst"),
+    hubs = _table(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey AS string) AS a_id",
+        "n_name AS name",
+        "concat('City, ', n_name) AS city",
+        "if(n_regionkey < 4, 'United States', 'Elsewhere') AS country",
+        "concat('N', lpad(n_nationkey, 2, '0')) AS faa",
+        "concat('KN', lpad(n_nationkey, 2, '0')) AS icao",
+        "double(25 + n_nationkey) AS lat",
+        "double(-120 + 2 * n_nationkey) AS lon",
+        "double(n_nationkey * 10) AS alt",
+        "double(-n_regionkey) AS timezone",
+        "'A' AS dst",
     )
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    fields = _table(spark, sf_dir, "customer").select(
-        _padded("C", key, 9).alias("a_id"),
-        F.col("c_name").alias("name"),
-        F.concat(F.lit("City, "), "c_mktsegment").alias("city"),
-        F.when(nation % 5 < 4, "United States").otherwise("Elsewhere").alias("country"),
-        _padded("C", key, 9).alias("faa"),
-        _padded("KC", key, 9).alias("icao"),
-        (F.lit(25.0) + (key % 4001).cast("double") / 100).alias("lat"),
-        (F.lit(-120.0) + (key * 7 % 5003).cast("double") / 100).alias("lon"),
-        (key % 9000).cast("double").alias("alt"),
-        (-(nation % 5)).cast("double").alias("timezone"),
-        F.lit("U").alias("dst"),
+    fields = _table(spark, sf_dir, "customer").selectExpr(
+        "concat('C', lpad(c_custkey, 9, '0')) AS a_id",
+        "c_name AS name",
+        "concat('City, ', c_mktsegment) AS city",
+        "if(c_nationkey % 5 < 4, 'United States', 'Elsewhere') AS country",
+        "concat('C', lpad(c_custkey, 9, '0')) AS faa",
+        "concat('KC', lpad(c_custkey, 9, '0')) AS icao",
+        "25D + double(c_custkey % 4001) / 100 AS lat",
+        "-120D + double(c_custkey * 7 % 5003) / 100 AS lon",
+        "double(c_custkey % 9000) AS alt",
+        "double(-(c_nationkey % 5)) AS timezone",
+        "'U' AS dst",
     )
-    return hubs.unionByName(fields).select(*AIRPORT_COLUMNS)
+    return hubs.unionAll(fields)
 
 
 def derived_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eighteen-column samples: whole-number arithmetic followed by one division."""
-    n = F.col("event_id")
-    k = _table(spark, sf_dir, "events").select(
-        "event_id", "event_type",
-        F.floor(F.col("user_id") / 5).cast("bigint").alias("f"),
-        F.year("ts").alias("y"), F.month("ts").alias("m"), F.day("ts").alias("d"),
+    keys = _table(spark, sf_dir, "events").selectExpr(
+        "event_id", "event_type", "cast(floor(user_id / 5) AS bigint) AS f",
+        "year(ts) AS year", "month(ts) AS month", "day(ts) AS day",
     )
-    k = k.select(
+    legs = keys.selectExpr(
         "*",
-        ((F.col("f") * 37 + F.col("d") * 211) % 1440).alias("dep_min"),
-        (60 + (F.col("f") * 13 + F.col("d") * 29) % 300).alias("dur"),
-        ((F.col("f") * 3 + F.col("d")) % 25).alias("arr"),
-        ((F.col("f") * 5 + F.col("d") * 2) % 25).alias("dep"),
-    ).select(
-        "*",
-        (F.col("dep_min") + n * 17 % (F.col("dur") + 90)).alias("t_min"),
-        ((F.col("dep_min") + F.col("dur")) % 1440).alias("eta_min"),
+        "(f * 37 + day * 211) % 1440 AS dep_min",
+        "60 + (f * 13 + day * 29) % 300 AS dur",
+        "(f * 3 + day) % 25 AS arr",
+        "(f * 5 + day * 2) % 25 AS dep",
+    )
+    return legs.selectExpr(
+        "year", "month", "day",
+        "double(dep_min + event_id * 17 % (dur + 90)) / 60 AS time",
+        "double(25 + arr) + double(event_id * 7919 % 6001 - 3000) / 1000 AS lat",
+        "double(-120 + 2 * arr) + double(event_id * 104729 % 6001 - 3000) / 1000 AS lon",
+        "double(25 + arr) AS dest_lat",
+        "double(-120 + 2 * arr) AS dest_lon",
+        "double(event_id % 400) AS alt",
+        "concat('F', lpad(f, 4, '0')) AS flight_id",
+        "concat('N', lpad(dep, 2, '0')) AS dep_airport",
+        "concat('N', lpad(arr, 2, '0')) AS arr_airport",
+        "double(dep_min) / 60 AS dep_time",
+        "double((dep_min + dur) % 1440) / 60 AS eta",
+        "if(event_type = 'signup', 'P', 'E') AS status",
+        "double(300 + event_id % 200) AS speed",
+        "double(event_id % 360) AS heading",
+        "concat('B', f % 6) AS craft_type",
     )
-    arr_lat = (25 + F.col("arr")).cast("double")
-    arr_lon = (-120 + 2 * F.col("arr")).cast("double")
-    return k.select(
-        F.col("y").cast("int").alias("year"),
-        F.col("m").cast("int").alias("month"),
-        F.col("d").cast("int").alias("day"),
-        (F.col("t_min").cast("double") / 60).alias("time"),
-        (arr_lat + (n * 7919 % 6001 - 3000).cast("double") / 1000).alias("lat"),
-        (arr_lon + (n * 104729 % 6001 - 3000).cast("double") / 1000).alias("lon"),
-        arr_lat.alias("dest_lat"),
-        arr_lon.alias("dest_lon"),
-        (n % 400).cast("double").alias("alt"),
-        _padded("F", F.col("f"), 4).alias("flight_id"),
-        _padded("N", F.col("dep"), 2).alias("dep_airport"),
-        _padded("N", F.col("arr"), 2).alias("arr_airport"),
-        (F.col("dep_min").cast("double") / 60).alias("dep_time"),
-        (F.col("eta_min").cast("double") / 60).alias("eta"),
-        F.when(F.col("event_type") == "signup", "P").otherwise("E").alias("status"),
-        (300 + n % 200).cast("double").alias("speed"),
-        (n % 360).cast("double").alias("heading"),
-        F.concat(F.lit("B"), (F.col("f") % 6).cast("string")).alias("craft_type"),
-    ).select(*TRACK_SCHEMA.fieldNames())
 
 
 def track_lines(samples: DataFrame) -> DataFrame:

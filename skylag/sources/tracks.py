@@ -22,12 +22,11 @@ def parse_track_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     A bad number or a missing field fails the job under ANSI mode, which Spark 4
     has on by default. Fields past the last one are ignored.
     """
-    fields = F.split(F.btrim(F.col(column), F.lit(WHITESPACE)), r"\|")
-    date = F.split(fields[TRACK_FIELDS.index("date")], "-")
-    raw = {name: fields[i] for i, name in enumerate(TRACK_FIELDS)}
-    raw |= {name: date[i] for i, name in enumerate(DATE_PARTS)}
-    return lines.select(
-        *[raw[f.name].cast(f.dataType).alias(f.name) for f in TRACK_SCHEMA]
+    rows = lines.select(F.split(F.btrim(F.col(column), F.lit(WHITESPACE)), r"\|").alias("fields"))
+    places = {name: f"fields[{i}]" for i, name in enumerate(TRACK_FIELDS)}
+    places |= {name: f"split({places['date']}, '-')[{i}]" for i, name in enumerate(DATE_PARTS)}
+    return rows.selectExpr(
+        *[f"cast({places[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in TRACK_SCHEMA]
     )
 
 
