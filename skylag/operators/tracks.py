@@ -57,10 +57,10 @@ def cut_flights(samples: DataFrame, heavy: DataFrame) -> DataFrame:
     It depends on exact values only; a task that runs again gives the same chunk.
     Samples of heavy flights that are on time are dropped here, before any shuffle.
     """
-    chunk = F.expr("""cast(
+    chunk = F.expr("""cast(greatest(0,
         CASE WHEN chunks IS NULL OR time <= t_low THEN 0
-             WHEN time >= t_high THEN greatest(chunks - 1, 0)
-             ELSE least(floor((time - t_low) / (t_high - t_low) * chunks), chunks - 1) END AS int)""")
+             WHEN time >= t_high THEN chunks - 1
+             ELSE least(floor((time - t_low) / (t_high - t_low) * chunks), chunks - 1) END) AS int)""")
     return (
         samples.join(F.broadcast(heavy), KEY, "left")
         .withColumn("chunk", chunk)
@@ -104,7 +104,7 @@ def delayed_tracks(samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> Da
         F.row_number().over(in_chunk).alias("chunk_seq"),
         F.lag("lat").over(in_chunk).alias("lag_lat"),
         F.lag("lon").over(in_chunk).alias("lag_lon"),
-        F.lead("time").over(in_chunk).isNull().alias("ends_chunk"),
+        F.lead(F.lit(1)).over(in_chunk).isNull().alias("ends_chunk"),
         F.bool_or("late").over(whole).alias("any_late"),
     ).where("any_late OR chunks IS NOT NULL")
     return rows.join(chunk_ends(cut), CHUNK, "left").selectExpr(

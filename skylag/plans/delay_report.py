@@ -91,7 +91,8 @@ def delay_report(
 
 
 def write_delay_report(result: DelayReport, path: str, mode: str = "error") -> None:
-    """Write the report text, the statistics and the layers under ``path``.
+    """Write the report text, the statistics and the layers under ``path``: Parquet
+    tables, and one GeoJSON feature per text line for the paths.
 
     All outputs read the scoped samples, so these are kept in memory or on local
     disk while writing; a lost executor's part is computed again.
@@ -102,6 +103,9 @@ def write_delay_report(result: DelayReport, path: str, mode: str = "error") -> N
         result.summary.write.mode(mode).parquet(f"{path}/delay_summary")
         report.write_report(result.lines, f"{path}/delay_text", mode)
         for name, layer in result.layers.items():
-            layer.write.mode(mode).parquet(f"{path}/layers/{name}")
+            if "geojson" in layer.columns:
+                layer.select("geojson").write.mode(mode).text(f"{path}/layers/{name}")
+            else:
+                layer.write.mode(mode).parquet(f"{path}/layers/{name}")
     finally:
         result.scoped.unpersist()
