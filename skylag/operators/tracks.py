@@ -13,12 +13,15 @@ from skylag.functions.lateness import is_late
 from skylag.operators.delays import delayed_flight_keys, label_samples
 from skylag.schema import KEY, ORDER
 
-# A flight with more samples than this is heavy. A heavy flight gets one chunk per
-# this many samples.
-CHUNK_SAMPLES = 1_000_000
+# A flight with more samples than this is heavy.
+HEAVY_SAMPLES = 1_000_000
 # The heavy flights are broadcast. This bounds them; any flight left out is no larger
 # than each of these, so holds less than 1/1000 of the samples, and stays in one chunk.
 HEAVY_FLIGHTS = 1000
+# Chunks of a heavy flight: slices of 20 seconds over two days. Samples outside go
+# to the first or the last slice.
+SLICES_PER_HOUR = 180
+SLICES = 48 * SLICES_PER_HOUR
 # Longest path kept in one row.
 PATH_SAMPLES = 10_000
 
@@ -26,46 +29,43 @@ CHUNK = [*KEY, "chunk"]
 
 
 def flight_summary(samples: DataFrame) -> DataFrame:
-    """Per flight: number of samples, whether any is late, first and last finite time."""
-    finite = F.expr("CASE WHEN abs(time) < double('infinity') THEN time END")
+    """Per flight: number of samples, and whether any is late."""
     return samples.groupBy(*KEY).agg(
-        F.count("*").alias("samples"),
-        F.bool_or(is_late()).alias("any_late"),
-        F.min(finite).alias("t_low"),
-        F.max(finite).alias("t_high"),
+        F.count("*").alias("samples"), F.bool_or(is_late()).alias("any_late")
     )
 
 
-def heavy_flights(summary: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> DataFrame:
-    """The flights to cut, at most HEAVY_FLIGHTS rows, with their number of chunks.
+def heavy_flights(summary: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> DataFrame:
+    """The flights to cut, at most HEAVY_FLIGHTS rows, with the end of their chunk numbers.
 
-    A heavy flight without a late sample gets 0 chunks: none of its samples is wanted.
+    For a heavy flight without a late sample that is 0: none of its samples is wanted.
     """
-    chunks = f"if(any_late, cast(ceil(samples / {chunk_samples}) AS int), 0)"
     return (
-        summary.where(F.col("samples") > chunk_samples)
+        summary.where(F.col("samples") > heavy_samples)
         .orderBy(F.desc("samples"), *KEY)
         .limit(HEAVY_FLIGHTS)
-        .selectExpr(*KEY, "t_low", "t_high", f"coalesce({chunks}, 0) AS chunks")
+        .selectExpr(*KEY, f"coalesce(if(any_late, {SLICES}, 0), 0) AS slices")
     )
 
 
 def cut_flights(samples: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Add ``chunk``: 0 for most flights, equal slices of the time span for heavy ones.
+    """Add ``chunk``: 0 for most flights, the slice of time for heavy ones.
 
-    The chunk never falls as time grows, so chunks follow each other in sample order.
-    It depends on exact values only; a task that runs again gives the same chunk.
+    The slice never falls as time grows, so chunks follow each other in sample order,
+    and it depends on the time alone; a task that runs again gives the same one.
     Samples of heavy flights that are on time are dropped here, before any shuffle.
+
+    Both tests on ``slices`` (here and in chunk_ends) compare it with the chunk, so
+    that neither is pushed into the heavy flights and one broadcast serves both.
     """
-    chunk = F.expr("""cast(greatest(0,
-        CASE WHEN chunks IS NULL OR time <= t_low THEN 0
-             WHEN time >= t_high THEN chunks - 1
-             ELSE least(floor((time - t_low) / (t_high - t_low) * chunks), chunks - 1) END) AS int)""")
+    chunk = F.expr(f"""
+        CASE WHEN slices IS NULL OR time <= 0 THEN 0
+             WHEN time >= {SLICES // SLICES_PER_HOUR} THEN {SLICES - 1}
+             ELSE cast(least(floor(time * {SLICES_PER_HOUR}), {SLICES - 1}) AS int) END""")
     return (
         samples.join(F.broadcast(heavy), KEY, "left")
         .withColumn("chunk", chunk)
-        .drop("t_low", "t_high")
-        .where("chunk < coalesce(chunks, 1)")
+        .where("chunk < coalesce(slices, 1)")
     )
 
 
@@ -73,7 +73,7 @@ def chunk_ends(cut: DataFrame) -> DataFrame:
     """For each chunk of a heavy flight: samples before it, the last point before it,
     and whether it is the last chunk. Empty, and cheap, without heavy flights."""
     ends = (
-        cut.where("chunk < chunks")
+        cut.where("chunk < slices")
         .groupBy(*CHUNK)
         .agg(F.count("*").alias("n"), F.max(F.struct(*ORDER)).alias("last"))
     )
@@ -86,7 +86,7 @@ def chunk_ends(cut: DataFrame) -> DataFrame:
     )
 
 
-def delayed_tracks(samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> DataFrame:
+def delayed_tracks(samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> DataFrame:
     """All samples of the delayed flights with position ``seq`` (from 1), previous
     point and ``is_last``.
 
@@ -95,7 +95,7 @@ def delayed_tracks(samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> Da
     for heavy flights the broadcast row tells it. The chunk ends are joined on the
     columns of the same shuffle.
     """
-    heavy = heavy_flights(flight_summary(samples), chunk_samples)
+    heavy = heavy_flights(flight_summary(samples), heavy_samples)
     cut = cut_flights(label_samples(samples), heavy)
     in_chunk = Window.partitionBy(*CHUNK).orderBy(*ORDER)
     whole = in_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -106,9 +106,9 @@ def delayed_tracks(samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES) -> Da
         F.lag("lon").over(in_chunk).alias("lag_lon"),
         F.lead(F.lit(1)).over(in_chunk).isNull().alias("ends_chunk"),
         F.bool_or("late").over(whole).alias("any_late"),
-    ).where("any_late OR chunks IS NOT NULL")
+    ).where("any_late OR slices IS NOT NULL")
     return rows.join(chunk_ends(cut), CHUNK, "left").selectExpr(
-        *[c for c in cut.columns if c != "chunks"],
+        *[c for c in cut.columns if c != "slices"],
         "chunk_seq",
         "coalesce(before, 0) + chunk_seq AS seq",
         "coalesce(lag_lat, carry.lat) AS prev_lat",
@@ -129,13 +129,13 @@ def delayed_flight_samples(samples: DataFrame) -> DataFrame:
 
 
 def delayed_flight_samples_window(
-    samples: DataFrame, chunk_samples: int = CHUNK_SAMPLES
+    samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES
 ) -> DataFrame:
     """The same rows from a window over the flight, cut where it is heavy."""
-    heavy = heavy_flights(flight_summary(samples), chunk_samples)
+    heavy = heavy_flights(flight_summary(samples), heavy_samples)
     cut = cut_flights(label_samples(samples), heavy)
     flagged = cut.withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*CHUNK)))
-    return flagged.where("any_late OR chunks IS NOT NULL").drop("any_late", "chunks", "chunk")
+    return flagged.where("any_late OR slices IS NOT NULL").drop("any_late", "slices", "chunk")
 
 
 def track_segments(tracks: DataFrame) -> DataFrame:

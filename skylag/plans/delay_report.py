@@ -55,7 +55,7 @@ def delay_report(
     codes: Sequence[str] = DEFAULT_AIRPORTS,
     margin: float = scope.MARGIN_DEG,
     status: str | None = None,
-    chunk_samples: int = tracks.CHUNK_SAMPLES,
+    heavy_samples: int = tracks.HEAVY_SAMPLES,
 ) -> DelayReport:
     """Delays of flights to one airport or between two.
 
@@ -70,7 +70,7 @@ def delay_report(
 
     flight_delays = delays.flight_delay(scoped)
     summary = delays.delay_summary(flight_delays)
-    ordered = tracks.delayed_tracks(scoped, chunk_samples)
+    ordered = tracks.delayed_tracks(scoped, heavy_samples)
     paths = tracks.flight_tracks(ordered)
     return DelayReport(
         area=area,
@@ -94,10 +94,13 @@ def write_delay_report(result: DelayReport, path: str, mode: str = "error") -> N
     """Write the report text, the statistics and the layers under ``path``: Parquet
     tables, and one GeoJSON feature per text line for the paths.
 
-    All outputs read the scoped samples, so these are kept in memory or on local
-    disk while writing; a lost executor's part is computed again.
+    Several outputs read the scoped samples and the ordered tracks, so both are
+    kept in memory or on local disk while writing; a lost executor's part is
+    computed again.
     """
-    result.scoped.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [result.scoped, result.tracks]
+    for df in kept:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         result.delays.write.mode(mode).parquet(f"{path}/flight_delay")
         result.summary.write.mode(mode).parquet(f"{path}/delay_summary")
@@ -108,4 +111,5 @@ def write_delay_report(result: DelayReport, path: str, mode: str = "error") -> N
             else:
                 layer.write.mode(mode).parquet(f"{path}/layers/{name}")
     finally:
-        result.scoped.unpersist()
+        for df in kept:
+            df.unpersist()

@@ -12,7 +12,6 @@ TRACK_FIELDS = [
     "arr_airport", "dep_time", "eta", "status", "speed", "heading", "craft_type",
 ]
 DATE_PARTS = ["year", "month", "day"]
-FILES_PER_DAY = 32
 WHITESPACE = " \t\n\r\x0b\x0c"
 
 
@@ -42,13 +41,12 @@ def read_tracks(spark: SparkSession, root: str, spec: DateSpec = DateSpec()) ->
 def write_sample_table(samples: DataFrame, path: str, mode: str = "error") -> None:
     """Store samples as Parquet partitioned by date, for repeated analyses.
 
-    Rows of one date are spread over several tasks, so a heavy day is not
-    written by one of them; inside a file they are sorted by arrival airport, so
-    that row groups of other airports are skipped.
+    The rebalance puts a date together, splits a heavy one over several tasks and
+    joins small ones. Inside a file rows are sorted by arrival airport, so that
+    row groups of other airports are skipped.
     """
-    spread = F.pmod(F.xxhash64("flight_id", "time", "lat", "lon"), F.lit(FILES_PER_DAY))
     (
-        samples.repartition(*DATE_PARTS, spread)
+        samples.hint("rebalance", *DATE_PARTS)
         .sortWithinPartitions(*DATE_PARTS, "arr_airport", "lat")
         .write.mode(mode).partitionBy(*DATE_PARTS).parquet(path)
     )

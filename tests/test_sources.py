@@ -91,12 +91,24 @@ def test_airport_lines_and_file_agree(spark, tmp_path):
     assert "San Francisco, Intl" in {r.name for r in rows}
 
 
-def test_bad_airport_line_fails_the_job(spark):
-    bad = AIRPORT_LINES[0].replace("29.785133", "north")
-    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+@pytest.mark.parametrize("bad, error", [
+    (AIRPORT_LINES[0].replace("29.785133", "north"), "CAST_INVALID_INPUT"),
+    (AIRPORT_LINES[0].replace("29.785133", ""), "missing fields"),
+    (AIRPORT_LINES[0].rsplit(",", 2)[0], "missing fields"),
+])
+def test_bad_airport_line_fails_the_job(spark, bad, error):
+    with pytest.raises(Exception, match=error):
         parse_airport_lines(lines_df(spark, bad)).collect()
 
 
+def test_airport_line_with_further_or_empty_fields(spark):
+    more = AIRPORT_LINES[0] + ',"airport","OurAirports"'
+    empty = AIRPORT_LINES[0].replace('"AJF"', '""')
+    rows = parse_airport_lines(lines_df(spark, AIRPORT_LINES[0], more, empty)).collect()
+    assert rows[0] == rows[1]
+    assert rows[2].faa == "" and rows[2].icao == "OESK"
+
+
 def test_sample_table_prunes_partitions_and_pushes_bounds(spark, tmp_path):
     samples = derived.derived_samples(spark, SF_SMALL)
     path = str(tmp_path / "samples")
