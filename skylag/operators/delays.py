@@ -17,13 +17,18 @@ def project_samples(samples: DataFrame) -> DataFrame:
     return samples.withColumnRenamed("arr_airport", "arpt").select(*SAMPLE_COLUMNS)
 
 
-def label_samples(samples: DataFrame) -> DataFrame:
-    """Projected samples with ``late`` and ``label``: r for late, k for on time.
+def flag_samples(samples: DataFrame) -> DataFrame:
+    """Projected samples with ``late``."""
+    return project_samples(samples).select("*", is_late().alias("late"))
 
-    The labels are colour codes of the map layers.
-    """
-    late = project_samples(samples).select("*", is_late().alias("late"))
-    return late.select("*", F.expr("if(late, 'r', 'k') AS label"))
+
+def add_label(flagged: DataFrame) -> DataFrame:
+    """Add ``label``: r for late, k for on time; both are colour codes of the map layers."""
+    return flagged.select("*", F.expr("if(late, 'r', 'k') AS label"))
+
+
+def label_samples(samples: DataFrame) -> DataFrame:
+    return add_label(flag_samples(samples))
 
 
 def late_samples(samples: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from skylag.functions.colors import hex_color, resolve_colors
 from skylag.functions.geo import CIRCLE_STEP_DEG, circle_vertex
 from skylag.functions.text import FLIGHT_DATE, marker_comment
 from skylag.operators.delays import flight_ends
+from skylag.operators.tracks import PATH_SAMPLES, collect_paths
 from skylag.schema import KEY
 
 # Styles of the delay map, and defaults of points and heat maps.
@@ -63,16 +64,17 @@ def first_late_marker(samples: DataFrame) -> DataFrame:
     )
 
 
-def track_geojson(paths: DataFrame) -> DataFrame:
-    """Each path as a GeoJSON line. The later pieces of a long flight start at the
-    last point of the piece before; a flight of one sample has no line."""
+def track_geojson(tracks: DataFrame, path_samples: int = PATH_SAMPLES) -> DataFrame:
+    """Each delayed flight as a GeoJSON line. The later pieces of a long flight start
+    at the last point of the piece before; a flight of one sample has no line."""
     points = "transform(path, p -> array(p.lon, p.lat))"
+    paths = collect_paths(tracks, "lat", "lon", path_samples=path_samples)
     return paths.where("samples > 1 OR start > 1").selectExpr(
         *KEY, "start",
         f"""to_json(struct(
             'Feature' AS type,
             struct('LineString' AS type,
-                   if(start > 1, concat(array(array(path[0].prev_lon, path[0].prev_lat)), {points}), {points})
+                   if(start > 1, concat(array(array(lead.prev_lon, lead.prev_lat)), {points}), {points})
                    AS coordinates) AS geometry,
             struct(flight_id, {FLIGHT_DATE} AS date, dep_time) AS properties)) AS geojson""",
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylag.functions.lateness import is_late
-from skylag.operators.delays import delayed_flight_keys, label_samples
+from skylag.operators.delays import add_label, delayed_flight_keys, flag_samples, label_samples
 from skylag.schema import KEY, ORDER
 
 # A flight with more samples than this is heavy.
@@ -71,11 +71,15 @@ def cut_flights(samples: DataFrame, heavy: DataFrame) -> DataFrame:
 
 def chunk_ends(cut: DataFrame) -> DataFrame:
     """For each chunk of a heavy flight: samples before it, the last point before it,
-    and whether it is the last chunk. Empty, and cheap, without heavy flights."""
+    and whether more chunks follow. Empty, and cheap, without heavy flights.
+
+    The chunk leads the grouping columns because the sort before the partial
+    aggregate compares it first; heavy flights differ in it more than in the key.
+    """
     ends = (
         cut.where("chunk < slices")
-        .groupBy(*CHUNK)
-        .agg(F.count("*").alias("n"), F.max(F.struct(*ORDER)).alias("last"))
+        .groupBy("chunk", *KEY)
+        .agg(F.count("*").alias("n"), F.max(F.struct("time", "lat", "lon")).alias("last"))
     )
     by_chunk = Window.partitionBy(*KEY).orderBy("chunk")
     return ends.select(
@@ -96,7 +100,7 @@ def delayed_tracks(samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> Da
     columns of the same shuffle.
     """
     heavy = heavy_flights(flight_summary(samples), heavy_samples)
-    cut = cut_flights(label_samples(samples), heavy)
+    cut = cut_flights(flag_samples(samples), heavy)
     in_chunk = Window.partitionBy(*CHUNK).orderBy(*ORDER)
     whole = in_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = cut.select(
@@ -107,8 +111,10 @@ def delayed_tracks(samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> Da
         F.lead(F.lit(1)).over(in_chunk).isNull().alias("ends_chunk"),
         F.bool_or("late").over(whole).alias("any_late"),
     ).where("any_late OR slices IS NOT NULL")
-    return rows.join(chunk_ends(cut), CHUNK, "left").selectExpr(
+    rows = add_label(rows.join(chunk_ends(cut), CHUNK, "left"))
+    return rows.selectExpr(
         *[c for c in cut.columns if c != "slices"],
+        "label",
         "chunk_seq",
         "coalesce(before, 0) + chunk_seq AS seq",
         "coalesce(lag_lat, carry.lat) AS prev_lat",
@@ -133,9 +139,10 @@ def delayed_flight_samples_window(
 ) -> DataFrame:
     """The same rows from a window over the flight, cut where it is heavy."""
     heavy = heavy_flights(flight_summary(samples), heavy_samples)
-    cut = cut_flights(label_samples(samples), heavy)
+    cut = cut_flights(flag_samples(samples), heavy)
     flagged = cut.withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*CHUNK)))
-    return flagged.where("any_late OR slices IS NOT NULL").drop("any_late", "slices", "chunk")
+    wanted = flagged.where("any_late OR slices IS NOT NULL")
+    return add_label(wanted.drop("any_late", "slices", "chunk"))
 
 
 def track_segments(tracks: DataFrame) -> DataFrame:
@@ -150,19 +157,29 @@ def track_segments(tracks: DataFrame) -> DataFrame:
     )
 
 
-def flight_tracks(tracks: DataFrame, path_samples: int = PATH_SAMPLES) -> DataFrame:
-    """Samples of a flight as one ordered array.
+def collect_paths(tracks: DataFrame, *columns: str, path_samples: int = PATH_SAMPLES) -> DataFrame:
+    """Samples of a flight as one ordered array of ``seq`` and the given columns.
 
     A flight of more than ``path_samples`` samples gives several rows, told apart
-    by the position ``start`` of their first sample. Rows stay bounded, and the
-    pieces of a chunk are collected where the chunk already is.
+    by the position ``start`` of their first sample; ``lead`` is the point before
+    it. Rows stay bounded, and the pieces of a chunk are collected where the chunk
+    already is.
     """
-    sample = F.struct(
-        "seq", "time", "lat", "lon", "eta", "label", "arpt", "craft_type", "prev_lat", "prev_lon"
-    )
     pieces = (
         tracks.withColumn("piece", F.expr(f"(chunk_seq - 1) div {path_samples}"))
         .groupBy(*CHUNK, "piece")
-        .agg(F.sort_array(F.collect_list(sample)).alias("path"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("seq", *columns))).alias("path"),
+            F.min(F.struct("seq", F.struct("prev_lat", "prev_lon").alias("point"))).alias("first"),
+        )
     )
-    return pieces.selectExpr(*KEY, "path[0].seq AS start", "size(path) AS samples", "path")
+    return pieces.selectExpr(
+        *KEY, "first.seq AS start", "size(path) AS samples", "path",
+        "if(first.seq > 1, first.point, NULL) AS lead",
+    )
+
+
+def flight_tracks(tracks: DataFrame, path_samples: int = PATH_SAMPLES) -> DataFrame:
+    """Ordered samples of each delayed flight, see collect_paths."""
+    columns = ("time", "lat", "lon", "eta", "label", "arpt", "craft_type")
+    return collect_paths(tracks, *columns, path_samples=path_samples).drop("lead")

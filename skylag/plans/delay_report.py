@@ -71,7 +71,6 @@ def delay_report(
     flight_delays = delays.flight_delay(scoped)
     summary = delays.delay_summary(flight_delays)
     ordered = tracks.delayed_tracks(scoped, heavy_samples)
-    paths = tracks.flight_tracks(ordered)
     return DelayReport(
         area=area,
         center=scope.area_center(area),
@@ -79,13 +78,13 @@ def delay_report(
         delays=flight_delays,
         summary=summary,
         tracks=ordered,
-        paths=paths,
+        paths=tracks.flight_tracks(ordered),
         lines=report.report_lines(summary, ordered),
         layers={
             "boundary": layers.area_boundary(area),
             "segments": layers.segment_layer(tracks.track_segments(ordered)),
             "markers": layers.point_layer(layers.first_late_marker(scoped)),
-            "paths": layers.track_geojson(paths),
+            "paths": layers.track_geojson(ordered),
         },
     )
 

@@ -117,11 +117,11 @@ def test_heatmap_settings(spark):
 
 def test_geojson_pieces_join_up(spark):
     df = samples_df(spark, *[{"time": 9.0 + n, "lat": 30.0 + n, "eta": 9.5} for n in range(5)], {"flight_id": "ONE", "time": 20.0})
-    whole = layers.track_geojson(tracks.flight_tracks(tracks.delayed_tracks(df))).collect()
+    whole = layers.track_geojson(tracks.delayed_tracks(df)).collect()
     assert len(whole) == 1
     feature = json.loads(whole[0].geojson)
     assert feature["properties"] == {"flight_id": "UAL1", "date": "2004-5-1", "dep_time": 9.0}
     assert feature["geometry"]["coordinates"] == [[-118.0, 30.0 + n] for n in range(5)]
-    pieces = layers.track_geojson(tracks.flight_tracks(tracks.delayed_tracks(df), 2)).orderBy("start").collect()
+    pieces = layers.track_geojson(tracks.delayed_tracks(df), 2).orderBy("start").collect()
     lines = [json.loads(p.geojson)["geometry"]["coordinates"] for p in pieces]
     assert [[y for _, y in line] for line in lines] == [[30, 31], [31, 32, 33], [33, 34]]

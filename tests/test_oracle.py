@@ -15,9 +15,10 @@ ORACLES = entry.oracle_sql()
 
 
 def plain(value):
+    """Value with its type: 10 and 10.0 differ."""
     if isinstance(value, float) and math.isnan(value):
-        return "nan"
-    return value
+        value = "nan"
+    return type(value).__name__, value
 
 
 def rows_of(columns, rows):
