@@ -331,6 +331,17 @@ FROM points LEFT JOIN codes ON code = spec LEFT JOIN names ON names.name = coale
         "circle_ring": f"""WITH {AIRPORTS}, {RING}
 SELECT faa, cast(bearing AS int) AS bearing, round(degrees(phi2), 6) + 0.0 AS ring_lat,
        round(degrees(x - 2 * pi() * floor(x / (2 * pi())) - pi()), 6) + 0.0 AS ring_lon FROM ring3""",
+        "circle_layer": f"""WITH {AIRPORTS}, {RING}, {COLORS},
+shape AS (
+  SELECT faa, string_agg(concat(round(degrees(phi2), 6) + 0.0, '/',
+    round(degrees(x - 2 * pi() * floor(x / (2 * pi())) - pi()), 6) + 0.0), ' ' ORDER BY bearing) AS ring
+  FROM ring3 GROUP BY faa),
+styled AS (SELECT faa, coalesce(nullif(dst, 'A'), 'c') AS spec, nullif(alt, 0) AS width FROM airports)
+SELECT faa, ring, hex AS color, hex AS edge_color, hex AS face_color, cast(1 AS double) AS edge_alpha,
+       coalesce(width, 1) AS edge_width, cast(0.5 AS double) AS face_alpha
+FROM shape JOIN styled USING (faa) JOIN (
+  SELECT 'U' AS spec, 'U' AS hex UNION ALL
+  SELECT code, names.hex FROM codes JOIN names ON names.name = codes.name) USING (spec)""",
         "sample_density": f"""WITH {FLIGHTS}
 SELECT cast(floor(lat / 0.5) AS bigint) AS lat_cell, cast(floor(lon / 0.5) AS bigint) AS lon_cell,
        count(*) AS samples FROM flights GROUP BY ALL""",

@@ -7,6 +7,7 @@ from skylag.functions.colors import hex_color, resolve_colors
 from skylag.functions.geo import CIRCLE_STEP_DEG, circle_vertex
 from skylag.functions.text import FLIGHT_DATE, marker_comment
 from skylag.operators.delays import flight_ends
+from skylag.operators.style import resolve_style
 from skylag.operators.tracks import PATH_SAMPLES, collect_paths
 from skylag.schema import KEY
 
@@ -90,28 +91,30 @@ def point_layer(points: DataFrame) -> DataFrame:
     })
 
 
-def circle_ring(points: DataFrame, radius: str = "radius") -> DataFrame:
+_BEARINGS = f"sequence(0, {360 - CIRCLE_STEP_DEG}, {CIRCLE_STEP_DEG})"
+
+
+def _metres(sizes: tuple[str, ...]) -> str:
+    given = ", ".join(f"nullif({size}, 0)" for size in sizes)
+    return f"cast(coalesce({given}, {POINT_SIZE}) AS double)"
+
+
+def circle_ring(points: DataFrame, *sizes: str) -> DataFrame:
     """Vertices of a circle around each point: 36 rows with ``bearing, ring_lat, ring_lon``.
 
-    ``radius`` is in metres; 0 or null means the default point size.
+    The radius in metres is the first of the size columns that is given and not 0,
+    else the default point size.
     """
     spread = points.select("*", F.expr(f"explode({_BEARINGS}) AS bearing"))
-    lat, lon = circle_vertex("lat", "lon", _metres(radius), "bearing")
+    lat, lon = circle_vertex("lat", "lon", _metres(sizes), "bearing")
     return spread.selectExpr("*", f"{lat} AS ring_lat", f"{lon} AS ring_lon")
 
 
-def circle_layer(points: DataFrame, radius: str = "radius") -> DataFrame:
-    """Each point with its circle as one array of vertices."""
-    lat, lon = circle_vertex("lat", "lon", _metres(radius), "bearing")
+def circle_layer(points: DataFrame, *sizes: str) -> DataFrame:
+    """Each point with the settings of a circle and its ring as one array of vertices."""
+    lat, lon = circle_vertex("lat", "lon", _metres(sizes), "bearing")
     ring = f"transform({_BEARINGS}, bearing -> struct({lat} AS lat, {lon} AS lon)) AS ring"
-    return points.selectExpr("*", ring)
-
-
-_BEARINGS = f"sequence(0, {360 - CIRCLE_STEP_DEG}, {CIRCLE_STEP_DEG})"
-
-
-def _metres(radius: str) -> str:
-    return f"cast(coalesce(nullif({radius}, 0), {POINT_SIZE}) AS double)"
+    return resolve_style(points.selectExpr("*", ring), circle=True)
 
 
 def sample_density(

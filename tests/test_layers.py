@@ -59,7 +59,7 @@ def distance_m(lat1, lon1, lat2, lon2):
 
 def test_circle_vertices_lie_on_the_circle(spark):
     points = spark.createDataFrame([(37.4, -122.1, 5000), (-10.0, 179.99, 20000)], "lat double, lon double, radius int")
-    rows = layers.circle_ring(points).collect()
+    rows = layers.circle_ring(points, "radius").collect()
     assert len(rows) == 72
     for r in rows:
         assert distance_m(r.lat, r.lon, r.ring_lat, r.ring_lon) == pytest.approx(r.radius, rel=1e-4)
@@ -67,14 +67,15 @@ def test_circle_vertices_lie_on_the_circle(spark):
     north, west = rows[0], rows[9]
     assert north.ring_lat > north.lat and north.ring_lon == pytest.approx(north.lon)
     assert west.ring_lon < west.lon
-    ring = layers.circle_layer(points).first().ring
+    ring = layers.circle_layer(points, "radius").first().ring
     assert [(p.lat, p.lon) for p in ring] == [(r.ring_lat, r.ring_lon) for r in rows[:36]]
 
 
-def test_circle_default_size(spark):
-    points = spark.createDataFrame([(37.4, -122.1, 0)], "lat double, lon double, radius int")
-    r = layers.circle_ring(points).first()
-    assert distance_m(r.lat, r.lon, r.ring_lat, r.ring_lon) == pytest.approx(40, abs=0.5)
+@pytest.mark.parametrize("size, s, metres", [(0, None, 40), (None, 90, 90), (500, 90, 500)])
+def test_circle_sizes(spark, size, s, metres):
+    points = spark.createDataFrame([(37.4, -122.1, size, s)], "lat double, lon double, size int, s int")
+    r = layers.circle_ring(points, "size", "s").first()
+    assert distance_m(r.lat, r.lon, r.ring_lat, r.ring_lon) == pytest.approx(metres, rel=0.02)
 
 
 def test_point_layer(spark):

@@ -90,6 +90,26 @@ def test_no_task_holds_a_heavy_flight(spark):
     assert all(len(v) == 1 for k, v in sizes.items() if k != "HOT")
 
 
+def test_chunk_ends_joined_by_sort_merge(spark):
+    """The chunk ends may be too many to broadcast; the samples are still moved once."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        samples = derived.derived_samples(spark, SF_CHECK)
+        check(samples, 10)
+        ordered = tracks.delayed_tracks(samples, 10)
+        ordered.collect()
+        plan = ordered._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "SortMergeJoin" in plan and "ReusedExchange" in plan
+        # heavy flights, samples, chunk ends by key and chunk, by key, and for the join
+        assert plan.count("Exchange hashpartitioning") == 5
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 def test_times_outside_the_slices(spark):
     times = [float("nan"), float("inf"), -3.0, -0.001, 0.0, 47.999, 48.0, 50.0, 999999.0, 47.9999999, 12.0]
     check(samples_df(spark, *[{"time": t, "lat": float(i)} for i, t in enumerate(times * 3)]), 5)
