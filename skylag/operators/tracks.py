@@ -1,9 +1,9 @@
 """Ordered samples of delayed flights: position, previous point, segments, paths.
 
 One flight may hold a large share of all samples, and a window over the flight
-would put all of it into one task. Heavy flights are therefore cut into chunks of
-time, the window runs per chunk, and the few chunk ends carry the position and
-the last point over to the next chunk.
+would put all of it into one task. Heavy flights therefore go another way: copies
+are counted instead of moved, what remains is cut into slices of time, the window
+runs per slice, and the slice ends carry the position and the last point over.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -22,10 +22,13 @@ HEAVY_FLIGHTS = 1000
 # to the first or the last slice.
 SLICES_PER_HOUR = 180
 SLICES = 48 * SLICES_PER_HOUR
+# Copies of one sample that a task writes out at a time.
+COPY_BLOCK = 100_000
 # Longest path kept in one row.
 PATH_SAMPLES = 10_000
 
 CHUNK = [*KEY, "chunk"]
+TRACK_COLUMNS = [*CHUNK, *ORDER, "late"]
 
 
 def flight_summary(samples: DataFrame) -> DataFrame:
@@ -48,38 +51,57 @@ def heavy_flights(summary: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> Dat
     )
 
 
-def cut_flights(samples: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Add ``chunk``: 0 for most flights, the slice of time for heavy ones.
+def split_flights(samples: DataFrame, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Flagged samples of ordinary flights, and of heavy flights that are delayed.
 
-    The slice never falls as time grows, so chunks follow each other in sample order,
-    and it depends on the time alone; a task that runs again gives the same one.
-    Samples of heavy flights that are on time are dropped here, before any shuffle.
+    The heavy ones get ``chunk``, their slice of time. It never falls as time grows,
+    so chunks follow each other in sample order. Samples of heavy flights that are
+    on time are dropped, before any shuffle.
 
-    Both tests on ``slices`` (here and in chunk_ends) compare it with the chunk, so
-    that neither is pushed into the heavy flights and one broadcast serves both.
+    The test of the chunk against ``slices`` is not pushed into the heavy flights,
+    so that one broadcast serves both results.
     """
+    joined = flag_samples(samples).join(F.broadcast(heavy), KEY, "left")
     chunk = F.expr(f"""
-        CASE WHEN slices IS NULL OR time <= 0 THEN 0
+        CASE WHEN time <= 0 THEN 0
              WHEN time >= {SLICES // SLICES_PER_HOUR} THEN {SLICES - 1}
              ELSE cast(least(floor(time * {SLICES_PER_HOUR}), {SLICES - 1}) AS int) END""")
     return (
-        samples.join(F.broadcast(heavy), KEY, "left")
-        .withColumn("chunk", chunk)
-        .where("chunk < coalesce(slices, 1)")
+        joined.where("slices IS NULL").drop("slices"),
+        joined.withColumn("chunk", chunk).where("chunk < slices").drop("slices"),
     )
 
 
-def chunk_ends(cut: DataFrame) -> DataFrame:
-    """For each chunk of a heavy flight: samples before it, the last point before it,
-    and whether more chunks follow. Empty, and cheap, without heavy flights.
+def _in_order(samples: DataFrame, by: list[str]) -> DataFrame:
+    """Add ``upto``, the copies up to a row, the point before it, and whether it ends its group."""
+    in_group = Window.partitionBy(*by).orderBy(*ORDER)
+    whole = in_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return samples.select(
+        "*",
+        F.sum("copies").over(in_group.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.lag("lat").over(in_group).alias("lag_lat"),
+        F.lag("lon").over(in_group).alias("lag_lon"),
+        F.lead("copies").over(in_group).isNull().alias("ends"),
+        F.bool_or("late").over(whole).alias("any_late"),
+    )
+
+
+def _ordinary_tracks(samples: DataFrame) -> DataFrame:
+    single = samples.select("*", F.lit(0).alias("chunk"), F.lit(1).alias("copies"))
+    return _in_order(single, KEY).where("any_late").selectExpr(
+        *TRACK_COLUMNS, "upto AS chunk_seq", "upto AS seq",
+        "lag_lat AS prev_lat", "lag_lon AS prev_lon", "ends AS is_last",
+    )
+
+
+def _slice_ends(counted: DataFrame) -> DataFrame:
+    """For each slice: samples before it, the last point before it, and whether more follow.
 
     The chunk leads the grouping columns because the sort before the partial
     aggregate compares it first; heavy flights differ in it more than in the key.
     """
-    ends = (
-        cut.where("chunk < slices")
-        .groupBy("chunk", *KEY)
-        .agg(F.count("*").alias("n"), F.max(F.struct("time", "lat", "lon")).alias("last"))
+    ends = counted.groupBy("chunk", *KEY).agg(
+        F.sum("copies").alias("n"), F.max(F.struct("time", "lat", "lon")).alias("last")
     )
     by_chunk = Window.partitionBy(*KEY).orderBy("chunk")
     return ends.select(
@@ -90,37 +112,42 @@ def chunk_ends(cut: DataFrame) -> DataFrame:
     )
 
 
+def _heavy_tracks(samples: DataFrame) -> DataFrame:
+    """Samples with the same key and ORDER are equal in all columns, so they are counted
+    first, inside each task. After ordering, a count becomes rows again: blocks of
+    copies are spread over the tasks, then written out."""
+    counted = samples.groupBy(*CHUNK, *ORDER, "late").agg(F.count("*").alias("copies"))
+    blocks = _in_order(counted, CHUNK).join(_slice_ends(counted), CHUNK, "left").selectExpr(
+        *TRACK_COLUMNS, "copies",
+        "upto - copies + 1 AS chunk_seq",
+        "coalesce(before, 0) + upto - copies + 1 AS seq",
+        "coalesce(lag_lat, carry.lat) AS prev_lat",
+        "coalesce(lag_lon, carry.lon) AS prev_lon",
+        "ends AND NOT goes_on AS is_last",
+        f"explode(sequence(0L, copies - 1, {COPY_BLOCK}L)) AS block",
+    ).repartition(*CHUNK, "seq", "block")
+    copy = f"explode(sequence(block, least(block + {COPY_BLOCK}, copies) - 1)) AS copy"
+    return blocks.selectExpr("*", copy).selectExpr(
+        *TRACK_COLUMNS,
+        "chunk_seq + copy AS chunk_seq",
+        "seq + copy AS seq",
+        "if(copy = 0, prev_lat, lat) AS prev_lat",
+        "if(copy = 0, prev_lon, lon) AS prev_lon",
+        "is_last AND copy = copies - 1 AS is_last",
+    )
+
+
 def delayed_tracks(samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> DataFrame:
     """All samples of the delayed flights with position ``seq`` (from 1), previous
     point and ``is_last``.
 
-    One shuffle of the samples, by key and chunk. The window that orders them also
-    tells whether the flight is delayed, so no join with the delayed keys is needed;
-    for heavy flights the broadcast row tells it. The chunk ends are joined on the
-    columns of the same shuffle.
+    One shuffle of the samples, by key. The window that orders them also tells
+    whether the flight is delayed, so no join with the delayed keys is needed.
+    Without heavy flights adaptive execution removes their part of the plan.
     """
     heavy = heavy_flights(flight_summary(samples), heavy_samples)
-    cut = cut_flights(flag_samples(samples), heavy)
-    in_chunk = Window.partitionBy(*CHUNK).orderBy(*ORDER)
-    whole = in_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = cut.select(
-        "*",
-        F.row_number().over(in_chunk).alias("chunk_seq"),
-        F.lag("lat").over(in_chunk).alias("lag_lat"),
-        F.lag("lon").over(in_chunk).alias("lag_lon"),
-        F.lead(F.lit(1)).over(in_chunk).isNull().alias("ends_chunk"),
-        F.bool_or("late").over(whole).alias("any_late"),
-    ).where("any_late OR slices IS NOT NULL")
-    rows = add_label(rows.join(chunk_ends(cut), CHUNK, "left"))
-    return rows.selectExpr(
-        *[c for c in cut.columns if c != "slices"],
-        "label",
-        "chunk_seq",
-        "coalesce(before, 0) + chunk_seq AS seq",
-        "coalesce(lag_lat, carry.lat) AS prev_lat",
-        "coalesce(lag_lon, carry.lon) AS prev_lon",
-        "ends_chunk AND NOT coalesce(goes_on, false) AS is_last",
-    )
+    ordinary, cut = split_flights(samples, heavy)
+    return add_label(_ordinary_tracks(ordinary).unionByName(_heavy_tracks(cut)))
 
 
 def delayed_flight_samples(samples: DataFrame) -> DataFrame:
@@ -137,12 +164,12 @@ def delayed_flight_samples(samples: DataFrame) -> DataFrame:
 def delayed_flight_samples_window(
     samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES
 ) -> DataFrame:
-    """The same rows from a window over the flight, cut where it is heavy."""
+    """The same rows from a window over the flight; heavy flights need neither window
+    nor shuffle, as the broadcast row says that they are delayed."""
     heavy = heavy_flights(flight_summary(samples), heavy_samples)
-    cut = cut_flights(flag_samples(samples), heavy)
-    flagged = cut.withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*CHUNK)))
-    wanted = flagged.where("any_late OR slices IS NOT NULL")
-    return add_label(wanted.drop("any_late", "slices", "chunk"))
+    ordinary, cut = split_flights(samples, heavy)
+    flagged = ordinary.withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*KEY)))
+    return add_label(flagged.where("any_late").drop("any_late").unionByName(cut.drop("chunk")))
 
 
 def track_segments(tracks: DataFrame) -> DataFrame:

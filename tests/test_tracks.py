@@ -79,19 +79,18 @@ def test_heavy_flights_are_bounded(spark, monkeypatch):
 def test_no_task_holds_a_heavy_flight(spark):
     samples = skewed(spark)
     heavy = tracks.heavy_flights(tracks.flight_summary(samples), 20)
-    cut = tracks.cut_flights(delays.label_samples(samples), heavy)
-    sizes = {}
-    for row in cut.groupBy("flight_id", "chunk").count().collect():
-        sizes.setdefault(row.flight_id, []).append(row["count"])
-    assert "CALM" not in sizes
-    assert len(sizes["HOT"]) > 100 and sum(sizes["HOT"]) == 300
+    ordinary, cut = tracks.split_flights(samples, heavy)
+    assert {r.flight_id for r in ordinary.collect()} == {f"F{n}" for n in range(40)}
+    slices = cut.groupBy("flight_id", "chunk").count().collect()
+    assert {r.flight_id for r in slices} == {"HOT"}
+    assert len(slices) > 100 and sum(r["count"] for r in slices) == 300
     # Half of the samples share one time; no other slice is large.
-    assert sorted(sizes["HOT"])[-2] < 10
-    assert all(len(v) == 1 for k, v in sizes.items() if k != "HOT")
+    assert sorted(r["count"] for r in slices)[-2] < 10
 
 
-def test_chunk_ends_joined_by_sort_merge(spark):
-    """The chunk ends may be too many to broadcast; the samples are still moved once."""
+def test_slice_ends_joined_by_sort_merge(spark):
+    """The slice ends may be too many to broadcast; the table is read three times at most:
+    for the heavy flights, for the ordinary samples, for the heavy samples."""
     names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     before = {n: spark.conf.get(n, None) for n in names}
     for n in names:
@@ -102,9 +101,8 @@ def test_chunk_ends_joined_by_sort_merge(spark):
         ordered = tracks.delayed_tracks(samples, 10)
         ordered.collect()
         plan = ordered._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert "SortMergeJoin" in plan and "ReusedExchange" in plan
-        # heavy flights, samples, chunk ends by key and chunk, by key, and for the join
-        assert plan.count("Exchange hashpartitioning") == 5
+        assert "SortMergeJoin" in plan
+        assert plan.count("FileScan parquet") == 3 and plan.count("ReusedExchange") == 2
     finally:
         for n, v in before.items():
             spark.conf.unset(n) if v is None else spark.conf.set(n, v)
@@ -115,6 +113,19 @@ def test_times_outside_the_slices(spark):
     check(samples_df(spark, *[{"time": t, "lat": float(i)} for i, t in enumerate(times * 3)]), 5)
 
 
+@pytest.mark.parametrize("copy_block", [1, 3, 100_000])
+def test_copies(spark, monkeypatch, copy_block):
+    """One sample makes up a third of all; it is moved as a count and comes back whole."""
+    monkeypatch.setattr(tracks, "COPY_BLOCK", copy_block)
+    copies = [{"flight_id": "HOT", "time": 12.0, "eta": 11.0}] * 50
+    others = [{"flight_id": "HOT", "time": 11.99 + n / 1000, "lat": float(n)} for n in range(20)]
+    rest = [{"flight_id": f"F{n % 9}", "time": 9.0 + n / 10} for n in range(80)]
+    samples = samples_df(spark, *copies, *others, *rest).repartition(5)
+    check(samples, 20)
+    paths = tracks.flight_tracks(tracks.delayed_tracks(samples, 20), 8)
+    assert paths.where("flight_id = 'HOT'").agg({"samples": "sum"}).first()[0] == 70
+
+
 @pytest.mark.parametrize("heavy_samples", [10, 1_000_000])
 def test_join_and_window_forms_agree(spark, heavy_samples):
     for samples in (skewed(spark), derived.derived_samples(spark, SF_SMALL)):
