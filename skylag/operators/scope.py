@@ -37,15 +37,33 @@ def missing_airports(airports: DataFrame, codes: Sequence[str]) -> DataFrame:
     return flags.select(F.inline("codes")).where(~F.col("found")).select("faa")
 
 
-def airport_area(airports: DataFrame, codes: Sequence[str]) -> DataFrame:
-    """One row with the bounds around the requested airports."""
+def _bounds(codes: Sequence[str]) -> list[Column]:
     reach = ONE_AIRPORT_DEG if len(set(codes)) == 1 else TWO_AIRPORT_DEG
-    return lookup_airports(airports, codes).agg(
+    return [
         F.min(F.col("lat") - reach).alias("lat_min"),
         F.max(F.col("lat") + reach).alias("lat_max"),
         F.min(F.col("lon") - reach).alias("lon_min"),
         F.max(F.col("lon") + reach).alias("lon_max"),
-    )
+    ]
+
+
+def airport_area(airports: DataFrame, codes: Sequence[str]) -> DataFrame:
+    """One row with the bounds around the requested airports."""
+    return lookup_airports(airports, codes).agg(*_bounds(codes))
+
+
+def checked_area(airports: DataFrame, codes: Sequence[str]) -> Row:
+    """The bounds as a row at hand; raises if one of the airports is missing.
+
+    This runs a job over the airports. One row with at most the requested codes
+    comes to the driver.
+    """
+    found = F.collect_set("faa").alias("found")
+    row = lookup_airports(airports, codes).agg(*_bounds(codes), found).first()
+    missing = sorted(set(codes) - set(row.found))
+    if missing:
+        raise ValueError(f"airports not found: {', '.join(missing)}")
+    return row
 
 
 def area_center(area: DataFrame) -> DataFrame:

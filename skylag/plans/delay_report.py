@@ -3,9 +3,10 @@
 import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 
 from skylag.operators import delays, layers, scope, tracks
 from skylag.plans import report
@@ -15,19 +16,46 @@ DEFAULT_AIRPORTS = ("LAX",)
 MAX_AIRPORTS = 2
 
 
-@dataclass(frozen=True)
+@dataclass
 class DelayReport:
-    """DataFrames of one analysis; none is computed before it is used."""
+    """DataFrames of one analysis; each is built when asked for, none is computed here."""
 
     area: DataFrame
-    center: DataFrame
     scoped: DataFrame
-    delays: DataFrame
-    summary: DataFrame
-    tracks: DataFrame
-    paths: DataFrame
-    lines: DataFrame
-    layers: dict[str, DataFrame]
+    heavy_samples: int = tracks.HEAVY_SAMPLES
+
+    @cached_property
+    def center(self) -> DataFrame:
+        return scope.area_center(self.area)
+
+    @cached_property
+    def delays(self) -> DataFrame:
+        return delays.flight_delay(self.scoped)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return delays.delay_summary(self.delays)
+
+    @cached_property
+    def tracks(self) -> DataFrame:
+        return tracks.delayed_tracks(self.scoped, self.heavy_samples)
+
+    @cached_property
+    def paths(self) -> DataFrame:
+        return tracks.flight_tracks(self.tracks)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return report.report_lines(self.summary, self.tracks)
+
+    @cached_property
+    def layers(self) -> dict[str, DataFrame]:
+        return {
+            "boundary": layers.area_boundary(self.area),
+            "segments": layers.segment_layer(tracks.track_segments(self.tracks)),
+            "markers": layers.point_layer(layers.first_late_marker(self.scoped)),
+            "paths": layers.track_geojson(self.tracks),
+        }
 
 
 def request_airports(codes: Sequence[str]) -> list[str]:
@@ -38,17 +66,6 @@ def request_airports(codes: Sequence[str]) -> list[str]:
     return list(dict.fromkeys(codes[:MAX_AIRPORTS]))
 
 
-def checked_area(airports: DataFrame, codes: Sequence[str]) -> Row:
-    """Bounds of the requested airports; raises if one of them is missing.
-
-    The only step that brings rows to the driver: at most two codes and one row of bounds.
-    """
-    missing = [row.faa for row in scope.missing_airports(airports, codes).collect()]
-    if missing:
-        raise ValueError(f"airports not found: {', '.join(sorted(missing))}")
-    return scope.airport_area(airports, codes).first()
-
-
 def delay_report(
     samples: DataFrame,
     airports: DataFrame,
@@ -64,29 +81,9 @@ def delay_report(
     are pushed to the scan.
     """
     codes = request_airports(codes)
-    area_row = checked_area(airports, codes)
-    area = scope.airport_area(airports, codes)
-    scoped = scope.scope_samples(samples, area_row, codes, margin, status)
-
-    flight_delays = delays.flight_delay(scoped)
-    summary = delays.delay_summary(flight_delays)
-    ordered = tracks.delayed_tracks(scoped, heavy_samples)
-    return DelayReport(
-        area=area,
-        center=scope.area_center(area),
-        scoped=scoped,
-        delays=flight_delays,
-        summary=summary,
-        tracks=ordered,
-        paths=tracks.flight_tracks(ordered),
-        lines=report.report_lines(summary, ordered),
-        layers={
-            "boundary": layers.area_boundary(area),
-            "segments": layers.segment_layer(tracks.track_segments(ordered)),
-            "markers": layers.point_layer(layers.first_late_marker(scoped)),
-            "paths": layers.track_geojson(ordered),
-        },
-    )
+    area = scope.checked_area(airports, codes)
+    scoped = scope.scope_samples(samples, area, codes, margin, status)
+    return DelayReport(scope.airport_area(airports, codes), scoped, heavy_samples)
 
 
 def write_delay_report(result: DelayReport, path: str, mode: str = "error") -> None:
