@@ -27,8 +27,12 @@ COPY_BLOCK = 100_000
 # Longest path kept in one row.
 PATH_SAMPLES = 10_000
 
-CHUNK = [*KEY, "chunk"]
-TRACK_COLUMNS = [*CHUNK, *ORDER, "late"]
+# The flight inside this module. ``dep_key`` stands for the departure hour: a 64-bit hash
+# of one 64-bit value is one to one. Spark rewrites floating-point grouping columns and
+# then no longer sees that the rows are already together; it does see that for integers.
+FLIGHT = ["flight_id", "year", "month", "day", "dep_key"]
+CHUNK = [*FLIGHT, "chunk"]
+TRACK_COLUMNS = [*KEY, "dep_key", "chunk", *ORDER, "late"]
 
 
 def flight_summary(samples: DataFrame) -> DataFrame:
@@ -62,6 +66,7 @@ def split_flights(samples: DataFrame, heavy: DataFrame) -> tuple[DataFrame, Data
     so that one broadcast serves both results.
     """
     joined = flag_samples(samples).join(F.broadcast(heavy), KEY, "left")
+    joined = joined.withColumn("dep_key", F.xxhash64("dep_time"))
     chunk = F.expr(f"""
         CASE WHEN time <= 0 THEN 0
              WHEN time >= {SLICES // SLICES_PER_HOUR} THEN {SLICES - 1}
@@ -88,7 +93,7 @@ def _in_order(samples: DataFrame, by: list[str]) -> DataFrame:
 
 def _ordinary_tracks(samples: DataFrame) -> DataFrame:
     single = samples.select("*", F.lit(0).alias("chunk"), F.lit(1).alias("copies"))
-    return _in_order(single, KEY).where("any_late").selectExpr(
+    return _in_order(single, FLIGHT).where("any_late").selectExpr(
         *TRACK_COLUMNS, "upto AS chunk_seq", "upto AS seq",
         "lag_lat AS prev_lat", "lag_lon AS prev_lon", "ends AS is_last",
     )
@@ -100,10 +105,10 @@ def _slice_ends(counted: DataFrame) -> DataFrame:
     The chunk leads the grouping columns because the sort before the partial
     aggregate compares it first; heavy flights differ in it more than in the key.
     """
-    ends = counted.groupBy("chunk", *KEY).agg(
+    ends = counted.groupBy("chunk", *FLIGHT).agg(
         F.sum("copies").alias("n"), F.max(F.struct("time", "lat", "lon")).alias("last")
     )
-    by_chunk = Window.partitionBy(*KEY).orderBy("chunk")
+    by_chunk = Window.partitionBy(*FLIGHT).orderBy("chunk")
     return ends.select(
         *CHUNK,
         F.sum("n").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
@@ -116,7 +121,7 @@ def _heavy_tracks(samples: DataFrame) -> DataFrame:
     """Samples with the same key and ORDER are equal in all columns, so they are counted
     first, inside each task. After ordering, a count becomes rows again: blocks of
     copies are spread over the tasks, then written out."""
-    counted = samples.groupBy(*CHUNK, *ORDER, "late").agg(F.count("*").alias("copies"))
+    counted = samples.groupBy(*TRACK_COLUMNS).agg(F.count("*").alias("copies"))
     blocks = _in_order(counted, CHUNK).join(_slice_ends(counted), CHUNK, "left").selectExpr(
         *TRACK_COLUMNS, "copies",
         "upto - copies + 1 AS chunk_seq",
@@ -168,8 +173,9 @@ def delayed_flight_samples_window(
     nor shuffle, as the broadcast row says that they are delayed."""
     heavy = heavy_flights(flight_summary(samples), heavy_samples)
     ordinary, cut = split_flights(samples, heavy)
-    flagged = ordinary.withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*KEY)))
-    return add_label(flagged.where("any_late").drop("any_late").unionByName(cut.drop("chunk")))
+    flagged = ordinary.withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*FLIGHT)))
+    both = flagged.where("any_late").drop("any_late").unionByName(cut.drop("chunk"))
+    return add_label(both.drop("dep_key"))
 
 
 def track_segments(tracks: DataFrame) -> DataFrame:
@@ -198,6 +204,7 @@ def collect_paths(tracks: DataFrame, *columns: str, path_samples: int = PATH_SAM
         .agg(
             F.sort_array(F.collect_list(F.struct("seq", *columns))).alias("path"),
             F.min(F.struct("seq", F.struct("prev_lat", "prev_lon").alias("point"))).alias("first"),
+            F.min("dep_time").alias("dep_time"),
         )
     )
     return pieces.selectExpr(

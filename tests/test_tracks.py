@@ -210,6 +210,13 @@ def test_ordering_moves_the_samples_once(spark):
     assert "Join" not in plan
 
 
+def test_paths_are_collected_where_the_samples_are(spark):
+    paths = tracks.flight_tracks(tracks.delayed_tracks(derived.derived_samples(spark, SF_CHECK)))
+    paths.collect()
+    plan = paths._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_heavy_flights_are_broadcast_once(spark):
     ordered = tracks.track_segments(tracks.delayed_tracks(skewed(spark), 20))
     ordered.collect()
