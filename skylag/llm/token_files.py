@@ -14,40 +14,49 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylag.llm.common import open_store, once_per_process, shared_uri, spread, stored
+from skylag.llm.common import LOWER, open_store, once_per_process, shared_uri, spread, stored
 
 # Words whose ids a worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 500_000
 # A character whose token stands between words that are encoded in one call.
-BETWEEN = "¤"
+BETWEEN = "•"
+# Marks that are tokens of their own behind an ASCII letter or digit.
+TAIL = tuple(b".,;:!?"[k:k + 1] for k in range(6))
 
 
 class WordEncoder:
     """Encodes texts word by word with a tokenizer that never merges across white space.
 
     Words are maximal runs without ASCII white space, and a text's ids are those of its
-    words. This holds for tokenizers whose pre-tokenizer drops white space (checked by
-    ``splits_at_space``); others encode whole texts. Unseen words go to the library
-    together, parted by a character with a known id.
+    words. This holds for tokenizers whose pre-tokenizer drops white space, folds A-Z and
+    parts a closing mark from a word (checked by ``by_words`` on probes); others, and texts
+    that hold ``<|`` as special tokens do, are encoded whole. Unseen words go to the
+    library together: those of letters only end with one end-of-word token each, others
+    are parted by a character with a known id.
     """
 
     def __init__(self, path: str, width: str):
+        import numpy as np
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.width, self.known = Tokenizer.from_file(path), width, {}
         self.between = self.ids(BETWEEN)
-        self.by_word = self.splits_at_space()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+        if suffix:
+            self.ends[[k for t, k in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self.by_word = bool(suffix) and self.by_words()
 
     def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def splits_at_space(self) -> bool:
+    def by_words(self) -> bool:
         one, two = self.ids("Ab, c1"), self.ids("deé F.")
-        return len(self.between) == 1 and all(
+        return len(self.between) == 1 and one == self.ids("ab, c1") and all(
             self.ids(f"Ab, c1{gap}deé F.") == one + two and self.ids(f"Ab,{gap}c1") == self.ids("Ab,") + self.ids("c1")
             for gap in (" ", "\n", "\t\r", "\x0b\x0c")
-        )
+        ) and all(self.ids(f"Ab{m.decode()} c") == self.ids("ab") + self.ids(m.decode()) + self.ids("c") for m in TAIL)
 
     def _bytes(self, ids) -> bytes:
         import numpy as np
@@ -55,37 +64,57 @@ class WordEncoder:
         return np.asarray(ids, dtype=self.width).tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
+        """Ids of new words, those with a closing mark from their parts."""
+        parted = {w for w in words if w.endswith(TAIL) and w[-2:-1].isalnum()}
+        plain = words - parted
+        plain.update(p for w in parted for p in (w[:-1], w[-1:]) if p not in self.known)
+        letters, mixed = [], []
+        for w in plain:
+            text = w.decode()
+            (letters if text.isalpha() else mixed).append(text)
+        self._encode(letters, " ", lambda ids: self.ends[ids], 1)
+        single = [t for t in mixed if BETWEEN in t]
+        mixed = [t for t in mixed if BETWEEN not in t]
+        self._encode(mixed, f" {BETWEEN} ", lambda ids: ids == self.between[0], 0)
+        for text in single:
+            self.known[text.encode()] = self._bytes(self.ids(text))
+        for w in parted:
+            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
+
+    def _encode(self, words: list[str], joint: str, edge, own: int) -> None:
+        """Encode words in one call and cut the ids at the edges, which belong to a word if ``own``."""
         import numpy as np
 
-        plain = [w for w in words if BETWEEN.encode() not in w and b"<|" not in w]
-        for word in words.difference(plain):
-            self.known[word] = self._bytes(self.ids(word.decode()))
-        if plain:
-            ids = np.array(self.ids(f" {BETWEEN} ".join(b"\n".join(plain).decode().split("\n"))))
-            ends = np.flatnonzero(ids == self.between[0])
-            if len(ends) != len(plain) - 1:
-                self.known.update((w, self._bytes(self.ids(w.decode()))) for w in plain)
-                return
-            flat, size = self._bytes(ids), np.dtype(self.width).itemsize
-            starts, stops = [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)]
-            for word, a, b in zip(plain, starts, stops):
-                self.known[word] = flat[a * size:b * size]
+        if not words:
+            return
+        ids = np.array(self.ids(joint.join(words) + (joint if not own else "")), dtype=np.int64)
+        stops = np.flatnonzero(edge(ids))
+        if len(stops) != len(words):
+            self.known.update((w.encode(), self._bytes(self.ids(w))) for w in words)
+            return
+        flat, size = self._bytes(ids), np.dtype(self.width).itemsize
+        stops = stops.tolist()
+        starts = [0, *(k + 1 for k in stops[:-1])]
+        for word, a, b in zip(words, starts, stops):
+            self.known[word.encode()] = flat[a * size:(b + own) * size]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of the given width."""
-        if not self.by_word:
-            return [self._bytes(self.ids(t)) for t in texts]
-        made = []
+        split = []
         for text in texts:
-            words = text.encode().split()
-            if len(self.known) > KEPT_WORDS:
-                self.known.clear()
-            new = set(words).difference(self.known)
-            if new:
-                self._learn(new)
-            known = self.known
-            made.append(b"".join([known[w] for w in words]))
-        return made
+            data = text.encode()
+            whole = not self.by_word or b"<|" in data
+            split.append(None if whole else data.translate(LOWER).split())
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+        known = self.known
+        new = set().union(*(words for words in split if words)).difference(known)
+        if new:
+            self._learn(new)
+        return [
+            self._bytes(self.ids(text)) if words is None else b"".join([known[w] for w in words])
+            for text, words in zip(texts, split)
+        ]
 
 
 def id_width(path: str) -> str:
