@@ -25,12 +25,12 @@ from skylag.llm.common import LOWER, once_per_process, stored
 
 HOT_WORDS = 1 << 20
 BITS = 8
-PROBES = 5
+PROBES = 4
 FILTER_BYTES = 256 << 20
 # N-grams of one slice, tokens gathered before a task counts pairs, words a worker keeps.
-SLICE_GRAMS = 1 << 20
-GATHER = 1 << 21
-KEPT_WORDS = 400_000
+SLICE_GRAMS = 1 << 19
+GATHER = 1 << 20
+KEPT_WORDS = 200_000
 # Share of the pair's relative frequency in a word's probability.
 PAIR_SHARE = 0.7
 # The end of a text, and the start of the next: no word, as words hold no white space.
@@ -259,27 +259,36 @@ class Filter:
             return found
         own = slice_of(h, n)
         start, size = self.starts[kind][own], self.sizes[kind][own]
+        first, step = strides(h)
         alive = np.flatnonzero(size > 0)
         level = 0
         while len(alive):
             level += 1
-            there = np.ones(len(alive), dtype=bool)
-            for place in places_of(h[alive], level, size[alive]):
-                place = place + start[alive]
-                there &= (self.bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            alive = alive[there]
+            there = np.ones(len(alive), dtype=np.uint8)
+            begin = start[alive]
+            for place in places_of(first[alive], step[alive], level, size[alive]):
+                place += begin
+                there &= self.bits[(place >> np.uint64(3)).view(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)
+            alive = alive[(there & 1) > 0]
             found[alive] = level
         return found
 
 
-def places_of(h, level: int, size):
-    """The bits of members ``(h, level)`` in slices of ``size`` bits."""
+def places_of(start, step, level: int, size):
+    """The bits of members ``(n-gram, level)`` in slices of ``size`` bits, one after the other."""
     import numpy as np
 
-    a = mixed(h + np.uint64(level) * np.uint64(0xA0761D6478BD642F))
-    b = mixed(a ^ np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
     for k in range(PROBES):
-        yield (a + np.uint64(k) * b) % size
+        at = start + np.uint64(level * PROBES + k) * step
+        yield ((at >> np.uint64(32)) * size) >> np.uint64(32)
+
+
+def strides(h):
+    """Where the places of an n-gram begin, and the step from one to the next."""
+    import numpy as np
+
+    start = mixed(h)
+    return start, (start * np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
 
 
 def expected(level):
@@ -307,11 +316,12 @@ def build_slices(blobs: DataFrame) -> DataFrame:
         members = int(top.sum())
         size = -(-members * BITS // 64) * 64
         bits = np.zeros(size, dtype=bool)
+        first, step = strides(h)
         for level in range(1, int(top.max()) + 1):
-            h = h[top >= level]
-            top = top[top >= level]
-            for place in places_of(h, level, np.uint64(size)):
-                bits[place.astype(np.int64)] = True
+            enough = top >= level
+            first, step, top = first[enough], step[enough], top[enough]
+            for place in places_of(first, step, level, np.uint64(size)):
+                bits[place.view(np.int64)] = True
         packed = np.packbits(bits, bitorder="little").tobytes()
         return pa.table({
             "kind": pa.array([kind], pa.int32()), "part": pa.array([part], pa.int32()), "slice": pa.array([slice_], pa.int32()),
