@@ -337,12 +337,14 @@ def load_filter(slices: DataFrame, part: int, n_slices: dict):
     """The filter of a part as plain values, for a broadcast of bounded size."""
     import numpy as np
 
-    rows = slices.where(F.col("part") == part).select("kind", "slice", "size", "bits").orderBy("kind", "slice").collect()
-    places, at = {}, 0
-    for kind, slice_, size, _ in rows:
-        places[kind, slice_] = (at, size)
-        at += size
-    return np.frombuffer(b"".join(r[3] for r in rows) or b"\0", dtype=np.uint8), places, n_slices
+    own = slices.where(F.col("part") == part)
+    size = own.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    bits, places, at = np.zeros(size // 8 + 1, dtype=np.uint8), {}, 0
+    for kind, slice_, n, data in own.select("kind", "slice", "size", "bits").toLocalIterator():
+        bits[at // 8:(at + n) // 8] = np.frombuffer(data, dtype=np.uint8)
+        places[kind, slice_] = (at, n)
+        at += n
+    return bits, places, n_slices
 
 
 # ---- scoring

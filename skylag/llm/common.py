@@ -1,5 +1,6 @@
 """Shared folder, per-process values, and connected groups."""
 
+import re
 import sys
 import tempfile
 import uuid
@@ -109,39 +110,48 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
     """Connected groups of nodes that share a bucket and are linked: ``node, root`` for
     nodes with a link.
 
-    ``buckets`` has ``bucket, node``. ``linker`` gets the nodes that share a bucket and
-    gives a function that keeps the links of a frame of pairs ``a, b``. ``far`` is SQL
-    on ``low`` and ``high`` that is true of pairs which are surely no link.
+    ``buckets`` has ``bucket, node, mark``, a mark being a value of the node. ``far`` is
+    SQL on two marks ``x`` and ``y`` that is true of pairs which are surely no link.
+    ``linker`` gets the nodes that share a bucket and gives a function that keeps the
+    links of a frame of pairs ``a, b``.
 
-    Exact, without all pairs of a bucket: first every node is compared with one hub of
-    its bucket, the smallest node, and groups are joined; then, in buckets that still
-    hold two groups, with the largest; then only pairs are compared that share a bucket
-    and are still in different groups. A bucket of near copies is one group after the
-    first steps, and has no pairs left.
+    Exact, without all pairs of a bucket: first each node is compared with one hub, the
+    smallest near node of its buckets' smallest, and groups are joined; then, in buckets
+    that still hold two groups, with a largest one; then the pairs not compared yet that
+    share a bucket and are still in different groups. A bucket of near copies is one
+    group after the first steps, and has no pairs left.
     """
+    def apart(x: str, y: str) -> str:
+        return re.sub(r"\b[xy]\b", lambda m: x if m[0] == "x" else y, far)
+
     whole = Window.partitionBy("bucket")
+    own = F.struct("node", "mark")
     shared = stored(
         buckets.select(
-            "*", F.min("node").over(whole).alias("low"), F.max("node").over(whole).alias("high"),
+            "*", F.min(own).over(whole).alias("low"), F.max(own).over(whole).alias("high"),
             F.count("*").over(whole).alias("members"),
-        ).where(f"low <> high AND NOT (members = 2 AND {far})").drop("members"),
+        ).where(f"low <> high AND NOT (members = 2 AND {apart('low.mark', 'high.mark')})").drop("members"),
         f"{name}-shared",
     )
     link = linker(shared.select("node").distinct())
-    links = None
+    links = tested = None
     for hub in ("low", "high"):
-        pairs = shared.where(f"node <> {hub}").selectExpr(
-            f"least(node, {hub}) AS a", f"greatest(node, {hub}) AS b"
+        near = shared.where(f"node <> {hub}.node AND NOT {apart('mark', f'{hub}.mark')}")
+        pairs = near.groupBy("node").agg(F.min(f"{hub}.node").alias("hub")).selectExpr(
+            "least(node, hub) AS a", "greatest(node, hub) AS b"
         ).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, f"{name}-pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
         found = link(pairs)
         links = stored(found if links is None else links.unionByName(found), f"{name}-links")
-        groups = components(links, f"{name}-stars")
-        shared = _divided(shared, groups, name)
+        shared = _divided(shared, components(links, f"{name}-stars"), name)
     left, right = shared.alias("l"), shared.alias("r")
-    rest = left.join(right, F.expr("l.bucket = r.bucket AND l.grp < r.grp")).selectExpr(
-        "least(l.node, r.node) AS a", "greatest(l.node, r.node) AS b"
-    )
-    links = stored(links.unionByName(link(rest.distinct())), f"{name}-links")
+    rest = left.join(right, F.expr(
+        f"l.bucket = r.bucket AND l.grp < r.grp AND NOT {apart('l.mark', 'r.mark')}"
+    )).selectExpr("least(l.node, r.node) AS a", "greatest(l.node, r.node) AS b").distinct()
+    links = stored(links.unionByName(link(rest.join(tested, ["a", "b"], "left_anti"))), f"{name}-links")
     return components(links, f"{name}-stars")
 
 

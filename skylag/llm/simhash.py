@@ -122,8 +122,9 @@ def simhash_groups(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max
     rows = stored(fingerprints(documents, shingle_words), "simhash-rows")
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     groups = near_components(
-        anchor_rows(distinct), lambda nodes: lambda pairs: pairs.where(f"bit_count(a ^ b) <= {max_bits}"),
-        f"bit_count(low ^ high) > {max_bits}", "simhash",
+        anchor_rows(distinct).withColumn("mark", F.col("node")),
+        lambda nodes: lambda pairs: pairs.where(f"bit_count(a ^ b) <= {max_bits}"),
+        f"bit_count(x ^ y) > {max_bits}", "simhash",
     )
     member = distinct.join(groups, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")

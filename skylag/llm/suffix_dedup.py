@@ -9,7 +9,7 @@ Every byte covered by a string of ``width`` bytes that also starts anywhere else
 2. Pieces that are equal are counted, in each task first. All windows of a piece that
    occurs twice are repeats; a copy costs a row of numbers and no text.
 3. Where a gram has several different pieces, one of each kind is sent with its text to
-   a shard. The shard's suffix array is made by induced sorting: suffixes are
+   a shard, if it may share a window with another by the bytes beside the gram. The shard's suffix array is made by induced sorting: suffixes are
    classified, leftmost-smaller substrings sorted recursively, the array induced from
    them, and the common prefixes computed in text order. A window is a repeat if its
    suffix shares ``width`` bytes with a neighbour in the array.
@@ -36,7 +36,7 @@ CHUNK = 1 << 22
 PLACE_BITS = 24
 
 KEY = ["k0", "k1"]
-PIECES_SCHEMA = "k0 long, k1 long, gram long, piece long, a long, n int"
+PIECES_SCHEMA = "k0 long, k1 long, gram long, piece long, a long, n int, at int, left int, right int"
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -86,12 +86,20 @@ def smallest(values, width: int):
 
 
 def cut(data: bytes, width: int, anchor: int):
-    """The pieces of a text: ``(gram hash, piece hash, first window, windows)``."""
+    """The pieces of a text: ``(gram hash, piece hash, first window, windows, place of the
+    gram in the piece, left hash, right hash)``.
+
+    A window that starts ``half`` bytes before the gram or earlier holds those bytes and
+    the gram, any other the gram and ``width - half`` bytes from there on. The left and
+    the right hash are of these strings, 0 if the piece has no such window: pieces that
+    share neither share no window.
+    """
     import numpy as np
     import xxhash
 
     found = []
-    hashed = xxhash.xxh64_intdigest
+    hashed, short = xxhash.xxh64_intdigest, xxhash.xxh32_intdigest
+    half = (width - anchor) // 2
     for begin in range(0, len(data) - width + 1, CHUNK):
         part = np.frombuffer(data[begin:begin + CHUNK + width - 1], dtype=np.uint8)
         grams = rolling(part, anchor)
@@ -100,9 +108,11 @@ def cut(data: bytes, width: int, anchor: int):
         edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
         at = place[edges[:-1]].astype(np.int64)
         gram = grams[at].view(np.int64).tolist()
-        for g, p, a, b in zip(gram, at.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
-            piece = hashed(data[begin + a:begin + b + width - 1], p - a)
-            found.append((g, piece - (1 << 64) if piece >> 63 else piece, begin + a, b - a))
+        for g, p, a, b in zip(gram, (at + begin).tolist(), (edges[:-1] + begin).tolist(), (edges[1:] + begin).tolist()):
+            piece = hashed(data[a:b + width - 1], p - a)
+            left = (short(data[p - half:p + anchor]) >> 2) + 1 if a <= p - half else 0
+            right = (short(data[p:p + width - half]) >> 2) + 1 if b - 1 > p - half else 0
+            found.append((g, piece - (1 << 64) if piece >> 63 else piece, a, b - a, p - a, left, right))
     return found
 
 
@@ -110,15 +120,15 @@ def pieces(rows: DataFrame, width: int, anchor: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-        names = ["k0", "k1", "gram", "piece", "a", "n"]
+        types = [pa.int64()] * 5 + [pa.int32()] * 4
+        names = ["k0", "k1", "gram", "piece", "a", "n", "at", "left", "right"]
         for batch in batches:
             k0, k1, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
             made = []
             for k in range(batch.num_rows):
                 made += [(k0[k], k1[k], *p) for p in cut(texts[k].as_py().encode(), width, anchor)]
                 if len(made) > 50_000 or k == batch.num_rows - 1:
-                    columns = list(zip(*made)) or [[]] * 6
+                    columns = list(zip(*made)) or [[]] * 9
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
                     made = []
 
@@ -152,10 +162,61 @@ def induced_order(s, size: int):
     before = np.concatenate([[-1], text[:-1]])
     is_larger = np.concatenate([[False], ~smaller[:-1]])
     is_smaller = np.concatenate([[False], smaller[:-1]])
-    larger_before = np.where(is_larger, before, -1).tolist()
-    smaller_before = np.where(is_smaller, before, -1).tolist()
+    larger_kind = np.where(is_larger, before, -1)
+    smaller_kind = np.where(is_smaller, before, -1)
+
+    def induce_buckets(seeds):
+        """The same order, a bucket at a time: what a bucket induces is dealt to the others
+        in one stable sort, and what it induces into itself follows in waves."""
+        seeds = np.asarray(seeds, dtype=np.int64)
+        by = np.argsort(text[seeds], kind="stable")
+        edges = np.searchsorted(text[seeds][by], np.arange(size + 1))
+        seeded = [seeds[by[a:b]] for a, b in zip(edges[:-1], edges[1:])]
+        larger, waiting = [None] * size, [[] for _ in range(size)]
+        nothing = np.zeros(0, dtype=np.int64)
+
+        def pass_on(found, kind, at):
+            """Deal the induced suffixes to other buckets; those of bucket ``at`` come back."""
+            prior = kind[found]
+            found, prior = found[prior >= 0] - 1, prior[prior >= 0]
+            own = prior == at
+            others, to = found[~own], prior[~own]
+            if len(others):
+                by_ = np.argsort(to.astype(np.uint16), kind="stable")
+                others, to = others[by_], to[by_]
+                cuts = np.flatnonzero(np.diff(to)) + 1
+                for c, part in zip(to[np.concatenate([[0], cuts])].tolist(), np.split(others, cuts)):
+                    waiting[c].append(part)
+            return found[own]
+
+        for c in range(size):
+            wave = np.concatenate([nothing, *waiting[c]])
+            waves = []
+            while len(wave):
+                waves.append(wave)
+                wave = pass_on(wave, larger_kind, c)
+            larger[c] = np.concatenate([nothing, *waves])
+            # The seeds stand behind the larger ones of their bucket.
+            pass_on(seeded[c], larger_kind, c)
+        waiting = [[] for _ in range(size)]
+        parts = [None] * size
+        for c in range(size - 1, -1, -1):
+            # From the end: the smaller ones first, in reverse, then the larger ones.
+            wave = np.concatenate([nothing, *waiting[c]])
+            waves = []
+            while len(wave):
+                waves.append(wave)
+                wave = pass_on(wave, smaller_kind, c)
+            backwards = np.concatenate([nothing, *waves])
+            pass_on(larger[c][::-1], smaller_kind, c)
+            parts[c] = np.concatenate([larger[c], backwards[::-1]])
+        parts[0] = np.array([n - 1])
+        return np.concatenate(parts).tolist()
 
     def induce(seeds):
+        if size <= 512 and n > 4 * size:
+            return induce_buckets(seeds)
+        larger_before, smaller_before = larger_kind.tolist(), smaller_kind.tolist()
         order = [-1] * n
         tail = ends[:]
         for k in reversed(seeds):
@@ -203,31 +264,40 @@ def induced_order(s, size: int):
     return induce(seeds)
 
 
-def common_prefixes(text: bytes, order) -> list[int]:
+def common_prefixes(text: bytes, order):
     """For each suffix in text order, the bytes it shares with the one before it in the array.
 
-    The length falls by at most one from a suffix to the next in the text.
+    The length falls by at most one from a suffix to the next in the text, and by just
+    one where the bytes before both are equal; only the other places are compared.
     """
     import numpy as np
 
-    n = len(order)
+    n, order = len(order), np.asarray(order)
     ahead = np.full(n, -1)
-    ahead[np.asarray(order[1:])] = order[:-1]
-    shared, length = [0] * n, 0
-    for k, j in enumerate(ahead.tolist()):
-        if j < 0:
-            length = 0
-            continue
-        end = n - 1 - max(k, j)
-        # Compare in strides first, a byte at a time only at the end.
-        while length + 64 <= end and text[k + length:k + length + 64] == text[j + length:j + length + 64]:
-            length += 64
-        while length < end and text[k + length] == text[j + length]:
-            length += 1
-        shared[k] = length
-        if length:
-            length -= 1
-    return shared
+    ahead[order[1:]] = order[:-1]
+    letters = np.frombuffer(text, dtype=np.uint8)
+    place = np.arange(n)
+    # Where both are preceded by one byte, the length is that of the place before less one.
+    fresh = (place == 0) | (ahead <= 0)
+    fresh[1:] |= letters[place[1:] - 1] != letters[np.maximum(ahead[1:] - 1, 0)]
+    fresh[1:] |= ahead[:-1] < 0
+    shared = np.zeros(n, dtype=np.int64)
+    at = np.flatnonzero(fresh & (ahead >= 0))
+    # Eight bytes at a time, for all places at once; the first different byte is the lowest.
+    padded = text + bytes(16)
+    eight = np.ndarray((n + 8,), dtype="<u8", buffer=padded, strides=(1,)).copy()
+    one, two, end = at, ahead[at], n - 1 - np.maximum(at, ahead[at])
+    length, active = np.zeros(len(at), dtype=np.int64), np.arange(len(at))
+    while len(active):
+        done = length[active]
+        differ = eight[one[active] + done] ^ eight[two[active] + done]
+        low = differ & (~differ + np.uint64(1))
+        more = np.where(differ == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
+        length[active] = np.minimum(done + more, end[active])
+        active = active[(differ == 0) & (done + 8 < end[active])]
+    shared[at] = length
+    last = np.maximum.accumulate(np.where(fresh, place, 0))
+    return np.maximum(shared[last] - (place - last), 0)
 
 
 def repeated_windows(texts: list[bytes], width: int):
@@ -247,7 +317,7 @@ def repeated_windows(texts: list[bytes], width: int):
     begins = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
     left = np.repeat(begins + lengths, lengths + 1) - np.arange(len(flat) - 1)
     # Prefixes are measured up to the joint of either side.
-    shared = np.array(common_prefixes(joined + b"\0", order))[:-1]
+    shared = common_prefixes(joined + b"\0", order)[:-1]
     rank = np.array(order)
     full = np.concatenate([shared, [0]])
     left = np.concatenate([left, [0]])
@@ -346,6 +416,24 @@ def _window_marks(texts: DataFrame, width: int) -> DataFrame:
     return found.select(*KEY, "a", F.lit(1).alias("n"))
 
 
+def _comparable(kinds: DataFrame, width: int, anchor: int) -> DataFrame:
+    """The pieces that share their left or right hash with another of their gram, less the
+    windows of a side that is not shared."""
+    half = (width - anchor) // 2
+    for side in ("left", "right"):
+        more = kinds.where(f"{side} <> 0").groupBy("gram", side).agg(F.count("*").alias("m")).where("m > 1").select(
+            F.col("gram").alias(f"{side}_of"), F.col(side).alias(f"{side}_hash"), F.lit(True).alias(f"{side}_shared")
+        )
+        kinds = kinds.join(more, F.expr(f"gram = {side}_of AND {side} = {side}_hash"), "left")
+    # Windows up to this one start early enough to hold the left string.
+    early = f"greatest(0, least(n, at - {half} + 1))"
+    return kinds.where("left_shared OR right_shared").selectExpr(
+        "first.k0", "first.k1", "gram", "piece", f"first.a + if(left_shared, 0, {early}) AS a",
+        f"cast(if(right_shared, n, {early}) - if(left_shared, 0, {early}) AS int) AS n",
+        f"kinds > {CROWD} AS crowd", "copies",
+    ).where("n > 0")
+
+
 def repeat_marks(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
     """``k0, k1, a, n``: runs of n windows from byte a that occur more than once."""
     all_ = pieces(rows, width, anchor)
@@ -354,16 +442,13 @@ def repeat_marks(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> D
     grams = stored(grams.where("total > 1").select(F.col("gram").alias("of"), "kinds"), "suffix-grams")
     # Grams are grouped by one key and joined with the pieces dealt anew, so a hot gram can be split.
     shared = stored(all_.join(grams, F.col("gram") == F.col("of")).drop("of"), "suffix-pieces")
-    kinds = shared.groupBy("gram", "piece").agg(
+    kinds = stored(shared.groupBy("gram", "piece").agg(
         F.count("*").alias("copies"), F.min(F.struct("k0", "k1", "a")).alias("first"),
-        F.first("n").alias("n"), F.first("kinds").alias("kinds"),
-    )
-    kinds = stored(kinds, "suffix-kinds")
+        *[F.first(c).alias(c) for c in ("n", "at", "left", "right", "kinds")],
+    ), "suffix-kinds")
     twice = kinds.where("copies > 1").select(F.col("gram").alias("g"), F.col("piece").alias("p"))
     whole = shared.join(twice, F.expr("gram = g AND piece = p"), "left_semi").select(*KEY, "a", "n")
-    wanted = kinds.where("kinds > 1").select(
-        "first.k0", "first.k1", "gram", "piece", "first.a", "n", (F.col("kinds") > CROWD).alias("crowd"), "copies"
-    )
+    wanted = _comparable(kinds.where("kinds > 1"), width, anchor)
     texts = stored(_with_text(rows, wanted, width), "suffix-texts").dropDuplicates(["k0", "k1", "a"])
     marks = whole.unionByName(_shard_marks(texts.where("NOT crowd"), width)).unionByName(
         _window_marks(texts.where("crowd"), width)
