@@ -55,6 +55,7 @@ class Transducer:
         self.ids = {p.piece: k for k, p in enumerate(model.pieces) if p.type == NORMAL}
         self.scores = {p.piece: p.score for p in model.pieces if p.type == NORMAL}
         self.text = [p.piece.replace(MARK, " ").encode() for p in model.pieces]
+        self.pieces = [p.piece for p in model.pieces]
         self.byte_ids = [0] * 256
         for k, p in enumerate(model.pieces):
             if p.type == BYTE:
@@ -62,7 +63,11 @@ class Transducer:
                 self.text[k] = bytes([int(p.piece[3:-1], 16)])
             elif p.type in (CONTROL, UNKNOWN):
                 self.text[k] = b"" if p.type == CONTROL else " ⁇ ".encode()
-        self.longest = max(map(len, self.ids))
+        # The length of the longest piece that begins with three characters.
+        self.reach: dict[str, int] = {}
+        for p in self.ids:
+            if len(p) > 2:
+                self.reach[p[:3]] = max(self.reach.get(p[:3], 0), len(p))
         self.lowest = min(self.scores.values(), default=0.0)
         by_word = all(MARK not in p.lstrip(MARK) for p in self.ids)
         self.word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if by_word else "(?s).+")
@@ -91,29 +96,31 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _arcs(self, text: str, at: int) -> list[str]:
+    def _arcs(self, text: str, at: int):
         """The symbols that start at a place, the longest first."""
         ids = self.ids
-        found = [
-            text[at:to] for to in range(min(len(text), at + self.longest), at + 1, -1) if text[at:to] in ids
-        ]
-        found.append(text[at])  # a piece, or a character for byte fallback
-        return found
+        reach = self.reach.get(text[at:at + 3], 2)
+        for to in range(min(len(text), at + reach), at + 1, -1):
+            if text[at:to] in ids:
+                yield text[at:to]
+        yield text[at]  # a piece, or a character for byte fallback
 
     def _shortest_bpe(self, text: str) -> list[str]:
         """The path of finite weight; all such weights are equal, so the agenda is a stack."""
         near, stable = self.near, self.stable
         path: list[str] = []
-        ends, choices = [0], [iter(self._arcs(text, 0))]
+        ends, choices = [0], [self._arcs(text, 0)]
         dead: set[tuple[int, str]] = set()
         while ends[-1] < len(text):
             for symbol in choices[-1]:
                 if (ends[-1] + len(symbol), symbol) in dead:
                     continue
-                fits = stable.get(symbol)
-                if fits is None:
-                    fits = stable[symbol] = self._merged(symbol) == [symbol]
-                if fits and path:
+                if not path:
+                    fits = stable.get(symbol)
+                    if fits is None:
+                        fits = stable[symbol] = self._merged(symbol) == [symbol]
+                else:
+                    # Two neighbours that encode to themselves do so each alone.
                     pair = (path[-1], symbol)
                     fits = near.get(pair)
                     if fits is None:
@@ -124,7 +131,7 @@ class Transducer:
                     path.append(symbol)
                     ends.append(ends[-1] + len(symbol))
                     if ends[-1] < len(text):
-                        choices.append(iter(self._arcs(text, ends[-1])))
+                        choices.append(self._arcs(text, ends[-1]))
                     break
             else:
                 # No arc leads on from this state, whatever came before it.
@@ -146,7 +153,21 @@ class Transducer:
             n = back[n]
         return path[::-1]
 
+    def _closed(self, word: str) -> tuple | None:
+        """Ids of a known word and a closing mark, if the two may be neighbours as they are."""
+        before = self.known.get(word[:-1])
+        mark = self.ids.get(word[-1])
+        if not before or mark is None:
+            return None
+        pair = (self.pieces[before[-1]], word[-1])
+        fits = self.near.get(pair)
+        if fits is None:
+            fits = self.near[pair] = pair[0] in self.ids and self._merged(pair[0] + pair[1]) == [*pair]
+        return (*before, mark) if fits else None
+
     def _word(self, word: str) -> tuple:
+        if self.bpe and word[-1] in ".,;:!?" and (closed := self._closed(word)):
+            return closed
         out = []
         for symbol in (self._shortest_bpe if self.bpe else self._shortest_unigram)(word):
             if symbol in self.ids:

@@ -100,20 +100,43 @@ def cut(data: bytes, width: int, anchor: int):
     found = []
     hashed, short = xxhash.xxh64_intdigest, xxhash.xxh32_intdigest
     half = (width - anchor) // 2
+    for gram, at, edges in anchors(data, width, anchor):
+        for g, p, a, b in zip(gram.tolist(), at.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+            piece = hashed(data[a:b + width - 1], p - a)
+            left = (short(data[p - half:p + anchor]) >> 2) + 1 if a <= p - half else 0
+            right = (short(data[p:p + width - half]) >> 2) + 1 if b - 1 > p - half else 0
+            found.append((g, piece - (1 << 64) if piece >> 63 else piece, a, b - a, p - a, left, right))
+    return found
+
+
+def anchors(data: bytes, width: int, anchor: int):
+    """For each stretch of a text: the gram hashes of its pieces, the places of the grams,
+    and the first windows of the pieces with the end behind them."""
+    import numpy as np
+
+    low = np.uint64((1 << PLACE_BITS) - 1)
     for begin in range(0, len(data) - width + 1, CHUNK):
         part = np.frombuffer(data[begin:begin + CHUNK + width - 1], dtype=np.uint8)
         grams = rolling(part, anchor)
-        low = np.uint64((1 << PLACE_BITS) - 1)
         place = smallest((grams & ~low) | np.arange(len(grams), dtype=np.uint64), width - anchor + 1) & low
         edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
         at = place[edges[:-1]].astype(np.int64)
-        gram = grams[at].view(np.int64).tolist()
-        for g, p, a, b in zip(gram, (at + begin).tolist(), (edges[:-1] + begin).tolist(), (edges[1:] + begin).tolist()):
-            piece = hashed(data[a:b + width - 1], p - a)
-            left = (short(data[p - half:p + anchor]) >> 2) + 1 if a <= p - half else 0
-            right = (short(data[p:p + width - half]) >> 2) + 1 if b - 1 > p - half else 0
-            found.append((g, piece - (1 << 64) if piece >> 63 else piece, a, b - a, p - a, left, right))
-    return found
+        yield grams[at].view(np.int64), at + begin, edges + begin
+
+
+def gram_rows(rows: DataFrame, width: int, anchor: int) -> DataFrame:
+    """The gram hash of every piece."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column(0)
+            for k in range(batch.num_rows):
+                for gram, _, _ in anchors(texts[k].as_py().encode(), width, anchor):
+                    yield pa.RecordBatch.from_arrays([pa.array(gram)], ["gram"])
+
+    return rows.select("text").mapInArrow(run, "gram long")
 
 
 def pieces(rows: DataFrame, width: int, anchor: int) -> DataFrame:
@@ -436,19 +459,19 @@ def _comparable(kinds: DataFrame, width: int, anchor: int) -> DataFrame:
 
 def repeat_marks(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
     """``k0, k1, a, n``: runs of n windows from byte a that occur more than once."""
-    all_ = pieces(rows, width, anchor)
-    kinds = all_.groupBy("gram", "piece").agg(F.count("*").alias("copies"))
-    grams = kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total"))
-    grams = stored(grams.where("total > 1").select(F.col("gram").alias("of"), "kinds"), "suffix-grams")
-    # Grams are grouped by one key and joined with the pieces dealt anew, so a hot gram can be split.
-    shared = stored(all_.join(grams, F.col("gram") == F.col("of")).drop("of"), "suffix-pieces")
+    grams = gram_rows(rows, width, anchor).groupBy("gram").agg(F.count("*").alias("total"))
+    grams = stored(grams.where("total > 1").select(F.col("gram").alias("of")), "suffix-grams")
+    # The counts are written before they are joined, so both sides are dealt anew and a hot gram can be split.
+    shared = stored(pieces(rows, width, anchor).join(grams, F.col("gram") == F.col("of")).drop("of"), "suffix-pieces")
     kinds = stored(shared.groupBy("gram", "piece").agg(
         F.count("*").alias("copies"), F.min(F.struct("k0", "k1", "a")).alias("first"),
-        *[F.first(c).alias(c) for c in ("n", "at", "left", "right", "kinds")],
+        *[F.first(c).alias(c) for c in ("n", "at", "left", "right")],
     ), "suffix-kinds")
     twice = kinds.where("copies > 1").select(F.col("gram").alias("g"), F.col("piece").alias("p"))
     whole = shared.join(twice, F.expr("gram = g AND piece = p"), "left_semi").select(*KEY, "a", "n")
-    wanted = _comparable(kinds.where("kinds > 1"), width, anchor)
+    several = kinds.groupBy("gram", F.pmod("gram", F.lit(7)).alias("part")).agg(F.count("*").alias("kinds")).where(
+        "kinds > 1").select(F.col("gram").alias("of"), "kinds")
+    wanted = _comparable(kinds.join(several, F.col("gram") == F.col("of")).drop("of"), width, anchor)
     texts = stored(_with_text(rows, wanted, width), "suffix-texts").dropDuplicates(["k0", "k1", "a"])
     marks = whole.unionByName(_shard_marks(texts.where("NOT crowd"), width)).unionByName(
         _window_marks(texts.where("crowd"), width)
