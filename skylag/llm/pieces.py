@@ -23,6 +23,7 @@ import zlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from skylag.llm.common import once_per_process
 
@@ -217,9 +218,7 @@ def encode(documents: DataFrame, model: str) -> DataFrame:
             ids = pa.array([None if t is None else fst.encode(t) for t in texts], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "piece_ids"])
 
-    from pyspark.sql.types import ArrayType, IntegerType, StructType
-
-    schema = StructType(documents.schema.fields).add("piece_ids", ArrayType(IntegerType()))
+    schema = StructType([*documents.schema.fields, StructField("piece_ids", ArrayType(IntegerType()))])
     return documents.mapInArrow(run, schema)
 
 
