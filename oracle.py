@@ -1,6 +1,6 @@
 """SQL for DuckDB that computes the registered queries on the same tables."""
 
-from skylag.functions.colors import COLOR_CODES, HTML_COLORS
+from oracle_colors import COLOR_CODES, HTML_COLORS
 
 KEY = "flight_id, year, month, day, dep_time"
 ORDER = "time, lat, lon, eta, arpt, craft_type"
@@ -103,9 +103,7 @@ def short(x: str) -> str:
 
 
 def two(x: str) -> str:
-    h = f"cast(floor(abs({x}) * 100 + 0.5) AS bigint)"
-    return f"""concat(CASE WHEN {x} < 0 THEN '-' ELSE '' END, cast({h} // 100 AS varchar), '.',
-  lpad(cast({h} % 100 AS varchar), 2, '0'))"""
+    return f"printf('%.2f', {x})"
 
 
 DATE = "concat(year, '-', month, '-', day)"
@@ -224,6 +222,14 @@ ring2 AS (
 ring3 AS (
   SELECT *, lam - atan2(sin(turn) * sin(arc) * cos(phi), cos(arc) - sin(phi) * sin(phi2)) + pi() AS x FROM ring2)"""
 
+SHAPES = """
+lines AS (
+  SELECT user_id, hex, count(*) AS n, arg_min(concat_ws('/', value, -value), event_id) AS first_point,
+         arg_max(concat_ws('/', value, -value), event_id) AS last_point,
+         string_agg(concat_ws('/', value, -value), ' ' ORDER BY event_id) AS path
+  FROM events JOIN (SELECT names.hex FROM codes JOIN names ON names.name = codes.name WHERE code = 'c') ON true
+  GROUP BY user_id, hex)"""
+
 GRID = """
 specs AS (
   SELECT faa, lat - 1.5 AS lat_min, lat + 1.5 AS lat_max, lon - 1.0 AS lon_min, lon + 1.0 AS lon_max,
@@ -298,8 +304,27 @@ FROM seqd GROUP BY {KEY}, (seq - 1) // 10000"""),
 SELECT {KEY}, cast(1 AS bigint) AS start, concat(
   '{{"type":"Feature","geometry":{{"type":"LineString","coordinates":[',
   string_agg(concat('[', lon, ',', lat, ']'), ',' ORDER BY seq),
-  ']}},"properties":{{"flight_id":"', flight_id, '","date":"', {DATE}, '","dep_time":', dep_time, '}}}}') AS geojson
+  ']}},"properties":{{"flight_id":"', flight_id, '","date":"', {DATE}, '","dep_time":', dep_time, ',"start":1}}}}') AS geojson
 FROM seqd GROUP BY {KEY} HAVING count(*) > 1"""),
+        "flight_tracks_cut": _all(f"""
+SELECT {KEY}, (seq - 1) // 5 * 5 + 1 AS start, cast(count(*) AS int) AS samples,
+       string_agg(concat_ws('/', label, time, lat, lon), ' ' ORDER BY seq) AS path
+FROM seqd GROUP BY {KEY}, (seq - 1) // 5"""),
+        "polyline_layer": f"""WITH {COLORS}, {SHAPES}
+SELECT user_id, hex AS edge_color, cast(1 AS double) AS edge_alpha, cast(2 AS double) AS edge_width,
+       cast(0.3 AS double) AS face_alpha, hex AS face_color, hex AS color, path FROM lines""",
+        "polygon_layer": f"""WITH {COLORS}, {SHAPES}
+SELECT user_id, hex AS edge_color, cast(1 AS double) AS edge_alpha, cast(2 AS double) AS edge_width,
+       cast(0.3 AS double) AS face_alpha, hex AS face_color, hex AS color,
+       CASE WHEN n = 1 OR first_point = last_point THEN path ELSE concat(path, ' ', first_point) END AS ring FROM lines""",
+        "scatter_circle_layer": f"""WITH {AIRPORTS}, {RING}, {COLORS},
+shape AS (
+  SELECT faa, string_agg(concat(round(degrees(phi2), 6) + 0.0, '/',
+    round(degrees(x - 2 * pi() * floor(x / (2 * pi())) - pi()), 6) + 0.0), ' ' ORDER BY bearing) AS ring
+  FROM ring3 GROUP BY faa)
+SELECT faa, ring, '#000000' AS color, '#000000' AS edge_color, '#000000' AS face_color, cast(1 AS double) AS edge_alpha,
+       cast(1 AS double) AS edge_width, cast(0.3 AS double) AS face_alpha
+FROM shape""",
         "track_segments": _all(f"""
 SELECT {KEY}, seq, prev_lat AS from_lat, prev_lon AS from_lon, lat AS to_lat, lon AS to_lon, label,
        CASE WHEN late THEN '#FF0000' ELSE '#000000' END AS color, 5 AS width
@@ -321,7 +346,7 @@ points AS (
   SELECT event_id, value AS lat, -value AS lon, CASE WHEN event_type <> 'error' THEN event_type END AS comment,
          {picked(COLOR_SPECS, 'event_id')} AS spec FROM events)
 SELECT event_id, lat, lon, coalesce(comment, 'No comment') AS comment,
-       substring(coalesce(hex, spec), 2) AS color
+       substring(coalesce(hex, spec, '#FF0000'), 2) AS color
 FROM points LEFT JOIN codes ON code = spec LEFT JOIN names ON names.name = coalesce(codes.name, spec)""",
         "resolve_colors": f"""WITH {COLORS},
 points AS (SELECT event_id, {picked(COLOR_SPECS, 'event_id')} AS spec FROM events)
@@ -347,9 +372,9 @@ SELECT cast(floor(lat / 0.5) AS bigint) AS lat_cell, cast(floor(lon / 0.5) AS bi
        count(*) AS samples FROM flights GROUP BY ALL""",
         "heatmap_layer": f"""WITH {FLIGHTS}
 SELECT cast(floor((lat - 20.0) / 1.0) AS bigint) AS lat_cell, cast(floor((lon + 130.0) / 1.0) AS bigint) AS lon_cell,
-       count(*) AS samples, 10 AS threshold, 40 AS radius, cast(0.6 AS double) AS opacity, false AS dissipating,
-       'rgba(30, 30, 30, 0) rgba(50, 50, 50, 1)' AS gradient
-FROM flights GROUP BY lat_cell, lon_cell HAVING count(*) >= 10""",
+       count(*) AS samples, 10 AS threshold, 35 AS radius, cast(0.6 AS double) AS opacity, false AS dissipating,
+       'rgba(12, 24, 36, 0) rgba(60, 70, 80, 1)' AS gradient
+FROM flights GROUP BY lat_cell, lon_cell""",
         "grid_lines": f"""WITH {AIRPORTS}, {GRID}
 SELECT faa, 'lat' AS axis, line, lat_min + line * lat_step + lat_step / 2 AS lat_from,
        lat_min + line * lat_step + lat_step / 2 AS lat_to,

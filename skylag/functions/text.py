@@ -5,15 +5,11 @@ The functions take and give SQL text, because the formats nest deeply.
 
 
 def two_decimals(x: str) -> str:
-    """Two-decimal text, built from whole hundredths.
+    """Two-decimal text, rounded from the binary value, half to even.
 
-    ``format_string('%.2f')`` rounds the decimal text of the value while other
-    engines round the binary value; integers give the same text everywhere.
+    ``format_string('%.2f')`` rounds the decimal text of the value instead.
     """
-    hundredths = f"cast(floor(abs({x}) * 100 + 0.5D) AS bigint)"
-    return f"""CASE WHEN isnan({x}) THEN 'nan' ELSE concat(
-        CASE WHEN {x} < 0 THEN '-' ELSE '' END,
-        cast({hundredths} div 100 AS string), '.', lpad(cast({hundredths} % 100 AS string), 2, '0')) END"""
+    return f"CASE WHEN isnan({x}) THEN 'nan' ELSE format_number({x}, '0.00') END"
 
 
 def short_number(x: str) -> str:

@@ -16,6 +16,7 @@ BOUNDARY_COLOR, BOUNDARY_WIDTH = "cornflowerblue", 10
 TRACK_WIDTH = 5
 MARKER_COLOR = "#0008B"
 NO_COMMENT = "No comment"
+POINT_COLOR, SCATTER_COLOR = "#FF0000", "#000000"
 POINT_SIZE = 40
 HEAT_THRESHOLD, HEAT_RADIUS, HEAT_OPACITY = 10, 10, 0.6
 
@@ -77,14 +78,15 @@ def track_geojson(tracks: DataFrame, path_samples: int = PATH_SAMPLES) -> DataFr
             struct('LineString' AS type,
                    if(start > 1, concat(array(array(lead.prev_lon, lead.prev_lat)), {points}), {points})
                    AS coordinates) AS geometry,
-            struct(flight_id, {FLIGHT_DATE} AS date, dep_time) AS properties)) AS geojson""",
+            struct(flight_id, {FLIGHT_DATE} AS date, dep_time, start) AS properties)) AS geojson""",
     )
 
 
-def point_layer(points: DataFrame) -> DataFrame:
+def point_layer(points: DataFrame, default_color: str = POINT_COLOR) -> DataFrame:
     """Markers from ``lat, lon, comment, color``; the colour becomes an icon name,
-    its hex code without the first character."""
-    markers = resolve_colors(points, "color")
+    its hex code without the first character. Scattered points have black as default."""
+    given = points.withColumn("color", F.coalesce("color", F.lit(default_color)))
+    markers = resolve_colors(given, "color")
     return markers.withColumns({
         "comment": F.coalesce("comment", F.lit(NO_COMMENT)),
         "color": F.expr("substring(color, 2)"),
@@ -95,8 +97,8 @@ _BEARINGS = f"sequence(0, {360 - CIRCLE_STEP_DEG}, {CIRCLE_STEP_DEG})"
 
 
 def _metres(sizes: tuple[str, ...]) -> str:
-    given = ", ".join(f"nullif({size}, 0)" for size in sizes)
-    return f"cast(coalesce({given}, {POINT_SIZE}) AS double)"
+    given = "".join(f"nullif({size}, 0), " for size in sizes)
+    return f"cast(coalesce({given}{POINT_SIZE}) AS double)"
 
 
 def circle_ring(points: DataFrame, *sizes: str) -> DataFrame:
@@ -112,9 +114,44 @@ def circle_ring(points: DataFrame, *sizes: str) -> DataFrame:
 
 def circle_layer(points: DataFrame, *sizes: str) -> DataFrame:
     """Each point with the settings of a circle and its ring as one array of vertices."""
+    return resolve_style(points.selectExpr("*", _ring(sizes)), circle=True)
+
+
+def scatter_circle_layer(points: DataFrame, *sizes: str) -> DataFrame:
+    """Scattered points drawn as circles. Their settings are those of any shape, and
+    the face has the main colour."""
+    styled = resolve_style(points.selectExpr("*", _ring(sizes)))
+    return styled.withColumn("face_color", F.col("color"))
+
+
+def _ring(sizes: tuple[str, ...]) -> str:
     lat, lon = circle_vertex("lat", "lon", _metres(sizes), "bearing")
-    ring = f"transform({_BEARINGS}, bearing -> struct({lat} AS lat, {lon} AS lon)) AS ring"
-    return resolve_style(points.selectExpr("*", ring), circle=True)
+    return f"transform({_BEARINGS}, bearing -> struct({lat} AS lat, {lon} AS lon)) AS ring"
+
+
+def polyline_layer(points: DataFrame, key: list[str], order: str) -> DataFrame:
+    """A line through the points of each key in the given order, with its style.
+
+    Columns beside the key, the order, ``lat`` and ``lon`` are settings; those of the
+    first point hold. A line is one row, so its points must fit into one.
+    """
+    return resolve_style(_shapes(points, key, order).withColumnRenamed("points", "path"))
+
+
+def polygon_layer(points: DataFrame, key: list[str], order: str) -> DataFrame:
+    """An area bounded by the points of each key in the given order, closed by the first
+    point, with edge and face style; else like polyline_layer."""
+    shapes = _shapes(points, key, order)
+    ring = "if(points[0] = points[size(points) - 1], points, concat(points, slice(points, 1, 1))) AS ring"
+    return resolve_style(shapes.selectExpr("* EXCEPT (points)", ring))
+
+
+def _shapes(points: DataFrame, key: list[str], order: str) -> DataFrame:
+    style = [c for c in points.columns if c not in (*key, order, "lat", "lon")]
+    rows = F.array_sort(F.collect_list(F.struct(order, "lat", "lon", *style)))
+    return points.groupBy(*key).agg(rows.alias("rows")).selectExpr(
+        *key, "transform(rows, r -> struct(r.lat AS lat, r.lon AS lon)) AS points", *[f"rows[0].{c} AS {c}" for c in style]
+    )
 
 
 def sample_density(

@@ -28,11 +28,14 @@ def resolve_style(df: DataFrame, circle: bool = False) -> DataFrame:
     """Replace the style columns a table has by the six settings of a shape.
 
     Zero counts as not given, also for an alpha. A circle without a face alpha is
-    filled with 0.5 instead of 0.3.
+    filled with 0.5 instead of 0.3, and one without a face colour in black: ``fc`` is
+    not looked at.
     """
     if circle:
-        given = F.col("face_alpha") if "face_alpha" in df.columns else F.lit(None)
-        df = df.withColumn("face_alpha", F.coalesce(given, F.lit(CIRCLE_FACE_ALPHA)))
+        defaults = {"face_alpha": CIRCLE_FACE_ALPHA, "face_color": "#000000"}
+        for name, value in defaults.items():
+            given = F.col(name) if name in df.columns else F.lit(None)
+            df = df.withColumn(name, F.coalesce(given, F.lit(value)))
     used = {n for names, _ in STYLE_RULES.values() for n in names}
     styled = df.select(
         *[c for c in df.columns if c not in used],

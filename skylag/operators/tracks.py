@@ -15,9 +15,6 @@ from skylag.schema import KEY, ORDER
 
 # A flight with more samples than this is heavy.
 HEAVY_SAMPLES = 1_000_000
-# The heavy flights are broadcast. This bounds them; any flight left out is no larger
-# than each of these, so holds less than 1/1000 of the samples, and stays in one chunk.
-HEAVY_FLIGHTS = 1000
 # Chunks of a heavy flight: slices of 20 seconds over two days. Samples outside go
 # to the first or the last slice.
 SLICES_PER_HOUR = 180
@@ -43,14 +40,12 @@ def flight_summary(samples: DataFrame) -> DataFrame:
 
 
 def heavy_flights(summary: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> DataFrame:
-    """The flights to cut, at most HEAVY_FLIGHTS rows, with the end of their chunk numbers.
+    """The flights to cut, with the end of their chunk numbers.
 
     For a heavy flight without a late sample that is 0: none of its samples is wanted.
     """
     return (
         summary.where(F.col("samples") > heavy_samples)
-        .orderBy(F.desc("samples"), *KEY)
-        .limit(HEAVY_FLIGHTS)
         .selectExpr(*KEY, f"coalesce(if(any_late, {SLICES}, 0), 0) AS slices")
     )
 
@@ -62,13 +57,14 @@ def split_flights(samples: DataFrame, heavy: DataFrame) -> tuple[DataFrame, Data
     so chunks follow each other in sample order. Samples of heavy flights that are
     on time are dropped, before any shuffle.
 
-    The test of the chunk against ``slices`` is not pushed into the heavy flights,
-    so that one broadcast serves both results.
+    There are at most as many heavy flights as the limit fits into the number of
+    samples; Spark broadcasts them if they are few. The test of the chunk against
+    ``slices`` is not pushed into them, so that one join side serves both results.
     """
-    joined = flag_samples(samples).join(F.broadcast(heavy), KEY, "left")
+    joined = flag_samples(samples).join(heavy, KEY, "left")
     joined = joined.withColumn("dep_key", F.xxhash64("dep_time"))
     chunk = F.expr(f"""
-        CASE WHEN time <= 0 THEN 0
+        CASE WHEN time IS NULL OR time <= 0 THEN 0
              WHEN time >= {SLICES // SLICES_PER_HOUR} THEN {SLICES - 1}
              ELSE cast(least(floor(time * {SLICES_PER_HOUR}), {SLICES - 1}) AS int) END""")
     return (
@@ -195,12 +191,13 @@ def collect_paths(tracks: DataFrame, *columns: str, path_samples: int = PATH_SAM
 
     A flight of more than ``path_samples`` samples gives several rows, told apart
     by the position ``start`` of their first sample; ``lead`` is the point before
-    it. Rows stay bounded, and the pieces of a chunk are collected where the chunk
-    already is.
+    it. Pieces follow from positions alone, so they are the same however the flight
+    was cut to be ordered. Rows stay bounded, and without heavy flights the pieces
+    are collected where the samples already are.
     """
     pieces = (
-        tracks.withColumn("piece", F.expr(f"(chunk_seq - 1) div {path_samples}"))
-        .groupBy(*CHUNK, "piece")
+        tracks.withColumn("piece", F.expr(f"(seq - 1) div {path_samples}"))
+        .groupBy(*FLIGHT, "piece")
         .agg(
             F.sort_array(F.collect_list(F.struct("seq", *columns))).alias("path"),
             F.min(F.struct("seq", F.struct("prev_lat", "prev_lon").alias("point"))).alias("first"),

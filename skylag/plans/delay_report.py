@@ -1,12 +1,12 @@
 """The delay analysis from samples and airports to statistics, tracks and layers."""
 
-import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skylag.operators import delays, layers, scope, tracks
 from skylag.plans import report
@@ -14,6 +14,8 @@ from skylag.plans import report
 # Default airport and the most airports of a request.
 DEFAULT_AIRPORTS = ("LAX",)
 MAX_AIRPORTS = 2
+# Fixed value: zoom of the map.
+ZOOM = 8
 
 
 @dataclass
@@ -28,6 +30,11 @@ class DelayReport:
     def center(self) -> DataFrame:
         return scope.area_center(self.area)
 
+    @cached_property
+    def view(self) -> DataFrame:
+        """Where the map opens: the centre of the area, and the zoom."""
+        return self.center.withColumn("zoom", F.lit(ZOOM))
+
     @cached_property
     def delays(self) -> DataFrame:
         return delays.flight_delay(self.scoped)
@@ -59,11 +66,12 @@ class DelayReport:
 
 
 def request_airports(codes: Sequence[str]) -> list[str]:
-    """The first two codes of a request, or the default; further ones are reported."""
-    codes = list(codes) or list(DEFAULT_AIRPORTS)
-    for code in codes[MAX_AIRPORTS:]:
-        warnings.warn(f"airport not processed: {code}")
-    return list(dict.fromkeys(codes[:MAX_AIRPORTS]))
+    """The codes of a request, or the default. More than two are an error: an analysis of
+    fewer airports than asked would look complete."""
+    codes = list(dict.fromkeys(codes)) or list(DEFAULT_AIRPORTS)
+    if len(codes) > MAX_AIRPORTS:
+        raise ValueError(f"at most {MAX_AIRPORTS} airports, not {', '.join(codes)}")
+    return codes
 
 
 def delay_report(
@@ -91,13 +99,14 @@ def write_delay_report(result: DelayReport, path: str, mode: str = "error") -> N
     tables, and one GeoJSON feature per text line for the paths.
 
     Several outputs read the scoped samples and the ordered tracks, so both are
-    kept in memory or on local disk while writing; a lost executor's part is
-    computed again.
+    kept in memory or on local disk while writing, unless the caller keeps them; a
+    lost executor's part is computed again.
     """
-    kept = [result.scoped, result.tracks]
+    kept = [df for df in (result.scoped, result.tracks) if df.storageLevel == StorageLevel.NONE]
     for df in kept:
         df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        result.view.write.mode(mode).parquet(f"{path}/view")
         result.delays.write.mode(mode).parquet(f"{path}/flight_delay")
         result.summary.write.mode(mode).parquet(f"{path}/delay_summary")
         report.write_report(result.lines, f"{path}/delay_text", mode)

@@ -18,13 +18,17 @@ WHITESPACE = " \t\n\r\x0b\x0c"
 def parse_track_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Decode ``|``-separated lines into the 18 typed sample columns.
 
-    A bad number or a missing field fails the job under ANSI mode, which Spark 4
-    has on by default. Fields past the last one are ignored.
+    A bad number or a missing field fails the job, also where a query does not use
+    that field. Fields past the last one are ignored.
     """
     rows = lines.select(F.split(F.btrim(F.col(column), F.lit(WHITESPACE)), r"\|").alias("fields"))
-    places = {name: f"fields[{i}]" for i, name in enumerate(TRACK_FIELDS)}
-    places |= {name: f"split({places['date']}, '-')[{i}]" for i, name in enumerate(DATE_PARTS)}
-    return rows.selectExpr(
+    places = {name: f"get(fields, {i})" for i, name in enumerate(TRACK_FIELDS)}
+    places |= {name: f"get(split({places['date']}, '-'), {i})" for i, name in enumerate(DATE_PARTS)}
+    numbers = [f for f in TRACK_SCHEMA if f.dataType.simpleString() != "string"]
+    bad = " OR ".join(f"try_cast({places[f.name]} AS {f.dataType.simpleString()}) IS NULL" for f in numbers)
+    message = "concat('bad track line: ', array_join(fields, '|'))"
+    good = f"if(size(fields) < {len(TRACK_FIELDS)} OR {bad}, raise_error({message}), true)"
+    return rows.where(good).selectExpr(
         *[f"cast({places[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in TRACK_SCHEMA]
     )
 

@@ -4,6 +4,7 @@ import math
 import pytest
 from helpers import samples_df
 
+from pyspark.sql import functions as F
 from skylag.functions.colors import COLOR_CODES, HTML_COLORS, color_table, hex_color
 from skylag.operators import layers, tracks
 from skylag.operators.style import resolve_style
@@ -121,8 +122,25 @@ def test_geojson_pieces_join_up(spark):
     whole = layers.track_geojson(tracks.delayed_tracks(df)).collect()
     assert len(whole) == 1
     feature = json.loads(whole[0].geojson)
-    assert feature["properties"] == {"flight_id": "UAL1", "date": "2004-5-1", "dep_time": 9.0}
+    assert feature["properties"] == {"flight_id": "UAL1", "date": "2004-5-1", "dep_time": 9.0, "start": 1}
     assert feature["geometry"]["coordinates"] == [[-118.0, 30.0 + n] for n in range(5)]
     pieces = layers.track_geojson(tracks.delayed_tracks(df), 2).orderBy("start").collect()
     lines = [json.loads(p.geojson)["geometry"]["coordinates"] for p in pieces]
     assert [[y for _, y in line] for line in lines] == [[30, 31], [31, 32, 33], [33, 34]]
+
+
+def test_circle_colours_and_default_size(spark):
+    assert styled(spark, "fc string", "y", circle=True)["face_color"] == "#000000"
+    assert styled(spark, "face_color string", "y", circle=True)["face_color"] == "#FFFF00"
+    points = spark.createDataFrame([(10.0, 20.0, "r")], "lat double, lon double, color string")
+    plain = layers.circle_ring(points).where("bearing = 0").first()
+    sized = layers.circle_ring(points.withColumn("size", F.lit(40)), "size").where("bearing = 0").first()
+    assert plain.ring_lat == sized.ring_lat
+    row = layers.scatter_circle_layer(points).first()
+    assert (row.face_alpha, row.face_color, row.edge_color) == (0.3, "#FF0000", "#FF0000")
+
+
+def test_default_marker_colour(spark):
+    points = spark.createDataFrame([(1.0, 2.0, None, None)], "lat double, lon double, comment string, color string")
+    assert layers.point_layer(points).first().color == "FF0000"
+    assert layers.point_layer(points, layers.SCATTER_COLOR).first().color == "000000"

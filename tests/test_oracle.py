@@ -1,6 +1,7 @@
 """Every registered query against its SQL in DuckDB."""
 
 import math
+import re
 from collections import Counter
 
 import duckdb
@@ -10,8 +11,10 @@ from conftest import SF_CHECK, SF_SMALL
 import __spark_entry__ as entry
 
 TABLES = ["events", "nation", "customer"]
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+# The queries of the training-data operators are tested with their package.
+OWN = {name for name in entry.queries() if not re.match(r"op\d+_|pipeline$", name)}
+QUERIES = {k: q for k, q in entry.queries().items() if k in OWN}
+ORACLES = {k: q for k, q in entry.oracle_sql().items() if k in OWN}
 
 
 def plain(value):

@@ -62,8 +62,8 @@ def test_request_rules():
     assert request_airports([]) == ["LAX"]
     assert request_airports(["SFO", "LAX"]) == ["SFO", "LAX"]
     assert request_airports(["SFO", "SFO"]) == ["SFO"]
-    with pytest.warns(UserWarning, match="JFK"):
-        assert request_airports(["SFO", "LAX", "JFK"]) == ["SFO", "LAX"]
+    with pytest.raises(ValueError, match="JFK"):
+        request_airports(["SFO", "LAX", "JFK"])
 
 
 def test_options(spark):
@@ -105,6 +105,8 @@ def test_written_report(spark, tmp_path):
         "Time: 11.50\tLat: 34.00\tLon: -118.00\tStatus: Delayed",
         "Time: 12.25\tLat: -34.01\tLon: -118.00\tStatus: Delayed", "", "",
     ]) + "\n"
+    view = spark.read.parquet(str(tmp_path / "out" / "view")).first()
+    assert (view.center_lat, view.center_lon, view.zoom) == (0.0, -118.0, 8)
     markers = spark.read.parquet(str(tmp_path / "out" / "layers" / "markers")).collect()
     assert {r.flight_id: r.comment for r in markers}["UAL1"] == (
         r"Flight ID: UAL1\nDate: 2004-5-1\nDeparted Time: 9.0\nETA: 11.0\nAirport: LAX\nTime: 11.5\n"
@@ -134,3 +136,14 @@ def test_scoped_samples_are_read_once_when_kept(spark):
         assert "InMemoryTableScan" in plan
     finally:
         result.scoped.unpersist()
+
+
+def test_two_decimals_of_the_fixture(spark):
+    """The text of every position and time is that of printf."""
+    from skylag.functions.text import two_decimals
+
+    rows = derived.derived_samples(spark, SF_CHECK).selectExpr(
+        *[f"{c} AS {c}" for c in ("time", "lat", "lon")], *[f"{two_decimals(c)} AS {c}_text" for c in ("time", "lat", "lon")]
+    ).collect()
+    assert len(rows) == 10_000
+    assert all(r[f"{c}_text"] == "%.2f" % r[c] for r in rows for c in ("time", "lat", "lon"))

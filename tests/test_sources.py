@@ -74,8 +74,8 @@ def test_line_decode(spark):
     LINE.replace("10.5", "ten"), LINE.replace("2004-05-01", "2004-05"), "|".join(LINE.split("|")[:-1]), "",
 ])
 def test_bad_line_fails_the_job(spark, bad):
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT|INVALID_ARRAY_INDEX"):
-        parse_track_lines(lines_df(spark, bad)).collect()
+    with pytest.raises(Exception, match="bad track line"):
+        parse_track_lines(lines_df(spark, bad)).count()
 
 
 def test_airport_lines_and_file_agree(spark, tmp_path):
