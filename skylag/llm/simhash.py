@@ -49,7 +49,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` of every document; a null text has no words. Other columns are ignored."""
+    """``doc_id, fp, text_hash`` of every document; a null text has no words. Other columns are ignored."""
 
     def run(batches):
         import pyarrow as pa
@@ -57,9 +57,11 @@ def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Da
         for batch in batches:
             texts = batch.column(1)
             fps = [fingerprint(texts[k].as_py(), shingle_words) for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fps, pa.int64()), batch.column(2)], ["doc_id", "fp", "text_hash"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
 def anchors_of(fps):
@@ -117,6 +119,11 @@ def simhash_groups(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max
     without words share fingerprint zero. Repeated rows are each answered. The join
     of documents with their fingerprint's component can be split at a hot fingerprint.
     """
+    return _grouped(documents, shingle_words, max_bits).select("doc_id", "fp", "component_id")
+
+
+def _grouped(documents: DataFrame, shingle_words: int, max_bits: int) -> DataFrame:
+    """``doc_id, fp, text_hash, root, component_id``; root tells components without any doc_id apart."""
     if max_bits > 4:
         raise ValueError("anchors cover at most 4 differing bits")
     rows = stored(fingerprints(documents, shingle_words), "simhash-rows")
@@ -133,19 +140,24 @@ def simhash_groups(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max
         F.min("first_id").alias("component_id")
     ).select(F.col("root").alias("of_root"), "component_id")
     labels = stored(
-        member.join(least, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of_fp"), "component_id"),
+        member.join(least, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of_fp"), "root", "component_id"),
         "simhash-labels",
     )
-    return rows.join(labels, F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "component_id")
+    return rows.join(labels, F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
 def drop_near_copies(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each group, that with the smallest doc_id, with all its columns.
 
-    Rows that repeat that doc_id count as one document: one of them stays. Documents of
-    a group without any doc_id all go but one.
+    A document is a doc_id with a text; rows that repeat both count as one, and one of
+    them stays. Texts that share a doc_id, or have none, are documents of their own: each
+    group keeps that with the smallest doc_id, null last, and then the smallest text hash.
     """
-    groups = simhash_groups(documents, shingle_words, max_bits)
-    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_simhash_kept")).distinct()
-    kept = documents.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_simhash_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    groups = _grouped(documents, shingle_words, max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    keep = groups.groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("_simhash_kept"), F.col("first.text_hash").alias("_simhash_hash")
+    )
+    text = documents.withColumn("_simhash_text", F.xxhash64("text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_simhash_kept")) & (F.col("_simhash_text") == F.col("_simhash_hash"))
+    return text.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_simhash_text"]).drop("_simhash_text")

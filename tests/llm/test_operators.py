@@ -256,6 +256,17 @@ def test_simhash(spark, docs, texts, empty):
     assert simhash.simhash_groups(empty).count() == 0
 
 
+def test_near_copies_without_or_with_shared_ids(spark):
+    rng = random.Random(9)
+    clean = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(50)) for _ in range(26)]
+    ids = [None] * 20 + [7, 7, 7, 8, 9, 9]
+    copies = [(None, clean[0]), (5, clean[1]), (6, clean[21]), (7, clean[20])]
+    frame = documents(spark, clean + [t for _, t in copies], ids + [i for i, _ in copies])
+    kept = simhash.drop_near_copies(frame)
+    want = Counter(zip(ids, clean)) - Counter([(None, clean[1]), (7, clean[21])]) + Counter(copies[1:3])
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == want
+
+
 def test_anchors_meet():
     rng = np.random.default_rng(4)
     x = rng.integers(-(1 << 62), 1 << 62, 200)
