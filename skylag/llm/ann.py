@@ -21,7 +21,7 @@ from skylag.llm.common import stored
 FIT_VECTORS = 20_000
 LIST_VECTORS = 200
 ROUNDS = 12
-# Neighbours of a centroid in the graph, and centroids kept during a search.
+# Neighbours of a centroid in the graph, and centroids kept during a search at first.
 DEGREE = 16
 BEAM = 64
 # A vector goes to every list this much farther than the closest at most, a query reads such lists.
@@ -96,11 +96,13 @@ class Lists:
 
         return np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :], 0)
 
-    def search(self, points, beam: int = BEAM):
+    def search(self, points, ratio: float, beam: int = BEAM):
         """For each point the nearest centroids found and their distances, nearest first.
 
         Best-first over the graph, all points at once: each step expands the nearest
         centroid of a point's beam that is not expanded yet, until all of the beam are.
+        Points whose beam ends within ``ratio`` of their closest centroid go on with one
+        twice as wide, so the ratio alone decides how many centroids are near.
         """
         import numpy as np
 
@@ -110,8 +112,15 @@ class Lists:
         done = np.zeros((n, k), dtype=bool)
         rows = np.arange(n)
         dist[:, self.entries] = np.sqrt(self._squares(points, self.centers[self.entries]))
-        active = rows
-        while len(active):
+        active = growing = rows
+        while len(growing):
+            if not len(active):
+                own = np.partition(dist[growing], beam - 1, axis=1)
+                growing = active = growing[own[:, beam - 1] <= ratio * own[:, :beam].min(axis=1)]
+                if beam == k:
+                    break
+                beam = min(2 * beam, k) if len(growing) else beam
+                continue
             own = dist[active]
             edge = np.partition(own, beam - 1, axis=1)[:, beam - 1]
             waiting = np.where(done[active] | (own > edge[:, None]), np.inf, own)
@@ -119,7 +128,7 @@ class Lists:
             open_ = np.isfinite(waiting[np.arange(len(active)), pick])
             active, pick = active[open_], pick[open_]
             if not len(active):
-                break
+                continue
             done[active, pick] = True
             new = self.edges[pick]
             r, c = np.nonzero(np.isinf(dist[active[:, None], new]))
@@ -154,7 +163,7 @@ def _assign(vectors: DataFrame, shared, largest: float, ratio: float, query: boo
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                found, dist = lists.search(_extended(_matrix(part.column(1)), largest, query))
+                found, dist = lists.search(_extended(_matrix(part.column(1)), largest, query), ratio)
                 limit = dist[:, :1] * ratio
                 row, col = np.nonzero((dist <= limit) & np.isfinite(dist))
                 take = pa.array(row)

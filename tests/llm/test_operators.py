@@ -231,6 +231,23 @@ def test_nearest(spark):
     assert ann.nearest(frame.where("vec_id IN (0, 1, 2)")).count() == 2
 
 
+def test_all_lists_within_the_ratio_are_found():
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(4000, 64))
+    vectors /= np.sqrt((vectors**2).sum(axis=1))[:, None]
+    lists = ann.Lists(vectors, 200)
+    points = rng.normal(size=(300, 64))
+    points /= np.sqrt((points**2).sum(axis=1))[:, None]
+    all_ = np.sqrt(((points[:, None] - lists.centers[None]) ** 2).sum(axis=2))
+    want = all_ <= ann.PROBE * all_.min(axis=1, keepdims=True)
+    assert want.sum(axis=1).max() > ann.BEAM
+    found, dist = lists.search(points, ann.PROBE)
+    got = np.zeros_like(want)
+    row, col = np.nonzero(dist <= ann.PROBE * dist[:, :1])
+    got[row, found[row, col]] = True
+    assert (got & want).sum() >= 0.999 * want.sum()
+
+
 def test_simhash(spark, docs, texts, empty):
     prints = {}
     for i, text in enumerate(texts):
