@@ -4,7 +4,8 @@ A document is a bag of sentences. Each sentence has a probability from a logisti
 model over its words and their beginnings, and the document's is their noisy-or, one minus the product of
 the complements. Only documents have labels; the gradient of the document's
 likelihood gives each sentence its share, so the model learns which sentences made
-a document toxic, and names them.
+a document toxic, and names them. Scores count what a sentence holds beyond one without
+any evidence: a sentence that speaks for nothing adds nothing, however many there are.
 """
 
 import math
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from skylag.llm.decontam import FOLD
 
-# Bounds of the sample that the model is fitted on.
+# Bounds of the sample that the model is fitted on: documents, and their mean characters.
 FIT_DOCUMENTS = 6000
 FIT_CHARS = 20_000
 # Fewest documents of the sample that hold a feature of the model.
@@ -106,7 +107,7 @@ class Scorer:
         self.plain = math.log1p(math.exp(bias))
 
     def score(self, text: str | None) -> tuple[float, list[dict]]:
-        """Noisy-or over the sentences of a text, and its offending sentences."""
+        """Noisy-or over the sentences of a text, each beyond a plain one, and its offending sentences."""
         known, none, bad = self.known, 0.0, []
         for start, length, words in sentences(text or ""):
             logit = self.bias
@@ -118,10 +119,9 @@ class Scorer:
                     value = known[word] = math.fsum(self.weights.get(f, 0.0) for f in features(word))
                 if value:
                     logit += value
-            if logit == self.bias:
-                none += self.plain
+            if logit <= self.bias:
                 continue
-            none += max(logit, 0.0) + math.log1p(math.exp(-abs(logit)))
+            none += max(logit, 0.0) + math.log1p(math.exp(-abs(logit))) - self.plain
             if logit >= 0:
                 bad.append({"start": start, "length": length, "score": 1 / (1 + math.exp(-logit))})
         return -math.expm1(-none), bad
@@ -138,7 +138,8 @@ def fit_sample(
     """Fit on a bounded sample: the labelled ids with the smallest hashes.
 
     Repeated labels of an id count as toxic if one does; null labels and null texts are
-    left out. Of the sample, texts above ``fit_chars`` characters are not learned from.
+    left out. The sample has at most ``fit_documents`` times ``fit_chars`` characters; only
+    if it has more are its longest texts not learned from.
     The labels, not the documents, are sampled, and they are few enough to broadcast.
     """
     ids = (
@@ -147,7 +148,15 @@ def fit_sample(
         .orderBy(F.xxhash64("label_id"), "label_id").limit(fit_documents)
     )
     rows = documents.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("label_id"))
-    rows = rows.where(F.char_length("text") <= fit_chars).orderBy("doc_id", "text").limit(fit_documents)
+    # Lengths come first, so that no text beyond the bound is read into the driver.
+    sizes = rows.groupBy(F.char_length("text").alias("n")).agg(F.count("*").alias("rows")).orderBy("n")
+    room, longest = fit_documents * fit_chars, -1
+    for n, count in sizes.where("n IS NOT NULL").toLocalIterator():
+        room -= n * count
+        if room < 0:
+            break
+        longest = n
+    rows = rows.where(F.char_length("text") <= longest).orderBy("doc_id", "text").limit(fit_documents)
     sample = rows.select("text", "label").collect()
     return fit([r[0] for r in sample], [r[1] for r in sample])
 

@@ -106,6 +106,30 @@ def test_toxicity(spark):
     assert toxicity.toxicity(docs.where("false"), frame.where("false")).count() == 0
 
 
+def test_long_texts_are_learned_and_clean_ones_kept(spark):
+    rng = random.Random(2)
+    plain = ["river", "stone", "cloud", "apple", "green", "house", "paper", "light"]
+
+    def text(n, bad=None, length=6):
+        made = [" ".join(rng.choice(plain) for _ in range(length)) for _ in range(n)]
+        if bad:
+            made[n // 2] += " " + bad
+        return ". ".join(made) + "."
+
+    texts = [text(5, "foulwort" if i % 4 == 0 else None) for i in range(400)]
+    labels = [(i, int(i % 4 == 0)) for i in range(400)]
+    texts += [text(70, "vilemuck" if i % 2 else None, 60) for i in range(40)]
+    labels += [(400 + i, i % 2) for i in range(40)]
+    assert min(map(len, texts[400:])) > toxicity.FIT_CHARS
+    frame = spark.createDataFrame(labels, "doc_id long, toxic int")
+    scorer = toxicity.Scorer(*toxicity.fit_sample(documents(spark, texts), frame))
+    for n in (2000, 5000, 20_000):
+        assert scorer.score(text(n))[0] < 0.5
+        for bad in ("foulwort", "vilemuck"):
+            score, found = scorer.score(text(n, bad))
+            assert score >= 0.5 and len(found) == 1
+
+
 def test_token_files(spark, docs, texts, empty):
     tokenizer = Tokenizer.from_file(queries.TOKENIZER)
     extra = ["It's, well. • done•x <|endoftext|> a", "I'll co-op 日本 naïve  x y", "É. A!? b.. c,"]
