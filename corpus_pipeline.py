@@ -13,7 +13,7 @@ def drop_toxic(spark, docs, sf_dir):
 
 def dedup_lines(spark, docs, sf_dir):
     """Every document stays, without lines that repeat an earlier one."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    return line_dedup.dedup_lines(docs, bands=line_dedup.BANDS).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def drop_near_copies(spark, docs, sf_dir):

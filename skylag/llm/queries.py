@@ -31,7 +31,7 @@ def op3_token_files(spark, sf_dir):
 
 
 def op4_line_dedup(spark, sf_dir):
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), bands=line_dedup.BANDS)
 
 
 def op5_bloom_lm(spark, sf_dir):

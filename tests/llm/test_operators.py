@@ -200,6 +200,29 @@ def test_line_dedup(spark, empty):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_line_dedup_finds_other_words(spark, tmp_path):
+    """One word of 10 to 40 replaced, and words put in front of lines of many zones."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(3000)]
+    lines, near = [], []
+    for n, front in [(10, 0), (20, 0), (40, 0), (120, 1), (120, 5), (300, 5)]:
+        for _ in range(30):
+            line = [rng.choice(words) for _ in range(n)]
+            other = ["front"] * front + line
+            if not front:
+                other[rng.randrange(n)] = "othery"
+            lines.append(" ".join(line))
+            near.append(" ".join(other))
+    alone = [" ".join(rng.choice(words) for _ in range(20)) for _ in range(200)]
+    documents(spark, lines + alone + near).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = by_id(queries.op4_line_dedup(spark, str(tmp_path)))
+    first = len(lines) + len(alone)
+    assert all(got[i].n_removed == 0 for i in range(first))
+    found = [got[first + i].n_removed for i in range(len(near))]
+    for at in range(0, len(near), 30):
+        assert sum(found[at:at + 30]) >= 28
+
+
 def test_bloom_lm(spark, docs, texts, empty):
     words = {i: [*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\n"] for i, t in enumerate(texts)}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}
