@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 # Words: maximal runs of bytes that are not ASCII white space; case folding of A-Z only.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+# Largest table that is broadcast.
+BROADCAST = 64 << 20
+# Comparisons with hubs go on while there are more than this many pairs a row, at most so often.
+CROWDED, MOST_HUBS = 8, 12
 
 
 def shared_uri(spark: SparkSession, name: str) -> str:
@@ -106,6 +110,12 @@ def components(links: DataFrame, name: str) -> DataFrame:
     return stars.selectExpr("u AS node", "v AS root").union(roots)
 
 
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """The stored table, marked for broadcast if its rows fit into ``BROADCAST`` bytes; else
+    Spark joins it by a shuffle, which it may split."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST else df
+
+
 def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFrame:
     """Connected groups of nodes that share a bucket and are linked: ``node, root`` for
     nodes with a link.
@@ -117,9 +127,14 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
 
     Exact, without all pairs of a bucket: first each node is compared with one hub, the
     smallest near node of its buckets' smallest, and groups are joined; then, in buckets
-    that still hold two groups, with a largest one; then the pairs not compared yet that
-    share a bucket and are still in different groups. A bucket of near copies is one
-    group after the first steps, and has no pairs left.
+    that still hold two groups, with a largest one. While the pairs left are many more
+    than the rows, further hubs follow, picked by a hash, so that each large group of a
+    bucket gets one soon; then come the pairs not compared yet that share a bucket and
+    are still in different groups. A bucket of near copies is one group after the first
+    steps, and has no pairs left.
+
+    The rows of a bucket pass through one task in order, without being held in memory.
+    Rows get their node's group by a window over the node, which has few rows.
     """
     def apart(x: str, y: str) -> str:
         return re.sub(r"\b[xy]\b", lambda m: x if m[0] == "x" else y, far)
@@ -135,8 +150,13 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
     )
     link = linker(shared.select("node").distinct())
     links = tested = None
-    for hub in ("low", "high"):
-        near = shared.where(f"node <> {hub}.node AND NOT {apart('mark', f'{hub}.mark')}")
+    for turn in range(MOST_HUBS):
+        if turn < 2:
+            hub, rows = ("low", "high")[turn], shared
+        else:
+            first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "mark", "grp"))
+            hub, rows = "first", shared.select("*", first.over(whole).alias("first")).where("grp <> first.grp")
+        near = rows.where(f"node <> {hub}.node AND NOT {apart('mark', f'{hub}.mark')}")
         pairs = near.groupBy("node").agg(F.min(f"{hub}.node").alias("hub")).selectExpr(
             "least(node, hub) AS a", "greatest(node, hub) AS b"
         ).distinct()
@@ -147,6 +167,12 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
         found = link(pairs)
         links = stored(found if links is None else links.unionByName(found), f"{name}-links")
         shared = _divided(shared, components(links, f"{name}-stars"), name)
+        if turn:
+            sizes = shared.groupBy("bucket").count().agg(
+                F.sum("count").alias("rows"), F.sum(F.expr("double(count) * (count - 1) / 2")).alias("pairs")
+            ).first()
+            if (sizes.pairs or 0) <= CROWDED * (sizes.rows or 0):
+                break
     left, right = shared.alias("l"), shared.alias("r")
     rest = left.join(right, F.expr(
         f"l.bucket = r.bucket AND l.grp < r.grp AND NOT {apart('l.mark', 'r.mark')}"
@@ -158,11 +184,9 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
 def _divided(shared: DataFrame, groups: DataFrame, name: str) -> DataFrame:
     """The rows of buckets that hold nodes of more than one group, with ``grp``."""
     plain = shared.drop("grp")
-    known = plain.join(groups.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
-    known = known.select(*plain.columns, F.coalesce("root", "node").alias("grp"))
-    open_ = (
-        known.groupBy("bucket", F.pmod(F.xxhash64("bucket"), F.lit(7)).alias("part"))
-        .agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1")
-        .select(F.col("bucket").alias("open_bucket"))
-    )
-    return stored(known.join(open_, F.col("bucket") == F.col("open_bucket"), "left_semi"), f"{name}-open")
+    both = plain.withColumn("root", F.lit(None).cast("long")).unionByName(groups, allowMissingColumns=True)
+    root = F.max("root").over(Window.partitionBy("node"))
+    known = both.withColumn("grp", F.coalesce(root, "node")).where("low IS NOT NULL").select(*plain.columns, "grp")
+    whole = Window.partitionBy("bucket")
+    ends = known.select("*", F.min("grp").over(whole).alias("g0"), F.max("grp").over(whole).alias("g1"))
+    return stored(ends.where("g0 <> g1").drop("g0", "g1"), f"{name}-open")

@@ -5,10 +5,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylag.llm import (
-    ann, bloom_lm, decontam, line_dedup, pieces, simhash, suffix_dedup, token_files, toxicity, warc,
+    alignment, ann, bloom_lm, decontam, line_dedup, ngram_join, pieces, simhash, suffix_dedup, token_files, toxicity, warc,
+    whitening,
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 
@@ -64,12 +66,24 @@ def op10_pieces(spark, sf_dir):
     return pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op11_alignment(spark, sf_dir):
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
+
+
+def op12_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     import corpus_pipeline
 
     own = [
         op1_warc, op2_toxicity, op3_token_files, op4_line_dedup, op5_bloom_lm, op6_nearest, op7_simhash,
-        op8_suffix_dedup, op9_decontaminate, op10_pieces,
+        op8_suffix_dedup, op9_decontaminate, op10_pieces, op11_alignment, op12_ngram_join, op13_whitening,
     ]
     return {q.__name__: q for q in own} | {"pipeline": corpus_pipeline.run}
 
