@@ -97,9 +97,8 @@ scoped AS (
 
 
 def short(x: str) -> str:
-    """Text with at most 12 significant digits."""
-    steps = " ".join(f"WHEN abs({x}) >= {10.0 ** k!r} THEN round({x}, {11 - k})" for k in range(6, -3, -1))
-    return f"cast(CASE {steps} ELSE round({x}, 14) END AS varchar)"
+    """Text with at most 12 significant digits, whole numbers with one decimal."""
+    return f"regexp_replace(printf('%.12g', {x}), '^(-?[0-9]+)$', '\\1.0')"
 
 
 def two(x: str) -> str:
@@ -230,6 +229,28 @@ lines AS (
   FROM events JOIN (SELECT names.hex FROM codes JOIN names ON names.name = codes.name WHERE code = 'c') ON true
   GROUP BY user_id, hex)"""
 
+CUT_SHAPES = """
+spread AS (
+  SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seq,
+         count(*) OVER (PARTITION BY user_id) AS n,
+         cast(event_id * 7919 % 179 - 89 AS double) AS lat, cast(event_id * 104729 % 359 - 179 AS double) AS lon FROM events),
+cut AS (
+  SELECT user_id, seq, n, concat_ws('/', lat, lon) AS point, (seq - 1) // 5 AS piece FROM spread
+  UNION ALL SELECT user_id, seq, n, concat_ws('/', lat, lon), (seq - 1) // 5 + 1 FROM spread WHERE seq % 5 = 0 AND seq < n),
+lines AS (
+  SELECT user_id, piece * 5 + 1 AS start, max(n) AS n, max(seq) AS upto, string_agg(point, ' ' ORDER BY seq) AS path
+  FROM cut GROUP BY user_id, piece),
+turns AS (
+  SELECT user_id, arg_min(concat_ws('/', lat, lon), seq) AS first_point, arg_max(concat_ws('/', lat, lon), seq) AS last_point,
+         sum(lon * next_lat - next_lon * lat) AS turned
+  FROM (SELECT *, coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS next_lat,
+               coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS next_lon
+        FROM spread WINDOW w AS (PARTITION BY user_id ORDER BY seq)) GROUP BY user_id),
+style AS (
+  SELECT names.hex, cast(1 AS double) AS edge_alpha, cast(2 AS double) AS edge_width, cast(0.3 AS double) AS face_alpha
+  FROM codes JOIN names ON names.name = codes.name WHERE code = 'c')"""
+CUT_STYLE = "hex AS edge_color, edge_alpha, edge_width, face_alpha, hex AS face_color, hex AS color"
+
 GRID = """
 specs AS (
   SELECT faa, lat - 1.5 AS lat_min, lat + 1.5 AS lat_max, lon - 1.0 AS lon_min, lon + 1.0 AS lon_max,
@@ -317,6 +338,12 @@ SELECT user_id, hex AS edge_color, cast(1 AS double) AS edge_alpha, cast(2 AS do
 SELECT user_id, hex AS edge_color, cast(1 AS double) AS edge_alpha, cast(2 AS double) AS edge_width,
        cast(0.3 AS double) AS face_alpha, hex AS face_color, hex AS color,
        CASE WHEN n = 1 OR first_point = last_point THEN path ELSE concat(path, ' ', first_point) END AS ring FROM lines""",
+        "polyline_layer_cut": f"""WITH {COLORS}, {CUT_SHAPES}
+SELECT user_id, start, path, {CUT_STYLE} FROM lines JOIN style ON true""",
+        "polygon_layer_cut": f"""WITH {COLORS}, {CUT_SHAPES}
+SELECT user_id, start, CASE WHEN upto = n AND last_point <> first_point THEN concat(path, ' ', first_point) ELSE path END AS ring,
+       cast(sign(turned) AS int) AS orientation, {CUT_STYLE}
+FROM lines JOIN turns USING (user_id) JOIN style ON true""",
         "scatter_circle_layer": f"""WITH {AIRPORTS}, {RING}, {COLORS},
 shape AS (
   SELECT faa, string_agg(concat(round(degrees(phi2), 6) + 0.0, '/',
@@ -383,6 +410,9 @@ UNION ALL
 SELECT faa, 'lon', line, lat_min + lat_step / 2, lat_max + lat_step / 2,
        lon_min + line * lon_step + lon_step / 2, lon_min + line * lon_step + lon_step / 2, '#000000' FROM lon_lines""",
         "report_lines": _all(f", {report()}"),
+        "numbered_report_lines": f"""
+SELECT *, row_number() OVER (ORDER BY section, {', '.join(f'{c} NULLS FIRST' for c in KEY.split(', '))}, line_no) AS report_no
+FROM ({_all(f", {report()}")})""",
         "scoped_samples_one": _scoped(ONE, f"SELECT {SAMPLE}, late, label FROM lab"),
         "scoped_samples_two": _scoped(TWO, f"SELECT {SAMPLE}, late, label FROM lab"),
         "scoped_flight_delay_one": _scoped(ONE, f"SELECT {_KEYED} FROM fd"),

@@ -1,6 +1,6 @@
 """Colour names and their lookup."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # One-letter colour codes.
@@ -56,23 +56,15 @@ def hex_color(name):
     return HTML_COLORS.get(name, name)
 
 
-def color_table(spark: SparkSession) -> DataFrame:
-    """Codes and names with their hex code: ``spec, hex``, 148 rows."""
+def color_map() -> Column:
+    """Codes and names with their hex code, as one literal map of 148 entries."""
     specs = [*COLOR_CODES, *HTML_COLORS]
-    values = ", ".join(f"('{s}', '{hex_color(s)}')" for s in specs)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS colors(spec, hex)")
+    return F.map_from_arrays(
+        F.array(*[F.lit(s) for s in specs]), F.array(*[F.lit(hex_color(s)) for s in specs])
+    )
 
 
 def resolve_colors(df: DataFrame, *columns: str) -> DataFrame:
-    """Replace colour codes and names by hex codes; unknown text and nulls stay.
-
-    The colour table has a fixed size, so it is broadcast for each column.
-    """
-    for column in columns:
-        colors = color_table(df.sparkSession).withColumnRenamed("spec", f"_{column}_spec")
-        df = (
-            df.join(F.broadcast(colors), F.col(column) == F.col(f"_{column}_spec"), "left")
-            .withColumn(column, F.coalesce("hex", column))
-            .drop("hex", f"_{column}_spec")
-        )
-    return df
+    """Replace colour codes and names by hex codes; unknown text and nulls stay."""
+    colors = color_map()
+    return df.withColumns({c: F.coalesce(F.try_element_at(colors, F.col(c)), F.col(c)) for c in columns})

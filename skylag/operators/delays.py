@@ -1,11 +1,11 @@
 """Late samples, delayed flights, delay per flight and delay statistics.
 
-Every operator here is a partial and a final aggregate: tasks combine their own
+Every operator here starts with a partial and a final aggregate: tasks combine their own
 samples first, so a flight that holds a large share of all samples reaches the
 shuffle as one row per task.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylag.functions.lateness import delay_hours, is_late, lateness_branch
@@ -104,14 +104,27 @@ def delay_summary(delays: DataFrame) -> DataFrame:
 
 
 def flight_ends(samples: DataFrame) -> DataFrame:
-    """First sample and first late sample of each delayed flight, as structs of ORDER."""
-    sample = project_samples(samples).select(
-        *KEY, F.struct(*ORDER).alias("sample"), is_late().alias("late")
+    """First sample and first late sample of each delayed flight, as structs of ORDER.
+
+    The least times come first: plain numbers, so their aggregate is a hash aggregate (a
+    time that is null is before any other). Only the samples at these times are then
+    compared in the other columns, equal ones once.
+    """
+    rows = project_samples(samples).select(*KEY, *ORDER, is_late().alias("late"))
+    least = rows.groupBy(*KEY).agg(
+        F.expr("if(bool_or(time IS NULL), NULL, min(time))").alias("least"),
+        F.expr("if(bool_or(late AND time IS NULL), NULL, min(CASE WHEN late THEN time END))").alias("least_late"),
+        F.bool_or("late").alias("delayed"),
     )
-    ends = sample.groupBy(*KEY).agg(
-        F.min("sample").alias("first"), F.expr("min(CASE WHEN late THEN sample END) AS first_late")
+    least = least.where("delayed").drop("delayed").withColumnsRenamed({c: f"of_{c}" for c in KEY})
+    same = " AND ".join(f"{c} <=> of_{c}" for c in KEY)
+    ties = rows.join(least, F.expr(f"{same} AND (time <=> least OR late AND time <=> least_late)"))
+    in_order = Window.partitionBy(*KEY).orderBy(*ORDER)
+    ranked = ties.select(*KEY, *ORDER, "late").distinct().select(
+        *KEY, F.struct(*ORDER).alias("first_late"), "late", F.first(F.struct(*ORDER)).over(in_order).alias("first"),
+        F.sum(F.expr("if(late, 1, 0)")).over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("late_rank"),
     )
-    return ends.where("first_late IS NOT NULL")
+    return ranked.where("late AND late_rank = 1").select(*KEY, "first", "first_late")
 
 
 def first_sample_attrs(samples: DataFrame) -> DataFrame:

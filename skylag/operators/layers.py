@@ -1,15 +1,17 @@
 """Map layers as tables: lines, polygons, points, circles, density, grid."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylag.functions.colors import hex_color, resolve_colors
 from skylag.functions.geo import CIRCLE_STEP_DEG, circle_vertex
 from skylag.functions.text import FLIGHT_DATE, marker_comment
 from skylag.operators.delays import flight_ends
+from skylag.operators.series import in_pieces, numbered
 from skylag.operators.style import resolve_style
 from skylag.operators.tracks import PATH_SAMPLES, collect_paths
 from skylag.schema import KEY
+from skylag.sources.stored import StoredTables
 
 # Styles of the delay map, and defaults of points and heat maps.
 BOUNDARY_COLOR, BOUNDARY_WIDTH = "cornflowerblue", 10
@@ -57,8 +59,13 @@ def segment_layer(segments: DataFrame) -> DataFrame:
 
 def first_late_marker(samples: DataFrame) -> DataFrame:
     """One marker per delayed flight, at its first late sample."""
+    return late_marker(flight_ends(samples))
+
+
+def late_marker(ends: DataFrame) -> DataFrame:
+    """Markers from the flights' first and first late samples."""
     comment = marker_comment("first.eta", "first.arpt", "first_late.time")
-    return flight_ends(samples).selectExpr(
+    return ends.selectExpr(
         *KEY,
         "first_late.time AS time", "first_late.lat AS lat", "first_late.lon AS lon",
         f"{comment} AS comment",
@@ -129,29 +136,64 @@ def _ring(sizes: tuple[str, ...]) -> str:
     return f"transform({_BEARINGS}, bearing -> struct({lat} AS lat, {lon} AS lon)) AS ring"
 
 
-def polyline_layer(points: DataFrame, key: list[str], order: str) -> DataFrame:
+def polyline_layer(
+    points: DataFrame, key: list[str], order: str, piece_points: int = PATH_SAMPLES, tables: StoredTables | None = None
+) -> DataFrame:
     """A line through the points of each key in the given order, with its style.
 
     Columns beside the key, the order, ``lat`` and ``lon`` are settings; those of the
-    first point hold. A line is one row, so its points must fit into one.
+    first point hold. A line of more than ``piece_points`` points gives several rows, told
+    apart by ``start``, the place of their first point of their own; from the second on
+    they begin with the last point of the piece before. Points of equal order come in the
+    order of lat and lon.
     """
-    return resolve_style(_shapes(points, key, order).withColumnRenamed("points", "path"))
+    pieces = _pieces(points, key, order, piece_points, tables)
+    return resolve_style(pieces.selectExpr("*", "_points AS path").drop(*_INNER))
 
 
-def polygon_layer(points: DataFrame, key: list[str], order: str) -> DataFrame:
-    """An area bounded by the points of each key in the given order, closed by the first
-    point, with edge and face style; else like polyline_layer."""
-    shapes = _shapes(points, key, order)
-    ring = "if(points[0] = points[size(points) - 1], points, concat(points, slice(points, 1, 1))) AS ring"
-    return resolve_style(shapes.selectExpr("* EXCEPT (points)", ring))
+def polygon_layer(
+    points: DataFrame, key: list[str], order: str, piece_points: int = PATH_SAMPLES, tables: StoredTables | None = None
+) -> DataFrame:
+    """An area bounded by the points of each key in the given order, with edge and face
+    style; else like polyline_layer.
+
+    The last piece ends with the first point, if the points do not end there themselves.
+    ``orientation`` is 1 for a ring that turns counterclockwise, -1 for clockwise, 0 for
+    none: the sign of the sum of the cross products of neighbouring points.
+    """
+    pieces = _pieces(points, key, order, piece_points, tables)
+    closing = "_piece = _last AND _points[size(_points) - 1] <> _first"
+    rings = pieces.selectExpr("*", f"if({closing}, concat(_points, array(_first)), _points) AS ring")
+    # Points far from the origin would cost digits, so the first point is the origin.
+    cross = """aggregate(sequence(1, greatest(size(ring) - 1, 1)), 0D, (s, i) -> s + if(size(ring) < 2, 0D,
+        (ring[i - 1].lon - _first.lon) * (ring[i].lat - _first.lat)
+        - (ring[i].lon - _first.lon) * (ring[i - 1].lat - _first.lat)))"""
+    turned = F.sum(F.expr(cross)).over(Window.partitionBy(*key))
+    return resolve_style(rings.withColumn("orientation", F.signum(turned).cast("int")).drop(*_INNER))
 
 
-def _shapes(points: DataFrame, key: list[str], order: str) -> DataFrame:
+# Columns of pieces that no layer shows.
+_INNER = ["_piece", "_points", "_first", "_last"]
+
+
+def _pieces(points: DataFrame, key: list[str], order: str, piece_points: int, tables: StoredTables | None) -> DataFrame:
+    """Key, ``start``, ``_piece, _points, _last`` piece, the key's ``_first`` point and its settings.
+
+    Positions come from ranges and prefix sums; no task and no row holds a whole line.
+    """
+    tables = tables or StoredTables(points.sparkSession)
     style = [c for c in points.columns if c not in (*key, order, "lat", "lon")]
-    rows = F.array_sort(F.collect_list(F.struct(order, "lat", "lon", *style)))
-    return points.groupBy(*key).agg(rows.alias("rows")).selectExpr(
-        *key, "transform(rows, r -> struct(r.lat AS lat, r.lon AS lon)) AS points", *[f"rows[0].{c} AS {c}" for c in style]
+    seq = numbered(points, key, [order, "lat", "lon"], tables, "_seq", "_total")
+    pieces = in_pieces(seq, piece_points, "_seq", "_total", "_piece", "_lead").groupBy(*key, "_piece").agg(
+        F.sort_array(F.collect_list(F.struct("_seq", "lat", "lon"))).alias("_rows"), F.max("_total").alias("_total"),
+    ).selectExpr(
+        *key, f"_piece * {piece_points} + 1 AS start", "_piece", f"(_total - 1) div {piece_points} AS _last",
+        "transform(_rows, r -> struct(r.lat AS lat, r.lon AS lon)) AS _points",
+    )
+    firsts = seq.where("_seq = 1").select(
+        *[F.col(k).alias(f"_of_{k}") for k in key], F.struct("lat", "lon").alias("_first"), *style
     )
+    return pieces.join(firsts, F.expr(" AND ".join(f"{k} <=> _of_{k}" for k in key))).drop(*[f"_of_{k}" for k in key])
 
 
 def sample_density(

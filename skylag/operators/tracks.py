@@ -1,35 +1,31 @@
 """Ordered samples of delayed flights: position, previous point, segments, paths.
 
-One flight may hold a large share of all samples, and a window over the flight
-would put all of it into one task. Heavy flights therefore go another way: copies
-are counted instead of moved, what remains is cut into slices of time, the window
-runs per slice, and the slice ends carry the position and the last point over.
+The ordered samples are stored once, bucketed by flight and sorted, and segments, paths
+and report read them without another shuffle. One flight may hold a large share of all
+samples; a window over it would put them into one task. Such heavy flights are ordered by
+ranges at quantiles of their samples, and numbered by prefix sums (``series``).
 """
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylag.functions.lateness import is_late
-from skylag.operators.delays import add_label, delayed_flight_keys, flag_samples, label_samples
+from skylag.operators.delays import add_label, delayed_flight_keys, flag_samples, label_samples, late_samples
+from skylag.operators.series import in_pieces, numbered
 from skylag.schema import KEY, ORDER
+from skylag.sources.stored import StoredTables, buckets
 
 # A flight with more samples than this is heavy.
 HEAVY_SAMPLES = 1_000_000
-# Chunks of a heavy flight: slices of 20 seconds over two days. Samples outside go
-# to the first or the last slice.
-SLICES_PER_HOUR = 180
-SLICES = 48 * SLICES_PER_HOUR
-# Copies of one sample that a task writes out at a time.
-COPY_BLOCK = 100_000
 # Longest path kept in one row.
 PATH_SAMPLES = 10_000
 
-# The flight inside this module. ``dep_key`` stands for the departure hour: a 64-bit hash
-# of one 64-bit value is one to one. Spark rewrites floating-point grouping columns and
-# then no longer sees that the rows are already together; it does see that for integers.
-FLIGHT = ["flight_id", "year", "month", "day", "dep_key"]
-CHUNK = [*FLIGHT, "chunk"]
-TRACK_COLUMNS = [*KEY, "dep_key", "chunk", *ORDER, "late"]
+# The flight inside this module: hashes that are never null, so that stored tables meet on
+# plain equality, and whole numbers: Spark rewrites floating-point grouping columns and then
+# no longer sees that the rows are already together.
+FLIGHT = ["id_key", "day_key", "dep_key"]
+FLIGHT_COLUMNS = ["flight_id", "year", "month", "day", *FLIGHT]
+TRACK_COLUMNS = [*KEY, *FLIGHT, *ORDER, "late", "seq", "prev_lat", "prev_lon", "is_last", "piece"]
 
 
 def flight_summary(samples: DataFrame) -> DataFrame:
@@ -40,138 +36,112 @@ def flight_summary(samples: DataFrame) -> DataFrame:
 
 
 def heavy_flights(summary: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> DataFrame:
-    """The flights to cut, with the end of their chunk numbers.
-
-    For a heavy flight without a late sample that is 0: none of its samples is wanted.
-    """
-    return (
-        summary.where(F.col("samples") > heavy_samples)
-        .selectExpr(*KEY, f"coalesce(if(any_late, {SLICES}, 0), 0) AS slices")
+    """The flights to order by ranges: ``heavy_*`` key columns, and whether one is delayed."""
+    return summary.where(F.col("samples") > heavy_samples).select(
+        *[F.col(c).alias(f"heavy_{c}") for c in KEY], F.coalesce("any_late", F.lit(False)).alias("delayed")
     )
 
 
+def _flagged(samples: DataFrame) -> DataFrame:
+    date = ["year", "month", "day"]
+    return flag_samples(samples).withColumns({
+        "id_key": F.xxhash64("flight_id"), "dep_key": F.xxhash64("dep_time"),
+        "day_key": F.xxhash64(*date, *[F.isnull(c) for c in date]),
+    })
+
+
 def split_flights(samples: DataFrame, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Flagged samples of ordinary flights, and of heavy flights that are delayed.
 
-    The heavy ones get ``chunk``, their slice of time. It never falls as time grows,
-    so chunks follow each other in sample order. Samples of heavy flights that are
-    on time are dropped, before any shuffle.
-
     There are at most as many heavy flights as the limit fits into the number of
-    samples; Spark broadcasts them if they are few. The test of the chunk against
-    ``slices`` is not pushed into them, so that one join side serves both results.
+    samples; Spark broadcasts them if they are few.
     """
-    joined = flag_samples(samples).join(heavy, KEY, "left")
-    joined = joined.withColumn("dep_key", F.xxhash64("dep_time"))
-    chunk = F.expr(f"""
-        CASE WHEN time IS NULL OR time <= 0 THEN 0
-             WHEN time >= {SLICES // SLICES_PER_HOUR} THEN {SLICES - 1}
-             ELSE cast(least(floor(time * {SLICES_PER_HOUR}), {SLICES - 1}) AS int) END""")
-    return (
-        joined.where("slices IS NULL").drop("slices"),
-        joined.withColumn("chunk", chunk).where("chunk < slices").drop("slices"),
-    )
-
-
-def _in_order(samples: DataFrame, by: list[str]) -> DataFrame:
-    """Add ``upto``, the copies up to a row, the point before it, and whether it ends its group."""
-    in_group = Window.partitionBy(*by).orderBy(*ORDER)
-    whole = in_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return samples.select(
-        "*",
-        F.sum("copies").over(in_group.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.lag("lat").over(in_group).alias("lag_lat"),
-        F.lag("lon").over(in_group).alias("lag_lon"),
-        F.lead("copies").over(in_group).isNull().alias("ends"),
-        F.bool_or("late").over(whole).alias("any_late"),
+    same = F.expr(" AND ".join(f"{c} <=> heavy_{c}" for c in KEY))
+    flagged = _flagged(samples)
+    return flagged.join(heavy, same, "left_anti"), flagged.join(heavy.where("delayed"), same, "left_semi")
+
+
+def _ordinary_tracks(flagged: DataFrame, path_samples: int) -> DataFrame:
+    """One shuffle by flight; the window that orders the samples also tells whether the flight is delayed."""
+    by_flight = Window.partitionBy(*FLIGHT)
+    ordered = by_flight.orderBy(*ORDER)
+    rows = flagged.select(
+        "*", F.row_number().over(ordered).cast("long").alias("seq"),
+        F.lag("lat").over(ordered).alias("prev_lat"), F.lag("lon").over(ordered).alias("prev_lon"),
+        F.lead(F.lit(1)).over(ordered).isNull().alias("is_last"), F.bool_or("late").over(by_flight).alias("any_late"),
     )
+    return rows.where("any_late").withColumn("piece", F.expr(f"(seq - 1) div {path_samples}")).select(*TRACK_COLUMNS)
 
 
-def _ordinary_tracks(samples: DataFrame) -> DataFrame:
-    single = samples.select("*", F.lit(0).alias("chunk"), F.lit(1).alias("copies"))
-    return _in_order(single, FLIGHT).where("any_late").selectExpr(
-        *TRACK_COLUMNS, "upto AS chunk_seq", "upto AS seq",
-        "lag_lat AS prev_lat", "lag_lon AS prev_lon", "ends AS is_last",
+def _heavy_tracks(flagged: DataFrame, path_samples: int, tables: StoredTables) -> DataFrame:
+    """Ranges number the samples; the point before the first one of a piece is carried over."""
+    pieces = in_pieces(numbered(flagged, FLIGHT, ORDER, tables), path_samples)
+    in_piece = Window.partitionBy(*FLIGHT, "piece").orderBy("seq")
+    rows = pieces.select(
+        "*", F.lag("lat").over(in_piece).alias("prev_lat"), F.lag("lon").over(in_piece).alias("prev_lon"),
+        (F.col("seq") == F.col("total")).alias("is_last"),
     )
+    return rows.where("NOT lead").select(*TRACK_COLUMNS)
 
 
-def _slice_ends(counted: DataFrame) -> DataFrame:
-    """For each slice: samples before it, the last point before it, and whether more follow.
+def store_tracks(
+    samples: DataFrame, tables: StoredTables, heavy_samples: int = HEAVY_SAMPLES, path_samples: int = PATH_SAMPLES
+) -> DataFrame:
+    """All samples of the delayed flights with position ``seq`` (from 1), previous point,
+    ``is_last`` and ``piece``, as a stored table.
 
-    The chunk leads the grouping columns because the sort before the partial
-    aggregate compares it first; heavy flights differ in it more than in the key.
+    The samples are read twice: columns of the key for the flights' sizes, then the rows;
+    only heavy flights are read a third time. Without them the table is bucketed by
+    flight, as the window left it; with them by flight and piece, which keeps a bucket
+    bounded.
     """
-    ends = counted.groupBy("chunk", *FLIGHT).agg(
-        F.sum("copies").alias("n"), F.max(F.struct("time", "lat", "lon")).alias("last")
-    )
-    by_chunk = Window.partitionBy(*FLIGHT).orderBy("chunk")
-    return ends.select(
-        *CHUNK,
-        F.sum("n").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-        F.lag("last").over(by_chunk).alias("carry"),
-        F.lead("n").over(by_chunk).isNotNull().alias("goes_on"),
-    )
-
-
-def _heavy_tracks(samples: DataFrame) -> DataFrame:
-    """Samples with the same key and ORDER are equal in all columns, so they are counted
-    first, inside each task. After ordering, a count becomes rows again: blocks of
-    copies are spread over the tasks, then written out."""
-    counted = samples.groupBy(*TRACK_COLUMNS).agg(F.count("*").alias("copies"))
-    blocks = _in_order(counted, CHUNK).join(_slice_ends(counted), CHUNK, "left").selectExpr(
-        *TRACK_COLUMNS, "copies",
-        "upto - copies + 1 AS chunk_seq",
-        "coalesce(before, 0) + upto - copies + 1 AS seq",
-        "coalesce(lag_lat, carry.lat) AS prev_lat",
-        "coalesce(lag_lon, carry.lon) AS prev_lon",
-        "ends AND NOT goes_on AS is_last",
-        f"explode(sequence(0L, copies - 1, {COPY_BLOCK}L)) AS block",
-    ).repartition(*CHUNK, "seq", "block")
-    copy = f"explode(sequence(block, least(block + {COPY_BLOCK}, copies) - 1)) AS copy"
-    return blocks.selectExpr("*", copy).selectExpr(
-        *TRACK_COLUMNS,
-        "chunk_seq + copy AS chunk_seq",
-        "seq + copy AS seq",
-        "if(copy = 0, prev_lat, lat) AS prev_lat",
-        "if(copy = 0, prev_lon, lon) AS prev_lon",
-        "is_last AND copy = copies - 1 AS is_last",
-    )
-
+    heavy = tables.store(heavy_flights(flight_summary(samples), heavy_samples))
+    if heavy.isEmpty():
+        return add_label(tables.store(_ordinary_tracks(_flagged(samples), path_samples), FLIGHT, [*FLIGHT, "seq"]))
+    ordinary, cut = split_flights(samples, heavy)
+    by_piece = [*FLIGHT, "piece"]
+    rows = _ordinary_tracks(ordinary, path_samples).unionByName(_heavy_tracks(cut, path_samples, tables))
+    rows = rows.repartition(buckets(samples.sparkSession), *by_piece)
+    return add_label(tables.store(rows, by_piece, [*by_piece, "seq"]))
 
-def delayed_tracks(samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES) -> DataFrame:
-    """All samples of the delayed flights with position ``seq`` (from 1), previous
-    point and ``is_last``.
 
-    One shuffle of the samples, by key. The window that orders them also tells
-    whether the flight is delayed, so no join with the delayed keys is needed.
-    Without heavy flights adaptive execution removes their part of the plan.
-    """
-    heavy = heavy_flights(flight_summary(samples), heavy_samples)
-    ordinary, cut = split_flights(samples, heavy)
-    return add_label(_ordinary_tracks(ordinary).unionByName(_heavy_tracks(cut)))
+def delayed_tracks(
+    samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES, path_samples: int = PATH_SAMPLES
+) -> DataFrame:
+    """``store_tracks`` with tables that stay until the warehouse is cleaned; give a
+    ``StoredTables`` of your own to drop them."""
+    return store_tracks(samples, StoredTables(samples.sparkSession), heavy_samples, path_samples)
 
 
-def delayed_flight_samples(samples: DataFrame) -> DataFrame:
+def delayed_flight_samples(samples: DataFrame, bloom_filter: bool = False) -> DataFrame:
     """All samples, late or not, of every flight with a late sample, by semi join.
 
     Spark broadcasts the keys if they turn out small. Otherwise both sides are
     shuffled, and adaptive execution splits the samples of a heavy flight: a left
     semi join can be split on its left side.
+
+    With ``bloom_filter`` Spark may put a Bloom filter of the keys at the scan of the
+    samples, before their shuffle (sizes in ``spark.sql.optimizer.runtime.bloomFilter.*``):
+    one hash of the whole key is the join column it is made from, and the keys are not
+    made distinct, as Spark makes no such filter of an aggregate. That is worth it where
+    few flights are delayed.
     """
-    keys = delayed_flight_keys(samples)
-    return label_samples(samples).join(keys, KEY, "left_semi")
+    # Late implies the comparison; Spark looks for one before it makes the filter.
+    late = late_samples(samples).where("coalesce(time - eta, 1D) > 0")
+    keys = late.select(*KEY) if bloom_filter else delayed_flight_keys(samples)
+    rows = label_samples(samples)
+    if not bloom_filter:
+        return rows.join(keys, KEY, "left_semi")
+    of_key = F.xxhash64(*KEY)
+    keys, rows = keys.withColumn("flight_hash", of_key), rows.withColumn("flight_hash", of_key)
+    return rows.join(keys, [*KEY, "flight_hash"], "left_semi").drop("flight_hash")
 
 
-def delayed_flight_samples_window(
-    samples: DataFrame, heavy_samples: int = HEAVY_SAMPLES
-) -> DataFrame:
-    """The same rows from a window over the flight; heavy flights need neither window
-    nor shuffle, as the broadcast row says that they are delayed."""
-    heavy = heavy_flights(flight_summary(samples), heavy_samples)
-    ordinary, cut = split_flights(samples, heavy)
-    flagged = ordinary.withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*FLIGHT)))
-    both = flagged.where("any_late").drop("any_late").unionByName(cut.drop("chunk"))
-    return add_label(both.drop("dep_key"))
+def delayed_flight_samples_window(samples: DataFrame) -> DataFrame:
+    """The same rows from one reading, by a window over the flight. A heavy flight passes
+    through one task; the semi join splits it."""
+    flagged = _flagged(samples).withColumn("any_late", F.bool_or("late").over(Window.partitionBy(*FLIGHT)))
+    return add_label(flagged.where("any_late").drop("any_late", *FLIGHT))
 
 
 def track_segments(tracks: DataFrame) -> DataFrame:
@@ -192,17 +162,15 @@ def collect_paths(tracks: DataFrame, *columns: str, path_samples: int = PATH_SAM
     A flight of more than ``path_samples`` samples gives several rows, told apart
     by the position ``start`` of their first sample; ``lead`` is the point before
     it. Pieces follow from positions alone, so they are the same however the flight
-    was cut to be ordered. Rows stay bounded, and without heavy flights the pieces
-    are collected where the samples already are.
+    was ordered. Rows stay bounded, and pieces of the stored size are collected where
+    the stored table has them.
     """
-    pieces = (
-        tracks.withColumn("piece", F.expr(f"(seq - 1) div {path_samples}"))
-        .groupBy(*FLIGHT, "piece")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("seq", *columns))).alias("path"),
-            F.min(F.struct("seq", F.struct("prev_lat", "prev_lon").alias("point"))).alias("first"),
-            F.min("dep_time").alias("dep_time"),
-        )
+    if path_samples != PATH_SAMPLES:
+        tracks = tracks.withColumn("piece", F.expr(f"(seq - 1) div {path_samples}"))
+    pieces = tracks.groupBy(*FLIGHT_COLUMNS, "piece").agg(
+        F.sort_array(F.collect_list(F.struct("seq", *columns))).alias("path"),
+        F.min(F.struct("seq", F.struct("prev_lat", "prev_lon").alias("point"))).alias("first"),
+        F.min("dep_time").alias("dep_time"),
     )
     return pieces.selectExpr(
         *KEY, "first.seq AS start", "size(path) AS samples", "path",
@@ -214,3 +182,14 @@ def flight_tracks(tracks: DataFrame, path_samples: int = PATH_SAMPLES) -> DataFr
     """Ordered samples of each delayed flight, see collect_paths."""
     columns = ("time", "lat", "lon", "eta", "label", "arpt", "craft_type")
     return collect_paths(tracks, *columns, path_samples=path_samples).drop("lead")
+
+
+def track_ends(tracks: DataFrame) -> DataFrame:
+    """First sample and first late sample of each flight, as structs of ORDER, by position."""
+    late = tracks.where("late").groupBy(*FLIGHT).agg(F.min("seq").alias("seq"))
+    at = {c: f"late_{c}" for c in [*FLIGHT, "seq"]}
+    same = " AND ".join(f"{c} = {at[c]}" for c in FLIGHT)
+    # Not an equality, which would be a join key that the table is not bucketed by.
+    found = tracks.join(late.withColumnsRenamed(at), F.expr(f"{same} AND seq BETWEEN late_seq AND late_seq"))
+    first_late = found.select(*[F.col(c).alias(at[c]) for c in FLIGHT], F.struct(*ORDER).alias("first_late"))
+    return tracks.where("seq = 1").join(first_late, F.expr(same)).select(*KEY, F.struct(*ORDER).alias("first"), "first_late")

@@ -4,12 +4,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skylag.operators import delays, layers, scope, tracks
 from skylag.plans import report
+from skylag.sources.stored import StoredTables
 
 # Default airport and the most airports of a request.
 DEFAULT_AIRPORTS = ("LAX",)
@@ -20,12 +20,29 @@ ZOOM = 8
 
 @dataclass
 class DelayReport:
-    """DataFrames of one analysis; each is built when asked for, none is computed here."""
+    """DataFrames of one analysis; each is built when asked for.
+
+    The first that needs ordered tracks stores them (two readings of the samples); from
+    then on statistics, lines and layers are read from that table. ``close``, or the end
+    of a ``with`` block, drops it.
+    """
 
     area: DataFrame
     scoped: DataFrame
     heavy_samples: int = tracks.HEAVY_SAMPLES
 
+    def __post_init__(self):
+        self.tables = StoredTables(self.scoped.sparkSession)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.close()
+
+    def close(self) -> None:
+        self.tables.drop()
+
     @cached_property
     def center(self) -> DataFrame:
         return scope.area_center(self.area)
@@ -37,7 +54,8 @@ class DelayReport:
 
     @cached_property
     def delays(self) -> DataFrame:
-        return delays.flight_delay(self.scoped)
+        """The tracks hold all samples of the delayed flights, so both sources give the same."""
+        return delays.flight_delay(self.__dict__.get("tracks", self.scoped))
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -45,7 +63,7 @@ class DelayReport:
 
     @cached_property
     def tracks(self) -> DataFrame:
-        return tracks.delayed_tracks(self.scoped, self.heavy_samples)
+        return tracks.store_tracks(self.scoped, self.tables, self.heavy_samples)
 
     @cached_property
     def paths(self) -> DataFrame:
@@ -53,14 +71,20 @@ class DelayReport:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return report.report_lines(self.summary, self.tracks)
+        stored = self.tracks
+        return report.report_lines(self.summary, stored)
+
+    @cached_property
+    def numbered_lines(self) -> DataFrame:
+        stored = self.tracks
+        return report.numbered_report_lines(self.summary, stored, self.tables)
 
     @cached_property
     def layers(self) -> dict[str, DataFrame]:
         return {
             "boundary": layers.area_boundary(self.area),
             "segments": layers.segment_layer(tracks.track_segments(self.tracks)),
-            "markers": layers.point_layer(layers.first_late_marker(self.scoped)),
+            "markers": layers.point_layer(layers.late_marker(tracks.track_ends(self.tracks))),
             "paths": layers.track_geojson(self.tracks),
         }
 
@@ -98,23 +122,17 @@ def write_delay_report(result: DelayReport, path: str, mode: str = "error") -> N
     """Write the report text, the statistics and the layers under ``path``: Parquet
     tables, and one GeoJSON feature per text line for the paths.
 
-    Several outputs read the scoped samples and the ordered tracks, so both are
-    kept in memory or on local disk while writing, unless the caller keeps them; a
-    lost executor's part is computed again.
+    All outputs read the stored tracks, which are dropped at the end; nothing is kept in
+    memory or on local disks.
     """
-    kept = [df for df in (result.scoped, result.tracks) if df.storageLevel == StorageLevel.NONE]
-    for df in kept:
-        df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with result:
+        result.tracks
         result.view.write.mode(mode).parquet(f"{path}/view")
         result.delays.write.mode(mode).parquet(f"{path}/flight_delay")
         result.summary.write.mode(mode).parquet(f"{path}/delay_summary")
-        report.write_report(result.lines, f"{path}/delay_text", mode)
+        report.write_report(result.numbered_lines, f"{path}/delay_text", mode)
         for name, layer in result.layers.items():
             if "geojson" in layer.columns:
                 layer.select("geojson").write.mode(mode).text(f"{path}/layers/{name}")
             else:
                 layer.write.mode(mode).parquet(f"{path}/layers/{name}")
-    finally:
-        for df in kept:
-            df.unpersist()

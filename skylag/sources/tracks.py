@@ -21,16 +21,17 @@ def parse_track_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     A bad number or a missing field fails the job, also where a query does not use
     that field. Fields past the last one are ignored.
     """
-    rows = lines.select(F.split(F.btrim(F.col(column), F.lit(WHITESPACE)), r"\|").alias("fields"))
+    fields = lines.select(F.split(F.btrim(F.col(column), F.lit(WHITESPACE)), r"\|").alias("fields"))
+    split = fields.select("fields", F.split(F.get("fields", F.lit(0)), "-").alias("date"))
     places = {name: f"get(fields, {i})" for i, name in enumerate(TRACK_FIELDS)}
-    places |= {name: f"get(split({places['date']}, '-'), {i})" for i, name in enumerate(DATE_PARTS)}
-    numbers = [f for f in TRACK_SCHEMA if f.dataType.simpleString() != "string"]
-    bad = " OR ".join(f"try_cast({places[f.name]} AS {f.dataType.simpleString()}) IS NULL" for f in numbers)
+    places |= {name: f"get(date, {i})" for i, name in enumerate(DATE_PARTS)}
+    # The generator keeps the test below it: a filter put under the split would split again for each field.
+    typed = [f"try_cast({places[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in TRACK_SCHEMA]
+    rows = split.selectExpr("fields", f"inline(array(struct({', '.join(typed)})))")
+    bad = " OR ".join(f"{f.name} IS NULL" for f in TRACK_SCHEMA if f.dataType.simpleString() != "string")
     message = "concat('bad track line: ', array_join(fields, '|'))"
     good = f"if(size(fields) < {len(TRACK_FIELDS)} OR {bad}, raise_error({message}), true)"
-    return rows.where(good).selectExpr(
-        *[f"cast({places[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in TRACK_SCHEMA]
-    )
+    return rows.where(good).select(*TRACK_SCHEMA.fieldNames())
 
 
 def read_tracks(spark: SparkSession, root: str, spec: DateSpec = DateSpec()) -> DataFrame:

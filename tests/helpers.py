@@ -1,5 +1,7 @@
 """Small sample tables for tests."""
 
+from contextlib import contextmanager
+
 from skylag.schema import TRACK_SCHEMA
 
 DEFAULTS = {
@@ -18,6 +20,20 @@ def samples_df(spark, *changes):
     return spark.createDataFrame(sample_rows(*changes), TRACK_SCHEMA)
 
 
+@contextmanager
+def changed(spark, settings):
+    """Session settings for the length of a block."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+# Lines in the public airport file's format.
 AIRPORT_LINES = [
     '5925,"Al-Jawf Domestic Airport","Al-Jawf","Saudi Arabia","AJF","OESK",29.785133,40.100006,2261,3,"U","Asia/Riyadh"',
     '3484,"Los Angeles Intl","Los Angeles","United States","LAX","KLAX",33.942536,-118.408075,126,-8,"A","America/Los_Angeles"',

@@ -1,20 +1,26 @@
 import json
 import math
+import random
 
 import pytest
 from helpers import samples_df
 
 from pyspark.sql import functions as F
-from skylag.functions.colors import COLOR_CODES, HTML_COLORS, color_table, hex_color
+from skylag.functions.colors import COLOR_CODES, HTML_COLORS, hex_color, resolve_colors
 from skylag.operators import layers, tracks
 from skylag.operators.style import resolve_style
 
 
 def test_color_table(spark):
-    rows = {r.spec: r.hex for r in color_table(spark).collect()}
-    assert len(rows) == len(COLOR_CODES) + len(HTML_COLORS) == 148
+    specs = [*COLOR_CODES, *HTML_COLORS, "#0008B", "other", None]
+    frame = spark.createDataFrame([(s, s) for s in specs], "spec string, color string")
+    colored = resolve_colors(frame, "color")
+    rows = {r.spec: r.color for r in colored.collect()}
+    assert len(COLOR_CODES) + len(HTML_COLORS) == 148
     assert rows["r"] == "#FF0000" and rows["k"] == "#000000" and rows["plum"] == "#DDA0DD"
+    assert all(rows[s] == hex_color(s) for s in specs[:-1]) and rows[None] is None
     assert hex_color("c") == "#00FFFF" and hex_color("#0008B") == "#0008B"
+    assert "Join" not in colored._jdf.queryExecution().executedPlan().toString()
 
 
 def styled(spark, schema, *row, circle=False):
@@ -40,16 +46,16 @@ def test_style_color_wins_and_zero_is_absent(spark):
 
 
 def test_style_edge_and_face(spark):
-    got = styled(spark, "edge_color string, face_color string, face_alpha double", "cyan", "blue", 0.1)
+    got = styled(spark, "edge_color string, face_color string, face_alpha double", "teal", "orchid", 0.65)
     assert (got["edge_color"], got["face_color"], got["color"], got["face_alpha"]) == (
-        "#00FFFF", "#0000FF", "#00FFFF", 0.1,
+        "#008080", "#DA70D6", "#008080", 0.65,
     )
 
 
 def test_circle_style(spark):
     assert styled(spark, "id int", 1, circle=True)["face_alpha"] == 0.5
     assert styled(spark, "face_alpha double", None, circle=True)["face_alpha"] == 0.5
-    assert styled(spark, "alpha double", 0.1, circle=True)["face_alpha"] == 0.1
+    assert styled(spark, "alpha double", 0.85, circle=True)["face_alpha"] == 0.85
 
 
 def distance_m(lat1, lon1, lat2, lon2):
@@ -59,7 +65,7 @@ def distance_m(lat1, lon1, lat2, lon2):
 
 
 def test_circle_vertices_lie_on_the_circle(spark):
-    points = spark.createDataFrame([(37.4, -122.1, 5000), (-10.0, 179.99, 20000)], "lat double, lon double, radius int")
+    points = spark.createDataFrame([(48.2, 16.4, 5000), (-10.0, 179.99, 20000)], "lat double, lon double, radius int")
     rows = layers.circle_ring(points, "radius").collect()
     assert len(rows) == 72
     for r in rows:
@@ -72,9 +78,9 @@ def test_circle_vertices_lie_on_the_circle(spark):
     assert [(p.lat, p.lon) for p in ring] == [(r.ring_lat, r.ring_lon) for r in rows[:36]]
 
 
-@pytest.mark.parametrize("size, s, metres", [(0, None, 40), (None, 90, 90), (500, 90, 500)])
+@pytest.mark.parametrize("size, s, metres", [(0, None, 40), (None, 75, 75), (500, 75, 500)])
 def test_circle_sizes(spark, size, s, metres):
-    points = spark.createDataFrame([(37.4, -122.1, size, s)], "lat double, lon double, size int, s int")
+    points = spark.createDataFrame([(48.2, 16.4, size, s)], "lat double, lon double, size int, s int")
     r = layers.circle_ring(points, "size", "s").first()
     assert distance_m(r.lat, r.lon, r.ring_lat, r.ring_lon) == pytest.approx(metres, rel=0.02)
 
@@ -89,12 +95,10 @@ def test_point_layer(spark):
 
 def test_grid_lines(spark):
     spec = "lat_min double, lat_max double, lat_step double, lon_min double, lon_max double, lon_step double"
-    rows = layers.grid_lines(spark.createDataFrame([(37.42, 37.43, 0.001, -122.15, -122.14, 0.001)], spec)).collect()
-    n_lat = int((37.43 - 37.42) / 0.001)
-    n_lon = int((-122.14 - -122.15) / 0.001)
-    assert [r.axis for r in rows] == ["lat"] * n_lat + ["lon"] * n_lon
-    assert rows[0].lat_from == rows[0].lat_to == 37.42 + 0.0005
-    assert (rows[0].lon_from, rows[0].lon_to) == (-122.15 + 0.0005, -122.14 + 0.0005)
+    rows = layers.grid_lines(spark.createDataFrame([(12.5, 13.5, 0.125, 70.0, 71.5, 0.25)], spec)).collect()
+    assert [r.axis for r in rows] == ["lat"] * 8 + ["lon"] * 6
+    assert rows[0].lat_from == rows[0].lat_to == 12.5 + 0.0625
+    assert (rows[0].lon_from, rows[0].lon_to) == (70.0 + 0.125, 71.5 + 0.125)
     assert layers.grid_lines(spark.createDataFrame([(1.0, 1.0, 0.5, 3.0, 2.0, 0.5)], spec)).count() == 0
 
 
@@ -111,9 +115,9 @@ def test_boundary_edges(spark):
 def test_heatmap_settings(spark):
     df = samples_df(spark, *[{"lat": 30.1}] * 12, {"lat": 40.0})
     cells = layers.sample_density(df, step=0.5, threshold=10)
-    row = layers.heatmap_layer(cells, gradient=[(30, 30, 30, 0)]).first()
+    row = layers.heatmap_layer(cells, gradient=[(12, 200, 7, 1)]).first()
     assert (row.samples, row.threshold, row.radius, row.opacity, row.dissipating) == (12, 10, 10, 0.6, True)
-    assert row.gradient == ["rgba(30, 30, 30, 0)"]
+    assert row.gradient == ["rgba(12, 200, 7, 1)"]
     assert layers.heatmap_layer(cells).first().gradient == []
 
 
@@ -144,3 +148,55 @@ def test_default_marker_colour(spark):
     points = spark.createDataFrame([(1.0, 2.0, None, None)], "lat double, lon double, comment string, color string")
     assert layers.point_layer(points).first().color == "FF0000"
     assert layers.point_layer(points, layers.SCATTER_COLOR).first().color == "000000"
+
+
+def shape_points(spark, n=53):
+    rnd = random.Random(9)
+    rows = [("big", k, rnd.choice([1.0, 2.0, 3.5]), rnd.uniform(-9, 9), "r", 0 if k else 4) for k in range(n)]
+    rows += [("one", 5, 1.0, 2.0, "g", 3), ("two", 2, 1.0, 2.0, None, 1), ("two", 1, 0.0, 0.0, "k", 2)]
+    rows += [("ring", k, y, x, None, None) for k, (y, x) in enumerate([(0.0, 0.0), (0.0, 2.0), (2.0, 2.0), (2.0, 0.0), (0.0, 0.0)])]
+    rows += [("back", k, y, x, None, None) for k, (y, x) in enumerate([(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)])]
+    return rows, spark.createDataFrame(rows, "id string, at int, lat double, lon double, color string, ew int").repartition(4)
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 10_000])
+def test_lines_in_pieces(spark, size):
+    """Pieces of any size join up to the whole line; settings are those of the first point."""
+    rows, frame = shape_points(spark)
+    whole = {}
+    for key, at, lat, lon, *_ in sorted(rows, key=lambda r: (r[0], r[1])):
+        whole.setdefault(key, []).append((lat, lon))
+    got = {}
+    for r in layers.polyline_layer(frame, ["id"], "at", size).orderBy("id", "start").collect():
+        line = got.setdefault(r.id, [])
+        assert r.start == len(line) + 1 and len(r.path) <= size + 1
+        own = [tuple(p) for p in r.path]
+        if line:
+            assert own.pop(0) == line[-1]
+        line += own
+        if r.id == "big":
+            assert r.color == "#FF0000" and r.edge_width == 4
+    assert got == whole
+
+
+@pytest.mark.parametrize("size", [1, 3, 10_000])
+def test_rings_in_pieces(spark, size):
+    rows, frame = shape_points(spark)
+    got, turns = {}, {}
+    for r in layers.polygon_layer(frame, ["id"], "at", size).orderBy("id", "start").collect():
+        own = [tuple(p) for p in r.ring]
+        got.setdefault(r.id, []).extend(own[1:] if r.start > 1 else own)
+        turns.setdefault(r.id, set()).add(r.orientation)
+    for key, ring in got.items():
+        assert ring[0] == ring[-1]
+        points = [(lat, lon) for k, at, lat, lon, *_ in sorted(rows, key=lambda r: (r[0], r[1])) if k == key]
+        assert ring == points if points[0] == points[-1] else ring == [*points, points[0]]
+        area = sum(x0 * y1 - x1 * y0 for (y0, x0), (y1, x1) in zip(ring, ring[1:]))
+        assert turns[key] == {(area > 0) - (area < 0)}
+    assert (turns["ring"], turns["back"], turns["one"], turns["two"]) == ({1}, {-1}, {0}, {0})
+
+
+def test_style_needs_no_join(spark):
+    frame = spark.createDataFrame([("r", 1)], "label string, id int")
+    for df in (resolve_style(frame.withColumnRenamed("label", "c")), layers.segment_layer(frame)):
+        assert "Join" not in df._jdf.queryExecution().executedPlan().toString()

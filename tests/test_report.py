@@ -7,7 +7,6 @@ import pytest
 from conftest import SF_CHECK, SF_SMALL
 from helpers import samples_df
 
-from skylag.operators import tracks
 from skylag.plans.delay_report import delay_report, request_airports, write_delay_report
 from skylag.sources import derived
 
@@ -128,14 +127,44 @@ def test_no_delayed_flight(spark):
     assert all(layer.count() == 0 for name, layer in result.layers.items() if name != "boundary")
 
 
-def test_scoped_samples_are_read_once_when_kept(spark):
-    result = report_of(spark, SF_SMALL, ["N07"])
-    result.scoped.persist()
-    try:
-        plan = tracks.track_segments(result.tracks)._jdf.queryExecution().executedPlan().toString()
-        assert "InMemoryTableScan" in plan
-    finally:
-        result.scoped.unpersist()
+def counted(spark, samples):
+    """The samples, and an accumulator of the rows that were read of them."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return samples.mapInArrow(count, samples.schema), read
+
+
+def test_samples_are_read_twice_at_most(spark, tmp_path):
+    """For the whole written analysis, and for the lines of a scoped one."""
+    samples, read = counted(spark, derived.derived_samples(spark, SF_SMALL).coalesce(2))
+    airports = derived.derived_airports(spark, SF_SMALL)
+    result = delay_report(samples, airports, ["N07"])
+    n_samples = samples.count()
+    read.value = 0
+    write_delay_report(result, str(tmp_path / "out"))
+    assert n_samples <= read.value <= 2 * n_samples
+    assert not result.tables.names and not [t for t in spark.catalog.listTables() if t.name in str(result.tracks)]
+    read.value = 0
+    with delay_report(samples, airports, ["N07"]) as again:
+        again.lines.collect()
+        assert read.value <= 2 * n_samples
+        names = list(again.tables.names)
+        assert all(spark.catalog.tableExists(n) for n in names)
+    assert names and not any(spark.catalog.tableExists(n) for n in names)
+
+
+def test_line_numbers(spark):
+    """The numbers are the places in the order of the report, also over many ranges."""
+    samples = derived.derived_samples(spark, SF_CHECK)
+    with delay_report(samples, derived.derived_airports(spark, SF_CHECK), ["N07"], heavy_samples=9) as result:
+        rows = result.numbered_lines.orderBy("section", "flight_id", "year", "month", "day", "dep_time", "line_no").collect()
+        assert [r.report_no for r in rows] == list(range(1, len(rows) + 1))
+        assert sorted(map(str, result.lines.collect())) == sorted(str(r).rsplit(", report_no", 1)[0] + ")" for r in rows)
 
 
 def test_two_decimals_of_the_fixture(spark):

@@ -5,12 +5,13 @@ import random
 
 import pytest
 from conftest import SF_CHECK, SF_SMALL
-from helpers import samples_df
+from helpers import changed, samples_df
 
-from skylag.operators import delays, layers, tracks
+from skylag.operators import delays, layers, series, tracks
 from skylag.plans import report
 from skylag.schema import KEY, ORDER
 from skylag.sources import derived
+from skylag.sources.stored import StoredTables
 
 
 def brute_force(samples):
@@ -76,36 +77,33 @@ def test_every_heavy_flight_is_cut(spark):
     assert check(samples, 5)
 
 
-def test_no_task_holds_a_heavy_flight(spark):
-    samples = skewed(spark)
-    heavy = tracks.heavy_flights(tracks.flight_summary(samples), 20)
-    ordinary, cut = tracks.split_flights(samples, heavy)
-    assert {r.flight_id for r in ordinary.collect()} == {f"F{n}" for n in range(40)}
-    slices = cut.groupBy("flight_id", "chunk").count().collect()
-    assert {r.flight_id for r in slices} == {"HOT"}
-    assert len(slices) > 100 and sum(r["count"] for r in slices) == 300
-    # Half of the samples share one time; no other slice is large.
-    assert sorted(r["count"] for r in slices)[-2] < 10
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
 
-def test_slice_ends_joined_by_sort_merge(spark):
-    """The slice ends may be too many to broadcast; the table is read three times at most:
-    for the heavy flights, for the ordinary samples, for the heavy samples."""
+def test_no_task_holds_a_heavy_flight(spark):
+    """A flight whose samples all fall into one second, most of them equal, is ordered by several tasks."""
+    rows = [{"flight_id": "HOT", "time": 12.0 + n % 3 / 10_000, "lat": 30.0 + n % 5, "eta": 11.0} for n in range(900)]
+    samples = samples_df(spark, *rows, *[{"flight_id": f"F{n}", "time": 12.0} for n in range(300)]).repartition(6)
+    tables = StoredTables(spark)
+    heavy = tracks.heavy_flights(tracks.flight_summary(samples), 100)
+    ordinary, cut = tracks.split_flights(samples, heavy)
+    assert {r.flight_id for r in ordinary.collect()} == {f"F{n}" for n in range(300)}
+    with_settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with changed(spark, with_settings):
+        series.numbered(cut, tracks.FLIGHT, ORDER, tables).count()
+    parts = [r["count"] for r in spark.table(tables.names[0]).groupBy("_part").count().collect()]
+    assert len(parts) >= 6 and max(parts) < 300 and sum(parts) == 900
+    tables.drop()
+    check(samples, 100)
+
+
+def test_heavy_flights_without_broadcast(spark):
+    """Heavy flights and ranges may be too many to broadcast."""
     names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    before = {n: spark.conf.get(n, None) for n in names}
-    for n in names:
-        spark.conf.set(n, "-1")
-    try:
-        samples = derived.derived_samples(spark, SF_CHECK)
-        check(samples, 10)
-        ordered = tracks.delayed_tracks(samples, 10)
-        ordered.collect()
-        plan = ordered._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert "SortMergeJoin" in plan
-        assert plan.count("FileScan parquet") == 3 and plan.count("ReusedExchange") == 2
-    finally:
-        for n, v in before.items():
-            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    with changed(spark, dict.fromkeys(names, "-1")):
+        check(derived.derived_samples(spark, SF_CHECK), 10)
 
 
 def test_times_outside_the_slices(spark):
@@ -113,10 +111,8 @@ def test_times_outside_the_slices(spark):
     check(samples_df(spark, *[{"time": t, "lat": float(i)} for i, t in enumerate(times * 3)]), 5)
 
 
-@pytest.mark.parametrize("copy_block", [1, 3, 100_000])
-def test_copies(spark, monkeypatch, copy_block):
-    """One sample makes up a third of all; it is moved as a count and comes back whole."""
-    monkeypatch.setattr(tracks, "COPY_BLOCK", copy_block)
+def test_copies(spark):
+    """One sample makes up a third of all."""
     copies = [{"flight_id": "HOT", "time": 12.0, "eta": 11.0}] * 50
     others = [{"flight_id": "HOT", "time": 11.99 + n / 1000, "lat": float(n)} for n in range(20)]
     rest = [{"flight_id": f"F{n % 9}", "time": 9.0 + n / 10} for n in range(80)]
@@ -126,11 +122,11 @@ def test_copies(spark, monkeypatch, copy_block):
     assert paths.where("flight_id = 'HOT'").agg({"samples": "sum"}).first()[0] == 70
 
 
-@pytest.mark.parametrize("heavy_samples", [10, 1_000_000])
-def test_join_and_window_forms_agree(spark, heavy_samples):
+def test_join_and_window_forms_agree(spark):
     for samples in (skewed(spark), derived.derived_samples(spark, SF_SMALL)):
         joined = tracks.delayed_flight_samples(samples)
-        window = tracks.delayed_flight_samples_window(samples, heavy_samples).select(*joined.columns)
+        window = tracks.delayed_flight_samples_window(samples).select(*joined.columns)
+        assert executed(window).count("Scan") == 1
         assert sorted(map(str, joined.collect())) == sorted(map(str, window.collect()))
 
 
@@ -187,41 +183,64 @@ def test_heavy_join_is_split_by_adaptive_execution(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
+    with changed(spark, settings):
         samples = skewed(spark)
         joined = tracks.delayed_flight_samples(samples)
         assert joined.count() == sum(len(rows) for rows in brute_force(samples).values())
-        joined.collect()
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
-def test_ordering_moves_the_samples_once(spark):
-    """Without heavy flights the run has two scans and one shuffle of the samples."""
-    ordered = tracks.track_segments(tracks.delayed_tracks(derived.derived_samples(spark, SF_CHECK)))
-    ordered.collect()
-    plan = ordered._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "Join" not in plan
-
-
-def test_paths_are_collected_where_the_samples_are(spark):
-    paths = tracks.flight_tracks(tracks.delayed_tracks(derived.derived_samples(spark, SF_CHECK)))
-    paths.collect()
-    plan = paths._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("Exchange hashpartitioning") == 1
-
-
-def test_heavy_flights_are_broadcast_once(spark):
-    ordered = tracks.track_segments(tracks.delayed_tracks(skewed(spark), 20))
-    ordered.collect()
-    plan = ordered._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ReusedExchange" in plan
+        assert "skew=true" in executed(joined)
+
+
+@pytest.mark.parametrize("heavy_samples", [10, 1_000_000])
+def test_nothing_moves_above_the_stored_tracks(spark, heavy_samples):
+    """Segments, paths, GeoJSON, ends and report read the bucketed table without a shuffle of its rows."""
+    samples = derived.derived_samples(spark, SF_CHECK)
+    stored = tracks.delayed_tracks(samples, heavy_samples)
+    frames = [tracks.track_segments(stored), tracks.flight_tracks(stored), layers.track_geojson(stored)]
+    for frame in frames:
+        plan = executed(frame)
+        assert "Exchange" not in plan and plan.count("FileScan") == 1
+    if heavy_samples > 10:
+        with changed(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+            tables = StoredTables(spark)
+            assert "Exchange" not in executed(report.flight_lines(report.with_lines_before(stored, tables)))
+            assert "Exchange" not in executed(tracks.track_ends(stored))
+            tables.drop()
+
+
+@pytest.mark.parametrize("heavy_samples", [10, 1_000_000])
+def test_ends_of_tracks_and_of_samples_agree(spark, heavy_samples):
+    for samples in (skewed(spark), skewed(spark, True), derived.derived_samples(spark, SF_CHECK)):
+        by_track = tracks.track_ends(tracks.delayed_tracks(samples, heavy_samples))
+        by_time = delays.flight_ends(samples).select(*by_track.columns)
+        assert sorted(map(str, by_track.collect())) == sorted(map(str, by_time.collect()))
+
+
+def test_first_samples_need_no_sort_aggregate(spark):
+    samples = derived.derived_samples(spark, SF_SMALL)
+    for frame in (layers.first_late_marker(samples), delays.first_sample_attrs(samples)):
+        assert "SortAggregate" not in executed(frame)
+
+
+def test_time_that_is_null_comes_first(spark):
+    rows = [{"time": None, "lat": 1.0}, {"time": None, "lat": 0.5}, {"time": 30.0}, {"time": float("nan")}, {"time": 9.5, "eta": 10.0}]
+    end = delays.flight_ends(samples_df(spark, *rows)).first()
+    assert (end.first.time, end.first.lat, end.first_late.lat) == (None, 0.5, 0.5)
+    check(samples_df(spark, *[r for r in rows if r["time"] is not None] * 4), 3)
+
+
+def test_bloom_filter_of_the_delayed_keys(spark):
+    """Spark's runtime filter on the hash of the key reaches the scan of the samples."""
+    filters = "spark.sql.optimizer.runtime.bloomFilter"
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        f"{filters}.enabled": "true", f"{filters}.applicationSideScanSizeThreshold": "1", f"{filters}.creationSideThreshold": "1TB",
+    }
+    samples = derived.derived_samples(spark, SF_CHECK)
+    want = sorted(map(str, tracks.delayed_flight_samples(samples).collect()))
+    with changed(spark, settings):
+        filtered = tracks.delayed_flight_samples(samples, bloom_filter=True)
+        assert "might_contain" in executed(filtered)
+        assert sorted(map(str, filtered.collect())) == want
 
 
 def test_report_of_heavy_flights(spark):
