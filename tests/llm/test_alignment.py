@@ -122,6 +122,18 @@ def test_long_text(spark):
     assert long_.count_sum > long_.n_links * 1000
 
 
+def test_ids_of_every_code_point():
+    """Side A has the ids of the tokenizers library, also for rare characters and in their neighbourhood."""
+    pair = alignment.Pair(BYTE_LEVEL, PIECES)
+    tok = Tokenizer.from_file(BYTE_LEVEL)
+    tok.encode_special_tokens = True
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50_000):
+        texts = [f" a{c}1{c}.{c}'s  {c}" for c in points[at:at + 50_000]]
+        want = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [pair.a.encode_ordinary(t) for t in texts] == want
+
+
 def test_product_adds_up():
     """Gustavson's products against a dense matrix, with rows and columns in any order."""
     import numpy as np
