@@ -154,12 +154,12 @@ def sets(documents: DataFrame, counts, words_each: int = SHINGLE_WORDS, percent:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                 pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(prefixes, pa.list_(pa.int64())),
-                pa.array(parts, pa.list_(pa.int64())),
+                pa.array(parts, pa.list_(pa.int32())),
             ], ["doc_id", "text_hash", "n", "node", "prefix", "parts"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
     return rows.mapInArrow(
-        run, "doc_id long, text_hash long, n long, node long, prefix array<long>, parts array<long>"
+        run, "doc_id long, text_hash long, n long, node long, prefix array<long>, parts array<int>"
     )
 
 
@@ -196,20 +196,27 @@ def _whole_sets(documents: DataFrame, nodes: DataFrame, words_each: int) -> Data
 
 
 def _linker(documents: DataFrame, distinct: DataFrame, words_each: int, percent: int):
-    def linker(nodes: DataFrame):
-        own = distinct.join(nodes.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left_semi")
-        own = stored(own.select("node", "text_hash", "n", "parts"), "ngrams-nodes")
-        sets_ = stored(_whole_sets(documents, own, words_each), "ngrams-sets")
+    """Links of pairs: the suffix filter on the counts of parts, then the whole sets of the pairs that pass."""
 
-        def side(df: DataFrame, by: str) -> DataFrame:
-            return df.select(F.col("node").alias(f"{by}_node"), *[F.col(c).alias(f"{by}_{c}") for c in df.columns if c != "node"])
+    def linker(nodes: DataFrame):
+        met = nodes.withColumnRenamed("node", "of")
+        own = stored(
+            distinct.join(met, F.col("node") == F.col("of"), "left_semi").select("node", "text_hash", "n", "parts"), "ngrams-nodes"
+        )
 
         def both(pairs: DataFrame, df: DataFrame) -> DataFrame:
-            return pairs.join(side(df, "a"), F.expr("a = a_node")).join(side(df, "b"), F.expr("b = b_node")).drop("a_node", "b_node")
+            for by in "ab":
+                side = df.select(*[F.col(c).alias(f"{by}_{c}") for c in df.columns])
+                pairs = pairs.join(side, F.col(by) == F.col(f"{by}_node")).drop(f"{by}_node")
+            return pairs
 
         def link(pairs: DataFrame) -> DataFrame:
             most = "aggregate(zip_with(a_parts, b_parts, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
-            left = both(pairs, own.drop("text_hash")).where(f"{100 + percent} * {most} >= {percent} * (a_n + b_n)").select("a", "b")
+            left = both(pairs, own.drop("text_hash")).where(f"{100 + percent} * {most} >= {percent} * (a_n + b_n)")
+            left = stored(left.select("a", "b"), "ngrams-left")
+            ends = left.selectExpr("inline(array(struct(a AS end), struct(b AS end)))").distinct()
+            needed_ = own.join(ends, F.col("node") == F.col("end"), "left_semi")
+            sets_ = stored(_whole_sets(documents, needed_, words_each), "ngrams-sets")
             common = "size(array_intersect(a_shingles, b_shingles))"
             union = f"(size(a_shingles) + size(b_shingles) - {common})"
             return both(left, sets_).where(f"100L * {common} >= {percent}L * {union}").select("a", "b")
