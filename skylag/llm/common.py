@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 # Largest table that is broadcast.
 BROADCAST = 64 << 20
-# Comparisons with hubs go on while there are more than this many pairs a row, at most so often.
-CROWDED, MOST_HUBS = 8, 12
+# Comparisons with hubs go on, at most so often, while more pairs are left than these in all and for a row.
+MANY_PAIRS, CROWDED, MOST_HUBS = 1e9, 1000, 12
 
 
 def shared_uri(spark: SparkSession, name: str) -> str:
@@ -127,8 +127,8 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
 
     Exact, without all pairs of a bucket: first each node is compared with one hub, the
     smallest near node of its buckets' smallest, and groups are joined; then, in buckets
-    that still hold two groups, with a largest one. While the pairs left are many more
-    than the rows, further hubs follow, picked by a hash, so that each large group of a
+    that still hold two groups, with a largest one. While the pairs left are very many
+    (``MANY_PAIRS, CROWDED``), further hubs follow, picked by a hash, so that each large group of a
     bucket gets one soon; then come the pairs not compared yet that share a bucket and
     are still in different groups. A bucket of near copies is one group after the first
     steps, and has no pairs left.
@@ -171,7 +171,7 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
             sizes = shared.groupBy("bucket").count().agg(
                 F.sum("count").alias("rows"), F.sum(F.expr("double(count) * (count - 1) / 2")).alias("pairs")
             ).first()
-            if (sizes.pairs or 0) <= CROWDED * (sizes.rows or 0):
+            if (sizes.pairs or 0) <= max(MANY_PAIRS, CROWDED * (sizes.rows or 0)):
                 break
     left, right = shared.alias("l"), shared.alias("r")
     rest = left.join(right, F.expr(
