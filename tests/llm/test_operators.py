@@ -153,11 +153,31 @@ def distance(a, b):
 
 
 def line_sim(normal):
-    hashes = [
-        xxhash.xxh64_intdigest((k // 64).to_bytes(8, "little"), xxhash.xxh64_intdigest(w.encode(), 42))
-        for k, w in enumerate(normal.split(" "))
-    ]
-    return sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    words = normal.split(" ")
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    weights = [1 if len(w) < 12 else min(8, len(w) // 6) for w in words]
+    return sum(1 << b for b in range(63) if 2 * sum(w for h, w in zip(hashes, weights) if h >> b & 1) > sum(weights))
+
+
+def line_ends(normal):
+    """The words that a line's two other buckets stand for."""
+    words = normal.split(" ")
+    half = len(words) // 2
+    if half < 3:
+        return None
+    part = max(n for k in range(20) for n in (2 ** k, 3 * 2 ** k // 2) if n <= half)
+    return words[:part], words[-part:]
+
+
+def line_link(x, y, bits=16):
+    """Whether two normalised lines meet in a bucket and are near copies."""
+    blocks = [(0, 16), (16, 16), (32, 16), (48, 15)]
+    turned = line_sim(x) ^ line_sim(y)
+    meet = sum(not turned >> at & (1 << width) - 1 for at, width in blocks) >= 2
+    ends = line_ends(x), line_ends(y)
+    meet = meet or None not in ends and (ends[0][0] == ends[1][0] or ends[0][1] == ends[1][1])
+    most = min(max(len(x), len(y)) // 5, 2048)
+    return meet and turned.bit_count() <= bits and abs(len(x) - len(y)) <= most and distance(x, y) <= most
 
 
 def find(parent, a):
@@ -181,10 +201,9 @@ def test_line_dedup(spark, empty):
             if normal:
                 occurrences.append((i, k, kinds.setdefault(normal, len(kinds))))
     names, parent = list(kinds), list(range(len(kinds)))
-    sims = [line_sim(n) for n in names]
     for a in range(len(names)):
         for b in range(a):
-            if (sims[a] ^ sims[b]).bit_count() <= 2 and distance(names[a], names[b]) <= max(len(names[a]), len(names[b])) // 5:
+            if line_link(names[a], names[b]):
                 parent[find(parent, a)] = find(parent, b)
     first, gone = {}, defaultdict(list)
     for i, k, kind in occurrences:
@@ -223,6 +242,77 @@ def test_line_dedup_finds_other_words(spark, tmp_path):
         assert sum(found[at:at + 30]) >= 28
 
 
+def test_registered_line_dedup(spark, tmp_path):
+    """The query, on lines with words changed, put in, left out and made longer, against all pairs."""
+    rng = random.Random(21)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    lines = []
+    for n in (3, 5, 6, 8, 12, 20, 33, 60, 130):
+        for _ in range(4):
+            line = [rng.choice(words) for _ in range(n)]
+            lines.append(line)
+            for _ in range(4):
+                other = list(line)
+                for _ in range(rng.randint(1, 2)):
+                    at = rng.randrange(len(other))
+                    kind = rng.randrange(4)
+                    if kind == 0:
+                        other[at] = rng.choice(words)
+                    elif kind == 1:
+                        other.insert(at, rng.choice(words))
+                    elif kind == 2 and len(other) > 1:
+                        del other[at]
+                    else:
+                        other[at] += "".join(rng.choice("abcdefgh") for _ in range(rng.choice([1, 20, 60])))
+                lines.append(other)
+    normal = [" ".join(x) for x in lines]
+    order = rng.sample(range(len(normal)), len(normal))
+    texts = ["\n".join(normal[k] for k in order[at:at + 7]) for at in range(0, len(order), 7)]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = by_id(queries.op4_line_dedup(spark, str(tmp_path)))
+    kinds = sorted(set(normal))
+    parent = list(range(len(kinds)))
+    for a in range(len(kinds)):
+        for b in range(a):
+            if abs(len(kinds[a]) - len(kinds[b])) <= 60 and find(parent, a) != find(parent, b) and line_link(kinds[a], kinds[b]):
+                parent[find(parent, a)] = find(parent, b)
+    seen, gone = set(), 0
+    for i, text in enumerate(texts):
+        removed = []
+        for k, line in enumerate(text.split("\n")):
+            group = find(parent, kinds.index(line))
+            if group in seen:
+                removed.append(k)
+            seen.add(group)
+        gone += len(removed)
+        assert got[i].removed == removed
+    assert gone > 60
+
+
+@pytest.mark.parametrize("free", ["word", "hash"])
+def test_lines_on_one_template(spark, free):
+    """Very many lines that differ in one free word: a short one makes all of them near copies, a
+    long one none. Neither ends in all pairs."""
+    rng = random.Random(6)
+    start, end = "the report of today was written by user", "and sent to all readers"
+    made = ["".join(rng.choice("0123456789abcdef") for _ in range(6 if free == "word" else 60)) for _ in range(20_000)]
+    rows = [(i, "\n".join(f"{start} {m} {end}" for m in made[i * 200:(i + 1) * 200])) for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    removed = line_dedup.line_report(frame).agg({"n_removed": "sum"}).first()[0]
+    assert removed == (19_999 if free == "word" else 0)
+
+
+def test_very_long_lines(spark):
+    """Lines of a million characters are compared in a bounded number of edits."""
+    rng = random.Random(5)
+    words = [f"w{rng.randint(0, 9999)}" for _ in range(170_000)]
+    other = [*words[:100], "new", *words[101:]]
+    far = [*words[:90_000], *[f"v{k}" for k in range(80_000)]]
+    frame = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate((words, other, far))], "doc_id long, text string")
+    got = by_id(line_dedup.line_report(frame))
+    assert [got[k].n_removed for k in range(3)] == [0, 1, 0]
+
+
 def test_bloom_lm(spark, docs, texts, empty):
     words = {i: [*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\n"] for i, t in enumerate(texts)}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}
