@@ -77,6 +77,25 @@ def test_empty_and_long(spark):
     assert [r.component_id for r in sorted(ngram_join.ngram_groups(frame(spark, rows)).collect())] == [1, 1, 3]
 
 
+def test_suffix_filter_bounds_the_intersection(spark):
+    """The sum over parts is at least the intersection, also where the sets are cut differently, and
+    tells unrelated sets apart."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows, want = [], []
+    for n, m, both in [(7, 9, 5), (15, 17, 15), (120, 140, 100), (1000, 1100, 900), (1023, 1025, 0), (5000, 5000, 0), (3, 5000, 3)]:
+        pool = np.unique(rng.integers(0, 2**64, n + m, dtype=np.uint64))[: n + m - both]
+        rng.shuffle(pool)
+        a, b = np.sort(pool[:n]), np.sort(pool[n - both:])
+        rows.append((ngram_join.part_counts(a).tolist(), ngram_join.part_counts(b).tolist()))
+        want.append((len(a), len(np.intersect1d(a, b))))
+    frame = spark.createDataFrame(rows, "a_parts array<int>, b_parts array<int>").coalesce(1)
+    got = [r[0] for r in frame.selectExpr(ngram_join._most_common()).collect()]
+    assert all(both <= most <= n for most, (n, both) in zip(got, want))
+    assert got[4] < 0.9 * 1023 and got[5] < 0.9 * 5000
+
+
 def test_order_is_rare_first(spark):
     """The prefix holds the shingles that occur in the fewest documents."""
     rows = [(k, "a b c d e f g h i j " + f"rare{k} word{k} here{k}") for k in range(20)]
