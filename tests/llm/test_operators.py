@@ -155,7 +155,8 @@ def distance(a, b):
 def line_sim(normal):
     words = normal.split(" ")
     hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
-    weights = [1 if len(w) < 12 else min(8, len(w) // 6) for w in words]
+    most = 8 if (5 * len(words) + len(normal)) // 3 > 511 else 511
+    weights = [1 if len(w) <= 3 else min(most, (len(w) + 5) // 3) for w in words]
     return sum(1 << b for b in range(63) if 2 * sum(w for h, w in zip(hashes, weights) if h >> b & 1) > sum(weights))
 
 
@@ -169,15 +170,15 @@ def line_ends(normal):
     return words[:part], words[-part:]
 
 
-def line_link(x, y, bits=16):
+def line_link(x, y):
     """Whether two normalised lines meet in a bucket and are near copies."""
     blocks = [(0, 16), (16, 16), (32, 16), (48, 15)]
     turned = line_sim(x) ^ line_sim(y)
-    meet = sum(not turned >> at & (1 << width) - 1 for at, width in blocks) >= 2
     ends = line_ends(x), line_ends(y)
-    meet = meet or None not in ends and (ends[0][0] == ends[1][0] or ends[0][1] == ends[1][1])
-    most = min(max(len(x), len(y)) // 5, 2048)
-    return meet and turned.bit_count() <= bits and abs(len(x) - len(y)) <= most and distance(x, y) <= most
+    meet = turned.bit_count() <= 8 and sum(not turned >> at & (1 << width) - 1 for at, width in blocks) >= 2
+    meet = meet or turned.bit_count() <= 14 and None not in ends and (ends[0][0] == ends[1][0] or ends[0][1] == ends[1][1])
+    most = min(max(len(x), len(y)) // 5, 1024)
+    return meet and abs(len(x) - len(y)) <= most and distance(x, y) <= most
 
 
 def find(parent, a):
@@ -368,23 +369,81 @@ def test_nearest(spark):
     assert ann.nearest(frame.where("vec_id IN (0, 1, 2)")).count() == 2
 
 
+def unit_vectors(rng, n, dims=64):
+    vectors = rng.normal(size=(n, dims))
+    return vectors / np.sqrt((vectors**2).sum(axis=1))[:, None]
+
+
 def test_all_lists_within_the_ratio_are_found():
     rng = np.random.default_rng(6)
-    vectors = rng.normal(size=(4000, 64))
-    vectors /= np.sqrt((vectors**2).sum(axis=1))[:, None]
-    lists = ann.Lists(vectors, 200)
-    points = rng.normal(size=(300, 64))
-    points /= np.sqrt((points**2).sum(axis=1))[:, None]
+    lists = ann.Lists(unit_vectors(rng, 4000), 200)
+    assert min(map(len, lists.edges)) >= ann.DEGREE
+    points, ratio = unit_vectors(rng, 300), 1.12
     all_ = np.sqrt(((points[:, None] - lists.centers[None]) ** 2).sum(axis=2))
-    want = all_ <= ann.PROBE * all_.min(axis=1, keepdims=True)
+    want = all_ <= ratio * all_.min(axis=1, keepdims=True)
     assert want.sum(axis=1).max() > ann.BEAM
-    found, dist = lists.search(points, ann.PROBE)
     got = np.zeros_like(want)
-    row, col = np.nonzero(dist <= ann.PROBE * dist[:, :1])
-    got[row, found[row, col]] = True
+    for q, point in enumerate(points):
+        for d, c in lists.search(point, ratio):
+            assert abs(d - all_[q, c]) < 1e-9
+            got[q, c] = True
     assert (got & want).sum() >= 0.999 * want.sum()
 
 
+def test_homes_are_few_and_apart():
+    """A vector is in its closest list; in others only if none it is in lies nearer to them than it does."""
+    rng = np.random.default_rng(3)
+    vectors = unit_vectors(rng, 2000, 8)
+    lists = ann.Lists(vectors, 50)
+    sizes = np.zeros(50, dtype=int)
+    for v in vectors:
+        homes = lists.homes(v)
+        d = np.sqrt(((lists.centers - v) ** 2).sum(axis=1))
+        assert 1 <= len(homes) <= ann.COPIES and homes[0] == d.argmin() and d[homes].max() <= ann.BOUNDARY * d.min()
+        for k, c in enumerate(homes):
+            assert all(((lists.centers[c] - lists.centers[o]) ** 2).sum() > d[c] ** 2 for o in homes[:k])
+        sizes[homes] += 1
+    assert sizes.sum() > 2000 and sizes.max() < 4 * sizes.mean()
+
+
+@pytest.mark.parametrize("flat", [True, False])
+def test_recall_where_lists_are_pruned(spark, flat, monkeypatch):
+    """Isotropic vectors, as in the given table, and vectors in clusters; also with many small units."""
+    rng = np.random.default_rng(8)
+    vectors = unit_vectors(rng, 8000) if flat else unit_vectors(rng, 8000) / 3 + unit_vectors(rng, 80)[rng.integers(0, 80, 8000)]
+    vectors = vectors.astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(ann, "UNIT_BYTES", 64 * 8 * 700)
+    monkeypatch.setattr(ann, "UNIT_QUERIES", 150)
+    got = defaultdict(set)
+    for r in ann.nearest(frame, list_vectors=100).collect():
+        got[r.query_id].add(r.vec_id)
+    wide, hits = vectors.astype(np.float64), 0
+    for q, found in got.items():
+        scores = wide @ wide[q]
+        scores[q] = -np.inf
+        hits += len(found & set(np.argsort(-scores)[:20].tolist()))
+    assert len(got) == 400 and hits >= 0.9 * 20 * len(got)
+    whole = wide[:3000]
+    lists = ann.Lists(ann._extended(whole, np.sqrt((whole**2).sum(axis=1)).max(), False), 30)
+    ratio = ann.probe_ratio(lists, ann._extended(whole, np.sqrt((whole**2).sum(axis=1)).max(), False), ann._extended(whole[:200], 1, True), 20)
+    read = np.mean([len(lists.search(p, ratio)) for p in ann._extended(whole[:200], 1, True)]) / 30
+    assert read < (1 if flat else 0.5)
+
+
+def test_many_lengths_of_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=1 + k % 130).tolist()) for k in range(1300)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.nearest(frame).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    for q, found in got.items():
+        own = [(-float(np.dot(rows[k][1], rows[q][1])), k) for k in range(q % 130, 1300, 130) if k != q]
+        assert found == [k for _, k in sorted(own)][:20]
+    assert len(got) == 65
+
+
 def test_simhash(spark, docs, texts, empty):
     prints = {}
     for i, text in enumerate(texts):
@@ -499,6 +558,90 @@ def test_decontaminate(spark, docs, texts, empty, block_bytes):
     assert decontam.contaminated_words(empty, benchmark).count() == 0
 
 
+@pytest.mark.parametrize("shard_words, block_bytes", [(1_000_000, 1 << 20), (60, 1 << 20), (60, 150)])
+def test_longest_matches(spark, shard_words, block_bytes):
+    """The longest common run of words of every item, over all documents, against all places."""
+    rng = random.Random(14)
+    words = [f"w{k}" for k in range(40)]
+    whole = [[rng.choice(words) for _ in range(rng.randint(0, 60))] for _ in range(40)]
+    items = [("a", whole[3][5:30]), ("b", whole[4][:12] + ["zz"] + whole[9][:14]), ("c", whole[7][2:6]), ("d", ["qq"] * 20),
+             ("e", whole[5][:20] + whole[5][:20]), ("f", []), (None, whole[11][:15]), ("g", ["r"] * 30)]
+    whole += [["r"] * 25, ["r"] * 25, whole[3], ["x", "x"] + whole[3][4:40]]
+    ids = [*range(len(whole) - 1), None]
+    docs = documents(spark, [" ".join(w).upper() for w in whole], ids)
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id string, text string")
+    got = {r.item_id: tuple(r)[1:] for r in decontam.longest_matches(docs, benchmark, 10, block_bytes, shard_words).collect()}
+    want = {}
+    for name, item in items:
+        best = None
+        for p in range(len(item)):
+            for doc_id, words in zip(ids, whole):
+                for q in range(len(words)):
+                    n = 0
+                    while p + n < len(item) and q + n < len(words) and item[p + n] == words[q + n]:
+                        n += 1
+                    key = (-n, p, doc_id is None, doc_id or 0, q)
+                    if n >= min(10, len(item)) and n and (best is None or key < best):
+                        best = key
+        if best:
+            want[str(name)] = (-best[0], best[1], None if best[2] else best[3], best[4])
+    assert got == want and len(want) >= 6
+    assert decontam.longest_matches(docs.where("false"), benchmark).count() == 0
+
+
+def test_clashing_columns_stay(spark):
+    frame = spark.createDataFrame(
+        [(1, "one two three four five", "a", "b", "c", "d"), (2, "one two three four five", "a", "b", "c", "d")],
+        "doc_id long, text string, _decontam_id string, _simhash_text string, row string, bad_id string",
+    )
+    benchmark = spark.createDataFrame([("i", "nothing here")], "item_id string, text string")
+    assert decontam.decontaminate(frame, benchmark).collect() == frame.collect()
+    assert simhash.drop_near_copies(frame).collect() == frame.where("doc_id = 1").collect()
+    assert simhash.drop_near_copies(frame.where("false")).columns == frame.columns
+    assert simhash.drop_near_copies(frame.where("false")).count() == 0
+
+
+def test_noisy_or_is_the_sum_of_sentences(spark):
+    """The score, recomputed from the model: one minus the product of the sentences' complements,
+    each sentence counted beyond a plain one."""
+    model = (-4.0, {"^bad$": 5.0, "^ill$": 2.5, "^good$": -3.0})
+    texts = ["bad words. good words. ill words!", "good day. plain day.", "bad ill bad. bad good", "", None, "ill. ill. ill. ill"]
+    docs = documents(spark, texts)
+    got = by_id(toxicity.score_documents(docs, model))
+    weights = {"bad": 5.0, "ill": 2.5, "good": -3.0}
+    for i, text in enumerate(texts):
+        plain = 1 + np.exp(-4.0)
+        none, bad = 1.0, 0
+        for sentence in re.split("[.!?\n]+", text or ""):
+            logit = -4.0 + sum(weights.get(w, 0.0) for w in set(sentence.split()))
+            if logit > -4.0:
+                none *= plain / (1 + np.exp(logit))
+            bad += logit >= 0
+        assert abs(got[i].score - (1 - none)) < 1e-12 and len(got[i].sentences) == bad
+        assert got[i].predicted == (got[i].score >= 0.5)
+
+
+def test_sidecar_offsets(spark, tmp_path):
+    """Every record can be inflated alone from the place that the sidecar names."""
+    pages = spark.createDataFrame([(k, f"u{k}", f"page {k} " * (k * 50)) for k in range(30)], "page_id long, url string, html string")
+    uri = f"file://{tmp_path}/warc"
+    archives = warc.write_archives(warc.mark_revisits(pages), uri, roll_bytes=2000).collect()
+    made = {r.archive for r in warc.normalise(spark.createDataFrame(archives, "archive string"), uri).collect()}
+    seen = []
+    for name in made:
+        data = (tmp_path / "warc" / name).read_bytes()
+        end = 0
+        for line in (tmp_path / "warc" / f"{name}.idx").read_text().splitlines():
+            offset, length, record_id = line.split()
+            assert int(offset) == end
+            end += int(length)
+            record = zlib.decompressobj(31).decompress(data[int(offset):end])
+            assert f"WARC-Record-ID: {record_id}".encode() in record and record.endswith(b"\r\n\r\n")
+            seen.append(record_id)
+        assert end == len(data)
+    assert sorted(seen) == sorted(f"<urn:page:{k}>" for k in range(30))
+
+
 def test_pieces(spark, docs, texts, empty):
     library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
     extra = ["Hello  wörld \n\t日本 😀 don't", "    ", "end.. x,"]
