@@ -10,6 +10,8 @@ any evidence: a sentence that speaks for nothing adds nothing, however many ther
 
 import math
 import re
+from array import array
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from skylag.llm.decontam import FOLD
 
 # Bounds of the sample that the model is fitted on: documents, and their mean characters.
 FIT_DOCUMENTS = 6000
-FIT_CHARS = 20_000
+FIT_CHARS = 4000
 # Fewest documents of the sample that hold a feature of the model.
 MIN_DOCUMENTS = 5
 ROUNDS = 300
@@ -49,36 +51,40 @@ def features(word: bytes) -> list[str]:
     return [f"^{text}$", *(f"^{text[:k]}" for k in range(3, min(len(text), 8) + 1))]
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS, l1: float = L1) -> tuple[float, dict[str, float]]:
+def fit(texts: Iterable[str], labels: list[int], rounds: int = ROUNDS, l1: float = L1) -> tuple[float, dict[str, float]]:
     """Bias and weights of the features, by proximal gradient steps on the bags' likelihood.
 
     A sentence's logit is the bias and the weights of its distinct words; a word's weight
-    is that of its features.
+    is that of its features. Texts are turned into numbers of words one by one, and
+    features known by their hash until those of enough documents are found.
     """
     import numpy as np
 
     number: dict[bytes, int] = {}
-    word, sentence, owner = [], [], []
+    word, sentence, owner = array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
         for _, _, words in sentences(text):
-            word += [number.setdefault(w, len(number)) for w in sorted(words)]
-            sentence += [len(owner)] * len(words)
+            word.extend(number.setdefault(w, len(number)) for w in sorted(words))
+            sentence.extend([len(owner)] * len(words))
             owner.append(d)
-    word, sentence, owner = (np.array(x, dtype=np.int64) for x in (word, sentence, owner))
-    names: dict[str, int] = {}
-    of_word, feature = [], []
+    word, sentence, owner = (np.frombuffer(x, dtype=np.int32) if len(x) else np.zeros(0, dtype=np.int32) for x in (word, sentence, owner))
+    hashed, of_word = array("q"), array("i")
     for w, k in number.items():
-        own = [names.setdefault(f, len(names)) for f in features(w)]
-        feature += own
-        of_word += [k] * len(own)
-    feature, of_word = np.array(feature, dtype=np.int64), np.array(of_word, dtype=np.int64)
+        own = features(w)
+        hashed.extend(map(hash, own))
+        of_word.extend([k] * len(own))
+    hashes, feature = np.unique(np.array(hashed, dtype=np.int64), return_inverse=True)
+    of_word = np.array(of_word, dtype=np.int32)
     # Only features of enough documents are learned.
-    pairs = np.unique(np.stack([owner[sentence], word]), axis=1) if len(word) else np.zeros((2, 0), dtype=np.int64)
-    in_docs = np.bincount(pairs[1], minlength=len(number))
-    enough = np.bincount(feature, in_docs[of_word], len(names)) >= MIN_DOCUMENTS
+    pairs = np.unique(owner[sentence].astype(np.int64) * len(number) + word)
+    in_docs = np.bincount(pairs % max(len(number), 1), minlength=len(number))
+    enough = np.bincount(feature, in_docs[of_word], len(hashes)) >= MIN_DOCUMENTS
+    del pairs
     of_word, feature = of_word[enough[feature]], feature[enough[feature]]
+    place = {h: k for k, h in enumerate(hashes.tolist()) if enough[k]}
+    names = {place[h]: f for w in number for f in features(w) if (h := hash(f)) in place}
     y = np.array(labels, dtype=np.float64)
-    n, m, size = len(y), len(owner), len(names)
+    n, m, size = len(y), len(owner), len(hashes)
     weight, bias = np.zeros(size), -5.0
     scale, scale_b = np.full(size, 1e-8), 1e-8
     for _ in range(rounds if m else 0):
@@ -95,8 +101,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS, l1: float = L
         weight = np.sign(weight) * np.maximum(np.abs(weight) - step * l1, 0)
         scale_b += slope.sum() ** 2
         bias += 0.2 * slope.sum() / math.sqrt(scale_b)
-    named = list(names)
-    return float(bias), {named[k]: float(weight[k]) for k in np.flatnonzero(weight)}
+    return float(bias), {names[k]: float(weight[k]) for k in np.flatnonzero(weight).tolist()}
 
 
 class Scorer:
@@ -157,8 +162,9 @@ def fit_sample(
             break
         longest = n
     rows = rows.where(F.char_length("text") <= longest).orderBy("doc_id", "text").limit(fit_documents)
-    sample = rows.select("text", "label").collect()
-    return fit([r[0] for r in sample], [r[1] for r in sample])
+    # As Arrow, so that only one text at a time is a Python string.
+    sample = rows.select("text", "label").toArrow()
+    return fit((t.as_py() for t in sample.column(0)), sample.column(1).to_pylist())
 
 
 def score_documents(documents: DataFrame, model: tuple[float, dict[str, float]]) -> DataFrame:
