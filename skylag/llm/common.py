@@ -4,6 +4,7 @@ import re
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,16 +17,43 @@ BROADCAST = 64 << 20
 MANY_PAIRS, CROWDED, MOST_HUBS = 1e9, 1000, 12
 
 
+# Folder of a local session without a shared one, and all that was made, oldest first.
+_local: list[str] = []
+_made: list[str] = []
+
+
 def shared_uri(spark: SparkSession, name: str) -> str:
     """A new path under the folder that driver and executors share.
 
-    That is ``spark.checkpoint.dir``; only a session without one gets a folder of its own.
+    That is ``spark.checkpoint.dir``, where unset a folder of the warehouse; only a local
+    session gets a temporary folder.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="shared-")
-        spark.sparkContext._conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not root and spark.sparkContext.master.startswith("local"):
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="shared-"))
+        root = _local[0]
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
+    _made.append(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch():
+    """Deletes at its end what is made inside. What is left must have been written elsewhere.
+
+    A store that only Spark reaches keeps its tables.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        while len(_made) > before:
+            try:
+                store, path = open_store(_made.pop())
+                store.delete_dir(path)
+            except (OSError, ValueError):  # pyarrow's errors are kinds of these
+                continue
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -4,9 +4,10 @@ Words are numbered by the vocabulary of the benchmark; every other word is a bre
 A shard (a bounded run of documents) gets a suffix array over those of its words that
 stand in a run long enough to hold a window, sorted by prefix doubling. Every
 benchmark suffix is then searched in it by bisection, all suffixes at once: the
-result is the range of training suffixes that share a whole window with it, and the
-longest verbatim match. Shards need no shuffle, and the benchmark is broadcast in
-blocks of bounded size.
+result is the range of training suffixes that share a whole window with it
+(``contaminated_words``), or its neighbours, and with them the longest verbatim match
+and its places (``longest_matches``). Shards need no shuffle, and the benchmark is
+broadcast in blocks of bounded size.
 """
 
 from pyspark.sql import DataFrame
@@ -246,6 +247,130 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     name = "decontam_key"
     bad = contaminated_words(documents, benchmark, window).where("size(hits) > 0")
-    bad = stored(bad.select(F.col("doc_id").alias("_decontam_id"), F.col("row_hash").alias("_decontam_hash")).distinct(), name)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_decontam_id")) & (F.xxhash64("text") == F.col("_decontam_hash"))
-    return documents.join(bad, same, "left_anti")
+    bad = stored(bad.select(F.col("doc_id").alias("bad_id"), F.col("row_hash").alias("bad_hash")).distinct(), name)
+    # The row as one column, so that none of its names can clash.
+    rows = documents.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"), F.xxhash64("text").alias("row_hash")
+    )
+    same = F.col("row_id").eqNullSafe(F.col("bad_id")) & (F.col("row_hash") == F.col("bad_hash"))
+    return rows.join(bad, same, "left_anti").select("row.*")
+
+
+def _common(text, at, item, places, limit: int):
+    """For each pair of places the number of equal words of the two arrays before a break or the end."""
+    import numpy as np
+
+    length = np.zeros(len(at), dtype=np.int64)
+    active = np.arange(len(at))
+    for k in range(limit):
+        there, own = at[active] + k, places[active] + k
+        inside = (there < len(text)) & (own < len(item))
+        same = inside.copy()
+        same[inside] = (text[there[inside]] == item[own[inside]]) & (text[there[inside]] != 0)
+        active = active[same]
+        if not len(active):
+            break
+        length[active] += 1
+    return length
+
+
+def shard_longest(items: list[tuple[str, list[int]]], number: dict[bytes, int], docs: list[list[bytes]], window: int):
+    """For each item its longest match with the shard, as ``item, length, place in item, document, place in document``.
+
+    Every suffix of an item is put by bisection where it belongs among the shard's sorted
+    suffixes; its longest match is with one of the two neighbours. The suffixes that share
+    it are one range, of which the first place is taken.
+    """
+    import numpy as np
+
+    parts, first, at = [], [], 0
+    for words in docs:
+        first.append(at)
+        parts.append(np.fromiter((number.get(w, 0) for w in words), dtype=np.int64, count=len(words)))
+        parts.append(np.zeros(1, dtype=np.int64))
+        at += len(words) + 1
+    text = np.concatenate(parts) if parts else np.zeros(1, dtype=np.int64)
+    starts, docs_at = np.flatnonzero(text != 0), np.array(first)
+    longest = max((len(own) for _, own in items), default=0)
+    if not len(starts) or not longest:
+        return
+    suffixes = suffix_array(text, starts, longest)
+    for name, own in items:
+        if not own:
+            continue
+        item = np.array(own, dtype=np.int64)
+        places = np.arange(len(item))
+        low, high = np.zeros(len(item), dtype=np.int64), np.full(len(item), len(suffixes), dtype=np.int64)
+        while (low < high).any():
+            mid = np.minimum((low + high) // 2, len(suffixes) - 1)
+            there = suffixes[mid]
+            same = _common(text, there, item, places, longest)
+            ended = places + same >= len(item)
+            ahead = text[np.minimum(there + same, len(text) - 1)] < item[np.minimum(places + same, len(item) - 1)]
+            right = (low < high) & ~ended & ahead
+            high = np.where((low < high) & ~right, mid, high)
+            low = np.where(right, mid + 1, low)
+        near = [np.clip(low + k, 0, len(suffixes) - 1) for k in (-1, 0)]
+        lengths = np.maximum(*[_common(text, suffixes[n], item, places, longest) for n in near])
+        best = int(lengths.max())
+        if best < min(window, len(item)):
+            continue
+        place = int(np.argmax(lengths))
+        a, b = bisect(text, suffixes, item[None, place:place + best])
+        where = suffixes[a[0]:b[0]]
+        owner = np.searchsorted(docs_at, where, side="right") - 1
+        yield name, best, place, owner, where - docs_at[owner]
+
+
+def longest_matches(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    shard_words: int = SHARD_WORDS,
+) -> DataFrame:
+    """The longest verbatim match of every item: ``item_id, length, item_place, doc_id, doc_place``.
+
+    Only matches of at least a window count (the whole item, if it is shorter); items
+    without one have no row. Of equally long matches the first in the item is taken, then
+    the smallest doc_id, null last, then the first place in the document. Places and
+    lengths are in words. Items of one item_id are one item, a null one counts as 'None'.
+    """
+    spark = documents.sparkSession
+    found = None
+    for block in item_blocks(benchmark, block_bytes):
+        shared = spark.sparkContext.broadcast(block)
+
+        def search(batches, shared=shared):
+            import pyarrow as pa
+
+            number: dict[bytes, int] = {}
+            items = [(str(i), [number.setdefault(w, len(number) + 1) for w in words_of(t)]) for i, t in shared.value]
+
+            def flush(ids, docs):
+                rows = []
+                for name, length, place, owner, at in shard_longest(items, number, docs, window):
+                    first = min((ids[o] is None, ids[o] or 0, a) for o, a in zip(owner.tolist(), at.tolist()))
+                    rows.append((name, -length, place, *first))
+                columns = list(zip(*rows)) or [()] * 6
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+                names = ["item_id", "minus", "item_place", "no_id", "doc_id", "doc_place"]
+                return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
+
+            ids, docs, size = [], [], 0
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    ids.append(batch.column(0)[k].as_py())
+                    docs.append(words_of(batch.column(1)[k].as_py()))
+                    size += len(docs[-1])
+                    if size >= shard_words:
+                        yield flush(ids, docs)
+                        ids, docs, size = [], [], 0
+            if docs:
+                yield flush(ids, docs)
+
+        rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+            search, "item_id string, minus long, item_place long, no_id boolean, doc_id long, doc_place long"
+        )
+        found = rows if found is None else found.unionByName(rows)
+    best = found.groupBy("item_id").agg(F.min(F.struct("minus", "item_place", "no_id", "doc_id", "doc_place")).alias("b"))
+    return best.selectExpr(
+        "item_id", "-b.minus AS length", "b.item_place", "if(b.no_id, NULL, b.doc_id) AS doc_id", "b.doc_place"
+    )

@@ -156,8 +156,11 @@ def drop_near_copies(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, m
     groups = _grouped(documents, shingle_words, max_bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     keep = groups.groupBy("root").agg(first).select(
-        F.col("first.doc_id").alias("_simhash_kept"), F.col("first.text_hash").alias("_simhash_hash")
+        F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash")
     )
-    text = documents.withColumn("_simhash_text", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_simhash_kept")) & (F.col("_simhash_text") == F.col("_simhash_hash"))
-    return text.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_simhash_text"]).drop("_simhash_text")
+    # The row as one column, so that none of its names can clash.
+    rows = documents.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"), F.xxhash64("text").alias("row_hash")
+    )
+    same = F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash"))
+    return rows.join(keep, same, "left_semi").dropDuplicates(["row_id", "row_hash"]).select("row.*")

@@ -99,7 +99,9 @@ def write_archives(marked: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, le
         out = pack = None
         size, names = 0, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                # One page at a time as Python values: payloads may be large.
+                row = {name: column[k].as_py() for name, column in zip(batch.schema.names, batch.columns)}
                 if out is None:
                     names.append(f"part-{uuid.uuid4().hex}.warc.gz")
                     out, pack, size = store.open_output_stream(f"{root}/{names[-1]}", compression=None), zlib.compressobj(level, 8, GZIP), 0
