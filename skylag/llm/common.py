@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Words: maximal runs of bytes that are not ASCII white space; case folding of A-Z only.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+# Rows that a task of a step over few rows takes.
+TASK_ROWS = 100_000
 # Largest table that is broadcast.
 BROADCAST = 64 << 20
 # Comparisons with hubs go on, at most so often, while more pairs are left than these in all and for a row.
@@ -93,7 +95,12 @@ def once_per_process(name: str, build):
     return kept[name]
 
 
-def with_least(links: DataFrame) -> DataFrame:
+def few_tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks for a step over so few rows that starting tasks and writing files would be most of its work."""
+    return max(1, min(rows // TASK_ROWS + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def with_least(links: DataFrame, tasks: int) -> DataFrame:
     """Links ``u, v`` with ``least``, the smallest v of their u.
 
     The minimum is combined inside each task. It is grouped by one column more than
@@ -103,9 +110,9 @@ def with_least(links: DataFrame) -> DataFrame:
     least = (
         links.groupBy("u", F.pmod(F.xxhash64("u"), F.lit(7)).alias("part"))
         .agg(F.min("v").alias("least"))
-        .select(F.col("u").alias("of"), "least")
+        .select(F.col("u").alias("of"), "least").coalesce(tasks)
     )
-    return links.join(least, F.col("u") == F.col("of")).drop("of")
+    return links.join(least, F.col("u") == F.col("of")).drop("of").coalesce(tasks)
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -113,31 +120,32 @@ def components(links: DataFrame, name: str) -> DataFrame:
     node that has a link, root being the smallest node of its group.
 
     Alternates the two star steps: larger neighbours move to the smallest neighbour,
-    then smaller ones do. Each round is written to the shared folder; rounds grow
-    with the logarithm of a group's diameter. Nothing is collected but a checksum.
+    then smaller ones do, until every group is one star. Each round is written to the
+    shared folder; rounds grow with the logarithm of a group's diameter, and links that
+    are stars already need none. Nothing is collected but whether a round is the last.
     """
-    stars = stored(
-        links.where("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v").distinct(), name
-    )
-    before = None
-    while True:
+    tasks = few_tasks(links.sparkSession, links.count())
+    ends = links.where("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v")
+    stars = stored(ends.distinct().coalesce(tasks), name)
+    while not _are_stars(stars, tasks):
         both = stars.union(stars.selectExpr("v AS u", "u AS v"))
-        large = with_least(both).where("v > u").selectExpr("v AS u", "least(u, least) AS v").distinct()
-        near = with_least(large)
-        small = near.where("v <> least").selectExpr("v AS u", "least AS v").union(
+        large = with_least(both, tasks).where("v > u").selectExpr("v AS u", "least(u, least) AS v").distinct().coalesce(tasks)
+        near = with_least(large, tasks)
+        small_ = near.where("v <> least").selectExpr("v AS u", "least AS v").union(
             near.selectExpr("u", "least AS v")
         ).distinct()
-        stars = stored(small, name)
-        now = stars.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if now == before:
-            break
-        before = now
+        stars = stored(small_.coalesce(tasks), name)
     roots = stars.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return stars.selectExpr("u AS node", "v AS root").union(roots)
 
 
+def _are_stars(links: DataFrame, tasks: int) -> bool:
+    """Whether no node has two smaller neighbours, or both a smaller and a larger one."""
+    ends = links.selectExpr("u AS node", "1 AS up", "0 AS down").union(links.selectExpr("v", "0", "1"))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).coalesce(tasks)
+    return nodes.where("up + down > 1").isEmpty()
+
+
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
     """The stored table, marked for broadcast if its rows fit into ``BROADCAST`` bytes; else
     Spark joins it by a shuffle, which it may split."""
@@ -177,6 +185,7 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
         f"{name}-shared",
     )
     link = linker(shared.select("node").distinct())
+    nodes = shared.agg(F.approx_count_distinct("node")).first()[0]
     links = tested = None
     for turn in range(MOST_HUBS):
         if turn < 2:
@@ -190,7 +199,7 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
         ).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"{name}-pairs")
+        pairs = stored(pairs.coalesce(few_tasks(pairs.sparkSession, nodes)), f"{name}-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = link(pairs)
         links = stored(found if links is None else links.unionByName(found), f"{name}-links")
@@ -211,10 +220,10 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
 
 def _divided(shared: DataFrame, groups: DataFrame, name: str) -> DataFrame:
     """The rows of buckets that hold nodes of more than one group, with ``grp``."""
-    plain = shared.drop("grp")
+    plain, tasks = shared.drop("grp"), few_tasks(shared.sparkSession, shared.count())
     both = plain.withColumn("root", F.lit(None).cast("long")).unionByName(groups, allowMissingColumns=True)
     root = F.max("root").over(Window.partitionBy("node"))
-    known = both.withColumn("grp", F.coalesce(root, "node")).where("low IS NOT NULL").select(*plain.columns, "grp")
+    known = both.withColumn("grp", F.coalesce(root, "node")).where("low IS NOT NULL").select(*plain.columns, "grp").coalesce(tasks)
     whole = Window.partitionBy("bucket")
     ends = known.select("*", F.min("grp").over(whole).alias("g0"), F.max("grp").over(whole).alias("g1"))
-    return stored(ends.where("g0 <> g1").drop("g0", "g1"), f"{name}-open")
+    return stored(ends.where("g0 <> g1").drop("g0", "g1").coalesce(tasks), f"{name}-open")
