@@ -19,6 +19,7 @@ query are one search. Vectors of different lengths are compared with their own k
 only; all but the commonest lengths are compared without lists, which is exact.
 """
 
+import math
 from heapq import heappop, heappush
 
 from pyspark.sql import DataFrame, Window
@@ -217,9 +218,12 @@ def _postings(vectors: DataFrame, shared, largest: float) -> DataFrame:
     return rows.mapInArrow(run, "length int, list int, key long, first_id long, vec array<double>")
 
 
-def _probes(points: DataFrame, shared, largest: float, ratio: float, units: list[tuple[int, int]]) -> DataFrame:
-    """One row per query and unit: ``length, unit, key, vec, lists``; ``units`` are the first unit and
-    their number for each list."""
+def _probes(points: DataFrame, shared, largest: float, ratio: float, k: int, units: list[tuple[int, int, int]]) -> DataFrame:
+    """One row per query and unit: ``length, unit, key, vec, lists``; ``units`` are for each list its
+    first unit, their number, and its entries.
+
+    A query whose lists may hold less than k other vectors reads the next ones too.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -231,8 +235,16 @@ def _probes(points: DataFrame, shared, largest: float, ratio: float, units: list
             of, unit, reads = [], [], []
             for q, point in enumerate(_extended(_matrix(batch.column(2)), largest, True)):
                 asked: dict[int, list[int]] = {}
-                for _, c in lists.search(point, ratio):
-                    first, n = units[c]
+                near, held, enough = lists.search(point, ratio), 0, COPIES * (k + 1)
+                if sum(units[c][2] for _, c in near) < enough:
+                    wanted, near = near, lists.search(point, math.inf)
+                    upto = 0
+                    while upto < len(near) and (upto < len(wanted) or held < enough):
+                        held += units[near[upto][1]][2]
+                        upto += 1
+                    near = near[:upto]
+                for _, c in near:
+                    first, n, _ = units[c]
                     for u in range(first, first + n):
                         asked.setdefault(u, []).append(c)
                 of += [q] * len(asked)
@@ -291,7 +303,8 @@ def _scored(entries: DataFrame, asked: DataFrame, k: int) -> DataFrame:
             for c, own in readers.items():
                 if c in spans:
                     near[own, spans[c]] = part[own] @ matrix[spans[c]].T
-            most = min(k + 1, len(matrix))
+            # A vector may be there once for each of its lists.
+            most = min(COPIES * (k + 1), len(matrix))
             least = np.partition(near, len(matrix) - most, axis=1)[:, len(matrix) - most]
             for q in range(len(part)):
                 margin = 1e-12 * widest * np.sqrt((part[q] ** 2).sum())
@@ -353,15 +366,15 @@ def _listed_units(
         if held and held + size > most:
             unit, held = unit + 1, 0
         pieces = -(-size // most) or 1
-        units.append((unit, pieces))
+        units.append((unit, pieces, size))
         held += size
         if pieces > 1:
             unit, held = unit + pieces, 0
-    places = spark.createDataFrame([(c, u, m) for c, (u, m) in enumerate(units)], "of_list int, first_unit int, pieces int")
+    places = spark.createDataFrame([(c, u, m) for c, (u, m, _) in enumerate(units)], "of_list int, first_unit int, pieces int")
     entries = postings.join(F.broadcast(places), F.col("list") == F.col("of_list")).selectExpr(
         "length", "list", "key", "first_id", "vec", "cast(first_unit + pmod(xxhash64(key), pieces) AS int) AS unit"
     )
-    return entries, stored(_probes(spread_rows(points), shared, largest, ratio, units), "ann-probes")
+    return entries, stored(_probes(spread_rows(points), shared, largest, ratio, k, units), "ann-probes")
 
 
 def nearest(
