@@ -331,6 +331,30 @@ def test_bloom_lm(spark, docs, texts, empty):
     assert bloom_lm.lm_scores(empty).count() == 0
 
 
+def test_bloom_scores(spark, docs, texts):
+    """Scores from exact counts: the filter rarely errs, and never by much."""
+    words = {i: [*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\n"] for i, t in enumerate(texts)}
+    ones, pairs = Counter(), Counter()
+    for i, own in words.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            ones.update(own)
+            pairs.update(zip(["\n", *own], own))
+    smooth = ones.total() + len(ones) + 1
+
+    def middle(c):
+        return (3 * 2 ** (c.bit_length() - 1) - 1) / 2 if c else 0.0
+
+    got, gaps = by_id(bloom_lm.lm_scores(docs)), []
+    for i, own in words.items():
+        want = 0.0
+        for first, second in zip(["\n", *own], own):
+            context = max(middle(ones[first]), middle(pairs[first, second]))
+            share = bloom_lm.PAIR_SHARE if context else 0.0
+            want += np.log10(share * middle(pairs[first, second]) / max(context, 1) + (1 - share) * (middle(ones[second]) + 1) / smooth)
+        gaps.append(abs(got[i].score / want - 1))
+    assert np.mean(gaps) < 0.03 and max(gaps) < 0.3
+
+
 def test_counts_are_read_back():
     rng = np.random.default_rng(0)
     h = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64))
@@ -601,6 +625,38 @@ def test_clashing_columns_stay(spark):
     assert simhash.drop_near_copies(frame.where("false")).count() == 0
 
 
+def test_unigram_pieces(spark, tmp_path):
+    """A unigram model, with extra white space removed, against the library's shortest paths."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(queries.PIECES, "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = 1
+    model.normalizer_spec.remove_extra_whitespaces = True
+    path = f"{tmp_path}/unigram.model"
+    with open(path, "wb") as f:
+        f.write(model.SerializeToString())
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["hello  world ", " two   words, and more", "a", "", "   ", "été 日本 done"]
+    docs = documents(spark, texts).withColumn("piece_ids", docs_column())
+    from skylag.llm import pieces as p
+
+    fst = p.Transducer(path)
+    for text in texts:
+        own, other = fst.encode(text), library.encode(text)
+        weigh = lambda ids: sum(model.pieces[k].score for k in ids)
+        assert own == other or abs(weigh(own) - weigh(other)) < 1e-3 * abs(weigh(other))
+    encoded = by_id(p.encode(docs, path))
+    assert {i: list(r.piece_ids) for i, r in encoded.items()} == {i: fst.encode(t) for i, t in enumerate(texts)}
+
+
+def docs_column():
+    from pyspark.sql import functions as F
+
+    return F.lit("clash")
+
+
 def test_noisy_or_is_the_sum_of_sentences(spark):
     """The score, recomputed from the model: one minus the product of the sentences' complements,
     each sentence counted beyond a plain one."""
@@ -666,6 +722,26 @@ def test_query_matches_sql(spark, name):
     assert Counter(map(tuple, result.select(*sorted(result.columns)).collect())) == Counter(want)
 
 
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    """Nulls, empty texts, repeated rows, clashing names and empty tables pass every stage."""
+    import corpus_pipeline
+
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node string, row string, label int, h long"
+    rows = [(1, None), (2, ""), (None, "some words stand here"), (None, None), (3, "other words in a line\nand another line"),
+            (3, "other words in a line\nand another line"), (4, "x " * 30_000)]
+    frame = spark.createDataFrame([(i, t, None, "s", None, "n", "r", 7, 8) for i, t in rows], schema)
+    want = {"toxicity": 7, "line dedup": 7, "simhash near-dedup": 4, "decontamination": 4}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, frame, str(tmp_path))
+        assert left.columns == frame.columns and stage(spark, frame.where("false"), str(tmp_path)).count() == 0
+        frame = spark.createDataFrame(left.collect(), schema)
+        assert frame.count() == want[name]
+    ids = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path))
+    assert ids.count() == 4 and corpus_pipeline.STAGES[-1][1](spark, frame.where("false"), str(tmp_path)).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
