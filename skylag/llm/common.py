@@ -166,8 +166,8 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
     that still hold two groups, with a largest one. While the pairs left are very many
     (``MANY_PAIRS, CROWDED``), further hubs follow, picked by a hash, so that each large group of a
     bucket gets one soon; then come the pairs not compared yet that share a bucket and
-    are still in different groups. A bucket of near copies is one group after the first
-    steps, and has no pairs left.
+    are still in different groups, in one bucket for each set of nodes. A bucket of near copies is
+    one group after the first steps, and has no pairs left.
 
     The rows of a bucket pass through one task in order, without being held in memory.
     Rows get their node's group by a window over the node, which has few rows.
@@ -210,14 +210,30 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
             ).first()
             if (sizes.pairs or 0) <= max(MANY_PAIRS, CROWDED * (sizes.rows or 0)):
                 break
+    # Buckets of a node before each of its buckets: a pair counts in the first that both share.
+    before = Window.partitionBy("node").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shared = stored(_one_of_each(shared).withColumn("earlier", F.collect_list("bucket").over(before)), f"{name}-rest")
     left, right = shared.alias("l"), shared.alias("r")
     rest = left.join(right, F.expr(
-        f"l.bucket = r.bucket AND l.grp < r.grp AND NOT {apart('l.mark', 'r.mark')}"
+        f"l.bucket = r.bucket AND l.grp < r.grp AND NOT {apart('l.mark', 'r.mark')} AND NOT arrays_overlap(l.earlier, r.earlier)"
     )).selectExpr("least(l.node, r.node) AS a", "greatest(l.node, r.node) AS b").distinct()
     links = stored(links.unionByName(link(rest.join(tested, ["a", "b"], "left_anti"))), f"{name}-links")
     return components(links, f"{name}-stars")
 
 
+def _one_of_each(shared: DataFrame) -> DataFrame:
+    """The rows of one bucket for each set of nodes: links are far in no bucket, so one of equal buckets will do.
+
+    Sets are told apart by their size, ends and two hashes of 64 bits.
+    """
+    sets = shared.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("z"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+    )
+    kept = sets.groupBy("n", "a", "z", "x", "y").agg(F.min("bucket").alias("kept")).select("kept")
+    return shared.join(kept, F.col("bucket") == F.col("kept"), "left_semi")
+
+
 def _divided(shared: DataFrame, groups: DataFrame, name: str) -> DataFrame:
     """The rows of buckets that hold nodes of more than one group, with ``grp``."""
     plain, tasks = shared.drop("grp"), few_tasks(shared.sparkSession, shared.count())

@@ -232,7 +232,7 @@ def _linker(documents: DataFrame, distinct: DataFrame, words_each: int, percent:
         def link(pairs: DataFrame) -> DataFrame:
             left = both(pairs, own.drop("text_hash")).where(f"{100 + percent} * {_most_common()} >= {percent} * (a_n + b_n)")
             left = stored(left.select("a", "b"), "ngrams-left")
-            ends = left.selectExpr("inline(array(struct(a AS end), struct(b AS end)))").distinct()
+            ends = left.selectExpr("a AS end").union(left.selectExpr("b")).distinct()
             needed_ = own.join(ends, F.col("node") == F.col("end"), "left_semi")
             sets_ = stored(_whole_sets(documents, needed_, words_each), "ngrams-sets")
             common = "size(array_intersect(a_shingles, b_shingles))"
