@@ -15,8 +15,8 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 TASK_ROWS = 100_000
 # Largest table that is broadcast.
 BROADCAST = 64 << 20
-# Comparisons with hubs go on, at most so often, while more pairs are left than these in all and for a row.
-MANY_PAIRS, CROWDED, MOST_HUBS = 1e9, 1000, 12
+# Comparisons with hubs go on, at most so often, while more pairs are left.
+MANY_PAIRS, MOST_HUBS = 1e9, 5
 
 
 # Folder of a local session without a shared one, and all that was made, oldest first.
@@ -152,7 +152,7 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST else df
 
 
-def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFrame:
+def near_components(buckets: DataFrame, linker, far: str, name: str, many_pairs: float = MANY_PAIRS) -> DataFrame:
     """Connected groups of nodes that share a bucket and are linked: ``node, root`` for
     nodes with a link.
 
@@ -164,7 +164,7 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
     Exact, without all pairs of a bucket: first each node is compared with one hub, the
     smallest near node of its buckets' smallest, and groups are joined; then, in buckets
     that still hold two groups, with a largest one. While the pairs left are very many
-    (``MANY_PAIRS, CROWDED``), further hubs follow, picked by a hash, so that each large group of a
+    (``many_pairs``), further hubs follow, picked by a hash, so that each large group of a
     bucket gets one soon; then come the pairs not compared yet that share a bucket and
     are still in different groups, in one bucket for each set of nodes. A bucket of near copies is
     one group after the first steps, and has no pairs left.
@@ -208,7 +208,7 @@ def near_components(buckets: DataFrame, linker, far: str, name: str) -> DataFram
             sizes = shared.groupBy("bucket").count().agg(
                 F.sum("count").alias("rows"), F.sum(F.expr("double(count) * (count - 1) / 2")).alias("pairs")
             ).first()
-            if (sizes.pairs or 0) <= max(MANY_PAIRS, CROWDED * (sizes.rows or 0)):
+            if (sizes.pairs or 0) <= many_pairs:
                 break
     # Buckets of a node before each of its buckets: a pair counts in the first that both share.
     before = Window.partitionBy("node").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

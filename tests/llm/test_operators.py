@@ -176,7 +176,7 @@ def line_link(x, y):
     turned = line_sim(x) ^ line_sim(y)
     ends = line_ends(x), line_ends(y)
     meet = turned.bit_count() <= 8 and sum(not turned >> at & (1 << width) - 1 for at, width in blocks) >= 2
-    meet = meet or turned.bit_count() <= 14 and None not in ends and (ends[0][0] == ends[1][0] or ends[0][1] == ends[1][1])
+    meet = meet or turned.bit_count() <= 18 and None not in ends and (ends[0][0] == ends[1][0] or ends[0][1] == ends[1][1])
     most = min(max(len(x), len(y)) // 5, 1024)
     return meet and abs(len(x) - len(y)) <= most and distance(x, y) <= most
 
