@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 # Rows that a task of a step over few rows takes.
 TASK_ROWS = 100_000
+# Rows that a pair to compare counts as.
+PAIR_ROWS = 50
 # Largest table that is broadcast.
 BROADCAST = 64 << 20
 # Comparisons with hubs go on, at most so often, while more pairs are left.
@@ -199,7 +201,8 @@ def near_components(buckets: DataFrame, linker, far: str, name: str, many_pairs:
         ).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs.coalesce(few_tasks(pairs.sparkSession, nodes)), f"{name}-pairs")
+        # Comparing a pair may be much work.
+        pairs = stored(pairs.coalesce(few_tasks(pairs.sparkSession, PAIR_ROWS * nodes)), f"{name}-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = link(pairs)
         links = stored(found if links is None else links.unionByName(found), f"{name}-links")
