@@ -37,6 +37,8 @@ PERCENT = 90
 CELL_BITS, SLICES = 20, 64
 # The suffix filter has a power of two of parts, with at most so many shingles each on average.
 PART_SHINGLES = 8
+# Pairs that may be left before the last step.
+MANY_PAIRS = 300_000
 # Hashes that are counted at a time.
 COUNTED = 1 << 20
 # Odd factors of the words of a shingle, and of a shorter text.
@@ -273,7 +275,7 @@ def ngram_groups(documents: DataFrame, words_each: int = SHINGLE_WORDS, percent:
     buckets = distinct.select("node", "n", F.posexplode("prefix").alias("place", "bucket")).selectExpr(
         "bucket", "node", "shiftleft(n, 32) | place AS mark"
     )
-    groups = near_components(buckets, _linker(documents, distinct, words_each, percent), _far(percent), "ngrams")
+    groups = near_components(buckets, _linker(documents, distinct, words_each, percent), _far(percent), "ngrams", MANY_PAIRS)
     member = distinct.select("node", "first_id").join(
         groups.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left"
     ).select("node", "first_id", F.coalesce("root", "node").alias("root"))
