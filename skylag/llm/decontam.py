@@ -67,7 +67,8 @@ def suffix_array(ids, starts, depth: int):
 
     n = len(ids)
     rank, step = ids.astype(np.int64), 1
-    while step < depth:
+    # A text shorter than the depth is ranked by all its numbers when the step reaches its length.
+    while step < min(depth, n):
         ahead = np.zeros(n, dtype=np.int64)
         ahead[:n - step] = rank[step:]
         key = rank * (int(rank.max()) + 1) + ahead
