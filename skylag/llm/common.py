@@ -159,7 +159,9 @@ def near_components(buckets: DataFrame, linker, far: str, name: str, many_pairs:
     nodes with a link.
 
     ``buckets`` has ``bucket, node, mark``, a mark being a value of the node. ``far`` is
-    SQL on two marks ``x`` and ``y`` that is true of pairs which are surely no link.
+    SQL on two marks ``x`` and ``y`` that is true of pairs which are surely no link. It may
+    allow more in some buckets than in others if those have the smaller numbers: a pair
+    that is far in a bucket is far in all later ones.
     ``linker`` gets the nodes that share a bucket and gives a function that keeps the
     links of a frame of pairs ``a, b``.
 
@@ -225,7 +227,8 @@ def near_components(buckets: DataFrame, linker, far: str, name: str, many_pairs:
 
 
 def _one_of_each(shared: DataFrame) -> DataFrame:
-    """The rows of one bucket for each set of nodes: links are far in no bucket, so one of equal buckets will do.
+    """The rows of one bucket for each set of nodes: no pair is far in the first of its buckets and near in
+    a later one, so the first of equal buckets will do.
 
     Sets are told apart by their size, ends and two hashes of 64 bits.
     """

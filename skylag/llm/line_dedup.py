@@ -25,7 +25,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import near_components, small, stored
+from skylag.llm.common import near_components, small, spread, stored
 
 BITS = 63
 # Bits in which the SimHashes of lines may differ that meet by blocks, and by first or last words.
@@ -36,10 +36,10 @@ BLOCKS = [(0, 16), (16, 16), (32, 16), (48, 15)]
 ROW_BYTES = 256
 # Pairs that may be left before the last step.
 MANY_PAIRS = 300_000
-# Lines are near copies if at most one character of five is edited, and at most so many in
-# all, which keeps the comparison of very long lines linear. Most differ in far less, which
-# is cheaper to see: this number of edits above the difference in length is tried first.
-EDITED, MOST_EDITS, FEW_EDITS = 5, 1024, 24
+# Lines are near copies if at most one character of five is edited. Most differ in far less, which
+# is cheaper to see: this number of edits above the difference in length is tried first. Pairs of
+# long lines that may differ in more than ``SPARK_EDITS`` are left to ``edits_within``.
+EDITED, FEW_EDITS, SPARK_EDITS = 5, 24, 1024
 # Words of up to three characters have weight 1, others a third of their characters and five; in lines
 # with more weight than a lane counts at most 8.
 SHORT_WORD, WEIGHT_PLUS, WEIGHT_CHARS, MOST_WEIGHT = 3, 5, 3, 8
@@ -127,13 +127,17 @@ def _occurrences(documents: DataFrame) -> DataFrame:
 
 def _buckets(kinds: DataFrame) -> DataFrame:
     """``bucket, node, mark`` for every two blocks of a kind's SimHash, and for its head and
-    tail. A mark is the SimHash, with the sign bit set in the buckets of heads and tails, and the length."""
+    tail. A mark is the SimHash, with the sign bit set in the buckets of heads and tails, and the length.
+
+    Buckets of heads and tails are the negative ones, so that they come before those of
+    blocks, in which fewer bits may differ."""
     part = [f"(shiftrightunsigned(sim, {at}) & {(1 << width) - 1}L)" for at, width in BLOCKS]
     keys = [
         f"({t}L * 65536 + {part[a]}) * 65536 + {part[b]}" for t, (a, b) in enumerate(combinations(range(len(BLOCKS)), 2))
     ]
     own = f"struct(if(place < {len(keys)}, sim, sim | shiftleft(1L, 63)) AS sim, cast(chars AS int) AS chars) AS mark"
-    rows = kinds.selectExpr("id AS node", "sim", "chars", f"posexplode(array({', '.join([*keys, 'head', 'tail'])})) AS (place, bucket)")
+    ends = [f"{end} | shiftleft(1L, 63)" for end in ("head", "tail")]
+    rows = kinds.selectExpr("id AS node", "sim", "chars", f"posexplode(array({', '.join([*keys, *ends])})) AS (place, bucket)")
     return rows.where("bucket IS NOT NULL").selectExpr("bucket", "node", own)
 
 
@@ -174,25 +178,77 @@ def _common(agree: str) -> str:
     return f"aggregate(array({steps}), 0, (p, k) -> if(p + k <= least(la, lb) AND {agree}, p + k, p))"
 
 
+def edits_within(one: str, two: str, most: int) -> bool:
+    """Whether at most so many characters are edited, by Myers' bit vectors: one number holds a
+    whole column of the comparison, so a step over a character of ``two`` covers all of ``one``."""
+    import numpy as np
+
+    if not one or not two:
+        return max(len(one), len(two)) <= most
+    codes = np.frombuffer(one.encode("utf-32-le"), dtype="<u4")
+    places = {
+        chr(c): int.from_bytes(np.packbits(codes == c, bitorder="little").tobytes(), "little") for c in np.unique(codes).tolist()
+    }
+    n, edits, left = len(one), len(one), len(two)
+    full = (1 << n) - 1
+    up, down = full, 0
+    for c in two:
+        equal = places.get(c, 0)
+        zero = (((equal & up) + up) ^ up) | equal | down
+        more = (down | (full ^ ((zero | up) & full))) & full
+        less = up & zero
+        edits += (more >> (n - 1)) - (less >> (n - 1))
+        left -= 1
+        # Every character that is left takes off one edit at most.
+        if edits - left > most:
+            return False
+        more = (more << 1) | 1
+        up = (((less << 1) | (full ^ ((zero | more) & full)))) & full
+        down = more & zero & full
+    return edits <= most
+
+
+def _long_links(pairs: DataFrame) -> DataFrame:
+    """``a, b`` of those pairs of long texts ``a, b, ta, tb, most`` that are near copies."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            one, two, most = (batch.column(k) for k in (2, 3, 4))
+            near = pa.array([edits_within(one[k].as_py(), two[k].as_py(), most[k].as_py()) for k in range(batch.num_rows)], pa.bool_())
+            yield batch.select([0, 1]).filter(near)
+
+    return spread(pairs).mapInArrow(run, "a long, b long")
+
+
 def _linker(documents: DataFrame, kinds: DataFrame):
     def linker(nodes: DataFrame):
         texts = stored(_line_texts(documents, kinds, nodes), "lines-texts")
         one = texts.withColumnsRenamed({"node": "na", "normal": "ta"})
         two = texts.withColumnsRenamed({"node": "nb", "normal": "tb"})
+        any_long = (texts.agg(F.max(F.length("normal"))).first()[0] or 0) // EDITED > SPARK_EDITS
 
         def link(pairs: DataFrame) -> DataFrame:
             both = pairs.join(one, F.col("a") == F.col("na")).join(two, F.col("b") == F.col("nb"))
             both = both.selectExpr("a", "b", "ta", "tb", _once("length(ta) AS la", "length(tb) AS lb"))
-            both = both.selectExpr("*", f"least(greatest(la, lb) div {EDITED}, {MOST_EDITS}) AS most").where("abs(la - lb) <= most")
+            both = both.selectExpr("*", f"greatest(la, lb) div {EDITED} AS most").where("abs(la - lb) <= most")
             # What both begin and end with is no edit, and is the most of near copies.
             both = both.selectExpr("*", _once(f"{_common(_BEGIN)} AS p"))
             both = both.selectExpr("a", "b", "most", _once(
                 "substring(ta, p + 1) AS ta", "substring(tb, p + 1) AS tb", "la - p AS la", "lb - p AS lb"))
             both = both.selectExpr("*", _once(f"{_common(_END)} AS p"))
             both = both.selectExpr("a", "b", "most", _once("substring(ta, 1, la - p) AS ta", "substring(tb, 1, lb - p) AS tb"))
-            few = f"least(most, abs(length(ta) - length(tb)) + {FEW_EDITS})"
-            tests = [f"levenshtein(ta, tb, cast({bound} AS int)) >= 0" for bound in (few, "most")]
-            return both.where(" OR ".join(tests)).select("a", "b")
+            few = f"abs(length(ta) - length(tb)) + {FEW_EDITS}"
+            spark_most = f"least(most, {SPARK_EDITS})"
+            test = (f"levenshtein(ta, tb, cast(least({few}, {spark_most}) AS int)) >= 0"
+                    f" OR {few} < {spark_most} AND levenshtein(ta, tb, cast({spark_most} AS int)) >= 0")
+            if not any_long:
+                return both.where(test).select("a", "b")
+            judged = both.selectExpr("*", _once(f"{test} AS near")).where(f"near OR most > {SPARK_EDITS}")
+            judged = stored(judged.selectExpr("a", "b", "if(near, NULL, ta) AS ta", "if(near, NULL, tb) AS tb", "most", "near"), "lines-judged")
+            far = judged.where("NOT near").selectExpr("a", "b", "ta", "tb", "cast(most AS long) AS most")
+            return judged.where("near").select("a", "b").unionByName(_long_links(far))
 
         return link
 

@@ -19,6 +19,7 @@ import __spark_entry__ as entry
 from skylag.llm import (
     ann, bloom_lm, decontam, line_dedup, pieces, queries, simhash, suffix_dedup, token_files, toxicity, warc,
 )
+from skylag.llm.common import near_components
 from skylag.llm.oracle import oracle_sql
 
 WORDS = ["ab", "Cd", "éf", "gh,", "ij.", "KL", "mn", "op", "q", "rs", "tu", "vw"]
@@ -314,6 +315,44 @@ def test_very_long_lines(spark):
     assert [got[k].n_removed for k in range(3)] == [0, 1, 0]
 
 
+def test_long_lines_with_many_edits(spark):
+    """One character of five may be edited in lines of any length."""
+    rng = random.Random(15)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(2200)]
+    put_in = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300)]
+    other = [*words[:1500], *put_in, *words[1500:]]
+    frame = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(other))], "doc_id long, text string")
+    got = by_id(line_dedup.line_report(frame))
+    assert [got[k].n_removed for k in range(2)] == [0, 1]
+
+
+def test_edits_within():
+    """The comparison of long texts against the plain one, for every bound."""
+    rng = random.Random(1)
+    for _ in range(300):
+        one, two = ("".join(rng.choice("abé😀") for _ in range(rng.randint(0, 14))) for _ in range(2))
+        row = list(range(len(two) + 1))
+        for k, x in enumerate(one, 1):
+            new = [k]
+            for j, y in enumerate(two, 1):
+                new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+            row = new
+        assert [line_dedup.edits_within(one, two, most) for most in range(16)] == [row[-1] <= most for most in range(16)]
+
+
+def test_pairs_that_are_far_by_blocks_only(spark):
+    """Lines that share blocks and first words, with more bits apart than blocks allow, are still compared."""
+    other = sum(1 << b for b in range(32, 42))
+    kinds = [(1, 0), (10, 0), (11, other), (20, 0)]
+    frame = spark.createDataFrame(
+        [(node, sim, 100, 1 << 62, None) for node, sim in kinds], "id long, sim long, chars long, head long, tail long"
+    )
+    groups = near_components(
+        line_dedup._buckets(frame), lambda nodes: lambda pairs: pairs.where("a = 10 AND b = 11"), line_dedup._far(8, 18), "test"
+    )
+    assert sorted(tuple(r) for r in groups.collect()) == [(10, 10), (11, 10)]
+
+
 def test_bloom_lm(spark, docs, texts, empty):
     words = {i: [*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\n"] for i, t in enumerate(texts)}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}
