@@ -154,7 +154,10 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST else df
 
 
-def near_components(buckets: DataFrame, linker, far: str, name: str, many_pairs: float = MANY_PAIRS) -> DataFrame:
+def near_components(
+    buckets: DataFrame, linker, far: str, name: str, many_pairs: float = MANY_PAIRS, details: DataFrame | None = None,
+    no_link: str = "false",
+) -> DataFrame:
     """Connected groups of nodes that share a bucket and are linked: ``node, root`` for
     nodes with a link.
 
@@ -163,7 +166,9 @@ def near_components(buckets: DataFrame, linker, far: str, name: str, many_pairs:
     allow more in some buckets than in others if those have the smaller numbers: a pair
     that is far in a bucket is far in all later ones.
     ``linker`` gets the nodes that share a bucket and gives a function that keeps the
-    links of a frame of pairs ``a, b``.
+    links of a frame of pairs ``a, b``. ``details`` has ``node, detail`` of every node, and ``no_link``
+    is SQL on two details ``x`` and ``y`` that is true only of pairs which are no link: a test too wide for
+    marks, made where the pairs left meet, so that those which fail are never rows.
 
     Exact, without all pairs of a bucket: first each node is compared with one hub, the
     smallest near node of its buckets' smallest, and groups are joined; then, in buckets
@@ -176,8 +181,8 @@ def near_components(buckets: DataFrame, linker, far: str, name: str, many_pairs:
     The rows of a bucket pass through one task in order, without being held in memory.
     Rows get their node's group by a window over the node, which has few rows.
     """
-    def apart(x: str, y: str) -> str:
-        return re.sub(r"\b[xy]\b", lambda m: x if m[0] == "x" else y, far)
+    def apart(x: str, y: str, test: str = far) -> str:
+        return re.sub(r"\b[xy]\b", lambda m: x if m[0] == "x" else y, test)
 
     whole = Window.partitionBy("bucket")
     own = F.struct("node", "mark")
@@ -218,10 +223,13 @@ def near_components(buckets: DataFrame, linker, far: str, name: str, many_pairs:
     # Buckets of a node before each of its buckets: a pair counts in the first that both share.
     before = Window.partitionBy("node").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     shared = stored(_one_of_each(shared).withColumn("earlier", F.collect_list("bucket").over(before)), f"{name}-rest")
+    if details is not None:
+        shared = shared.join(details.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).drop("of")
     left, right = shared.alias("l"), shared.alias("r")
-    rest = left.join(right, F.expr(
-        f"l.bucket = r.bucket AND l.grp < r.grp AND NOT {apart('l.mark', 'r.mark')} AND NOT arrays_overlap(l.earlier, r.earlier)"
-    )).selectExpr("least(l.node, r.node) AS a", "greatest(l.node, r.node) AS b").distinct()
+    meet = f"l.bucket = r.bucket AND l.grp < r.grp AND NOT {apart('l.mark', 'r.mark')} AND NOT arrays_overlap(l.earlier, r.earlier)"
+    if details is not None:
+        meet += f" AND NOT {apart('l.detail', 'r.detail', no_link)}"
+    rest = left.join(right, F.expr(meet)).selectExpr("least(l.node, r.node) AS a", "greatest(l.node, r.node) AS b").distinct()
     links = stored(links.unionByName(link(rest.join(tested, ["a", "b"], "left_anti"))), f"{name}-links")
     return components(links, f"{name}-stars")
 

@@ -23,6 +23,7 @@ Sets are made again from the texts of those nodes that meet another one, instead
 being stored for all.
 """
 
+import re
 import zlib
 
 from pyspark.sql import DataFrame
@@ -137,14 +138,16 @@ def part_counts(own):
     return np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
 
 
-def _most_common() -> str:
-    """SQL for the sum of the smaller counts of ``a_parts`` and ``b_parts``, at the coarser of their cuts."""
-    def folded(x: str, other: str) -> str:
-        per = f"size({x}_parts) div size({other}_parts)"
-        sums = f"transform(sequence(0, size({other}_parts) - 1), i -> aggregate(slice({x}_parts, i * ({per}) + 1, {per}), 0, (s, v) -> s + v))"
-        return f"if(size({x}_parts) > size({other}_parts), {sums}, {x}_parts)"
+def _unlike(percent: int) -> str:
+    """SQL on two details ``n, parts``: the sum of the smaller counts of the parts, at the coarser of their cuts, is
+    too small for a link."""
+    def folded(own: str, other: str) -> str:
+        per = f"size({own}.parts) div size({other}.parts)"
+        sums = f"transform(sequence(0, size({other}.parts) - 1), i -> aggregate(slice({own}.parts, i * ({per}) + 1, {per}), 0, (s, v) -> s + v))"
+        return f"if(size({own}.parts) > size({other}.parts), {sums}, {own}.parts)"
 
-    return f"aggregate(zip_with({folded('a', 'b')}, {folded('b', 'a')}, (x, y) -> least(x, y)), 0L, (s, v) -> s + v)"
+    common = f"aggregate(zip_with({folded('x', 'y')}, {folded('y', 'x')}, (u, v) -> least(u, v)), 0L, (s, v) -> s + v)"
+    return f"({100 + percent} * {common} < {percent} * (x.n + y.n))"
 
 
 def sets(documents: DataFrame, counts, words_each: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -230,7 +233,8 @@ def _linker(documents: DataFrame, distinct: DataFrame, words_each: int, percent:
             return pairs
 
         def link(pairs: DataFrame) -> DataFrame:
-            left = both(pairs, own.drop("text_hash")).where(f"{100 + percent} * {_most_common()} >= {percent} * (a_n + b_n)")
+            unlike = re.sub(r"\b[xy]\.", lambda m: {"x.": "a_", "y.": "b_"}[m[0]], _unlike(percent))
+            left = both(pairs, own.drop("text_hash")).where(f"NOT {unlike}")
             left = stored(left.select("a", "b"), "ngrams-left")
             ends = left.selectExpr("a AS end").union(left.selectExpr("b")).distinct()
             needed_ = own.join(ends, F.col("node") == F.col("end"), "left_semi")
@@ -273,7 +277,10 @@ def ngram_groups(documents: DataFrame, words_each: int = SHINGLE_WORDS, percent:
     buckets = distinct.select("node", "n", F.posexplode("prefix").alias("place", "bucket")).selectExpr(
         "bucket", "node", "shiftleft(n, 32) | place AS mark"
     )
-    groups = near_components(buckets, _linker(documents, distinct, words_each, percent), _far(percent), "ngrams")
+    groups = near_components(
+        buckets, _linker(documents, distinct, words_each, percent), _far(percent), "ngrams",
+        details=distinct.selectExpr("node", "struct(n, parts) AS detail"), no_link=_unlike(percent),
+    )
     member = distinct.select("node", "first_id").join(
         groups.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left"
     ).select("node", "first_id", F.coalesce("root", "node").alias("root"))

@@ -3,7 +3,9 @@
 import random
 import re
 
+import numpy as np
 import pytest
+import xxhash
 
 from skylag.llm import ngram_join
 
@@ -106,3 +108,34 @@ def test_order_is_rare_first(spark):
         own = ngram_join.shingles(rows[r.doc_id][1]).view("int64").tolist()
         common = set(ngram_join.shingles("a b c d e f g h i j").view("int64").tolist())
         assert r.n == 11 and len(r.prefix) == 2 and not common & set(r.prefix) and set(r.prefix) < set(own)
+
+
+def test_pairs_left_pass_the_suffix_filter(spark, monkeypatch):
+    """Variants of one text that share their rarest common shingle and are no links do not become rows."""
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for k in range(40):
+        text = list(base)
+        for at in (1, rng.randrange(30, 58)):
+            text[at] = f"v{k}at{at}"
+        texts += [" ".join(text), " ".join([*text, f"x{k}"])]
+    rows, seen, plain = list(enumerate(texts)), [], ngram_join._linker
+
+    def recorded(*args):
+        def linker(nodes):
+            link = plain(*args)(nodes)
+            return lambda pairs: (seen.append(pairs.collect()), link(pairs))[1]
+
+        return linker
+
+    monkeypatch.setattr(ngram_join, "_linker", recorded)
+    got = sorted((tuple(r) for r in ngram_join.ngram_groups(frame(spark, rows)).collect()), key=str)
+    assert got == brute(rows)
+    sets = {}
+    for text in texts:
+        own = ngram_join.shingles(text)
+        sets[xxhash.xxh64_intdigest(own.tobytes())] = len(own), ngram_join.part_counts(own)
+    for r in seen[-1]:
+        (n, one), (m, two) = (sets[x & (2 ** 64 - 1)] for x in r)
+        assert len(one) == len(two) and 190 * int(np.minimum(one, two).sum()) >= 90 * (n + m)
