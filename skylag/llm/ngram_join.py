@@ -138,16 +138,19 @@ def part_counts(own):
     return np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
 
 
-def _unlike(percent: int) -> str:
-    """SQL on two details ``n, parts``: the sum of the smaller counts of the parts, at the coarser of their cuts, is
-    too small for a link."""
+def _most_common() -> str:
+    """SQL for the sum of the smaller counts of ``a_parts`` and ``b_parts``, at the coarser of their cuts."""
     def folded(own: str, other: str) -> str:
-        per = f"size({own}.parts) div size({other}.parts)"
-        sums = f"transform(sequence(0, size({other}.parts) - 1), i -> aggregate(slice({own}.parts, i * ({per}) + 1, {per}), 0, (s, v) -> s + v))"
-        return f"if(size({own}.parts) > size({other}.parts), {sums}, {own}.parts)"
+        per = f"size({own}_parts) div size({other}_parts)"
+        sums = f"transform(sequence(0, size({other}_parts) - 1), i -> aggregate(slice({own}_parts, i * ({per}) + 1, {per}), 0, (s, v) -> s + v))"
+        return f"if(size({own}_parts) > size({other}_parts), {sums}, {own}_parts)"
+
+    return f"aggregate(zip_with({folded('a', 'b')}, {folded('b', 'a')}, (u, v) -> least(u, v)), 0L, (s, v) -> s + v)"
 
-    common = f"aggregate(zip_with({folded('x', 'y')}, {folded('y', 'x')}, (u, v) -> least(u, v)), 0L, (s, v) -> s + v)"
-    return f"({100 + percent} * {common} < {percent} * (x.n + y.n))"
+
+def _unlike(percent: int) -> str:
+    """SQL for pairs with too little in common, by ``a_n, a_parts, b_n, b_parts``."""
+    return f"({100 + percent} * {_most_common()} < {percent} * (a_n + b_n))"
 
 
 def sets(documents: DataFrame, counts, words_each: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -233,8 +236,7 @@ def _linker(documents: DataFrame, distinct: DataFrame, words_each: int, percent:
             return pairs
 
         def link(pairs: DataFrame) -> DataFrame:
-            unlike = re.sub(r"\b[xy]\.", lambda m: {"x.": "a_", "y.": "b_"}[m[0]], _unlike(percent))
-            left = both(pairs, own.drop("text_hash")).where(f"NOT {unlike}")
+            left = both(pairs, own.drop("text_hash")).where(f"NOT {_unlike(percent)}")
             left = stored(left.select("a", "b"), "ngrams-left")
             ends = left.selectExpr("a AS end").union(left.selectExpr("b")).distinct()
             needed_ = own.join(ends, F.col("node") == F.col("end"), "left_semi")
@@ -279,7 +281,7 @@ def ngram_groups(documents: DataFrame, words_each: int = SHINGLE_WORDS, percent:
     )
     groups = near_components(
         buckets, _linker(documents, distinct, words_each, percent), _far(percent), "ngrams",
-        details=distinct.selectExpr("node", "struct(n, parts) AS detail"), no_link=_unlike(percent),
+        details=distinct.selectExpr("node", "struct(n, parts) AS detail"), no_link=re.sub(r"\b([ab])_", lambda m: {"a": "x.", "b": "y."}[m[1]], _unlike(percent)),
     )
     member = distinct.select("node", "first_id").join(
         groups.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left"
