@@ -15,10 +15,11 @@ the encoding is the shortest path through the input composed with both.
 
 No piece has a space mark behind another character, so a path passes a state without
 memory before each word; words are composed one at a time, and a worker keeps those
-it has seen.
+it has seen lately.
 """
 
 import re
+import struct
 import zlib
 
 from pyspark.sql import DataFrame
@@ -32,8 +33,11 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-# Words whose ids a worker keeps.
-KEPT_WORDS = 700_000
+# Words of each of the two generations whose ids a worker keeps, and neighbours whose test it keeps.
+KEPT_WORDS, KEPT_PAIRS = 300_000, 1_000_000
+# Bits of a symbol's code, the code of what stands before a word, and bytes of an id of a kept word.
+CODE_BITS, ID_BYTES = 24, 4
+BEFORE = (1 << CODE_BITS) - 1
 
 
 class Transducer:
@@ -64,17 +68,21 @@ class Transducer:
                 self.text[k] = bytes([int(p.piece[3:-1], 16)])
             elif p.type in (CONTROL, UNKNOWN):
                 self.text[k] = b"" if p.type == CONTROL else " ⁇ ".encode()
-        # The length of the longest piece that begins with three characters.
-        self.reach: dict[str, int] = {}
+        # The lengths of the symbols that begin with three characters, the longest first.
+        lengths: dict[str, set[int]] = {}
         for p in self.ids:
             if len(p) > 2:
-                self.reach[p[:3]] = max(self.reach.get(p[:3], 0), len(p))
+                lengths.setdefault(p[:3], {1, 2} if p[:2] in self.ids else {1}).add(len(p))
+        self.sizes = {begin: tuple(sorted(own, reverse=True)) for begin, own in lengths.items()}
         self.lowest = min(self.scores.values(), default=0.0)
         by_word = all(MARK not in p.lstrip(MARK) for p in self.ids)
         self.word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if by_word else "(?s).+")
-        self.known: dict[str, tuple] = {}
-        self.near: dict[tuple[str, str], bool] = {}
-        self.stable: dict[str, bool] = {}
+        # A symbol's code is the id of its piece; characters without a piece get further ones.
+        self.codes, self.symbols = dict(self.ids), list(self.pieces)
+        # Words seen lately, and those before them that were not seen again.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.near: dict[int, bool] = {}
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -99,46 +107,53 @@ class Transducer:
 
     def _arcs(self, text: str, at: int):
         """The symbols that start at a place, the longest first."""
-        ids = self.ids
-        reach = self.reach.get(text[at:at + 3], 2)
-        for to in range(min(len(text), at + reach), at + 1, -1):
-            if text[at:to] in ids:
-                yield text[at:to]
+        for size in self.sizes.get(text[at:at + 3], (2, 1)):
+            if size > 1 and text[at:at + size] in self.ids:
+                yield text[at:at + size]
         yield text[at]  # a piece, or a character for byte fallback
 
+    def _fits(self, last: int, code: int) -> bool:
+        """Whether a symbol may follow another, or stand first. Two neighbours that encode to
+        themselves do so each alone."""
+        if len(self.near) >= KEPT_PAIRS:
+            self.near.clear()
+        parts = [self.symbols[code]] if last == BEFORE else [self.symbols[last], self.symbols[code]]
+        fits = self.near[last << CODE_BITS | code] = self._merged("".join(parts)) == parts
+        return fits
+
     def _shortest_bpe(self, text: str) -> list[str]:
         """The path of finite weight; all such weights are equal, so the agenda is a stack."""
-        near, stable = self.near, self.stable
-        path: list[str] = []
-        ends, choices = [0], [self._arcs(text, 0)]
-        dead: set[tuple[int, str]] = set()
-        while ends[-1] < len(text):
-            for symbol in choices[-1]:
-                if (ends[-1] + len(symbol), symbol) in dead:
+        near, codes, sizes, n = self.near, self.codes, self.sizes, len(text)
+        path: list[int] = []
+        starts: list[int] = []
+        dead: set[tuple[int, int]] = set()
+        # Where the path ends, its last symbol, and how far the next one may reach.
+        at, last, limit = 0, BEFORE, n
+        while at < n:
+            for size in sizes.get(text[at:at + 3], (2, 1)):
+                to = at + size
+                if to > limit:
+                    continue
+                code = codes.get(text[at:to])
+                if code is None:
+                    if size > 1:
+                        continue
+                    code = codes[text[at]] = len(self.symbols)
+                    self.symbols.append(text[at])
+                if dead and (to, code) in dead:
                     continue
-                if not path:
-                    fits = stable.get(symbol)
-                    if fits is None:
-                        fits = stable[symbol] = self._merged(symbol) == [symbol]
-                else:
-                    # Two neighbours that encode to themselves do so each alone.
-                    pair = (path[-1], symbol)
-                    fits = near.get(pair)
-                    if fits is None:
-                        if len(near) > 2_000_000:
-                            near.clear()
-                        fits = near[pair] = self._merged(pair[0] + pair[1]) == [*pair]
-                if fits:
-                    path.append(symbol)
-                    ends.append(ends[-1] + len(symbol))
-                    if ends[-1] < len(text):
-                        choices.append(self._arcs(text, ends[-1]))
+                fits = near.get(last << CODE_BITS | code)
+                if fits or fits is None and self._fits(last, code):
+                    path.append(code)
+                    starts.append(at)
+                    at, last, limit = to, code, n
                     break
             else:
                 # No arc leads on from this state, whatever came before it.
-                dead.add((ends.pop(), path.pop()))
-                choices.pop()
-        return path
+                dead.add((at, path.pop()))
+                limit, at = at - 1, starts.pop()
+                last = path[-1] if path else BEFORE
+        return [self.symbols[code] for code in path]
 
     def _shortest_unigram(self, text: str) -> list[str]:
         scores, n = self.scores, len(text)
@@ -154,19 +169,21 @@ class Transducer:
             n = back[n]
         return path[::-1]
 
-    def _closed(self, word: str) -> tuple | None:
+    def _closed(self, word: str) -> bytes | None:
         """Ids of a known word and a closing mark, if the two may be neighbours as they are."""
-        before = self.known.get(word[:-1])
+        before = self.known.get(word[:-1]) or self.older.get(word[:-1])
         mark = self.ids.get(word[-1])
         if not before or mark is None:
             return None
-        pair = (self.pieces[before[-1]], word[-1])
-        fits = self.near.get(pair)
+        last = int.from_bytes(before[-ID_BYTES:], "little")
+        if self.ids.get(self.pieces[last]) != last:
+            return None
+        fits = self.near.get(last << CODE_BITS | mark)
         if fits is None:
-            fits = self.near[pair] = pair[0] in self.ids and self._merged(pair[0] + pair[1]) == [*pair]
-        return (*before, mark) if fits else None
+            fits = self._fits(last, mark)
+        return before + mark.to_bytes(ID_BYTES, "little") if fits else None
 
-    def _word(self, word: str) -> tuple:
+    def _word(self, word: str) -> bytes:
         if self.bpe and word[-1] in ".,;:!?" and (closed := self._closed(word)):
             return closed
         out = []
@@ -175,22 +192,27 @@ class Transducer:
                 out.append(self.ids[symbol])
             else:
                 out += [self.byte_ids[b] for b in symbol.encode()]
-        return tuple(out)
+        return struct.pack(f"<{len(out)}i", *out)
 
-    def encode(self, text: str) -> list[int]:
-        known, out = self.known, []
+    def encode_flat(self, text: str) -> bytes:
+        """The ids of a text, as little-endian integers of 32 bits."""
+        if len(self.known) >= KEPT_WORDS:
+            self.known, self.older = {}, self.known
+        known, older, out = self.known, self.older, []
         for word in self.word.findall(self.normalise(text)):
             ids = known.get(word)
             if ids is None:
-                if len(known) >= KEPT_WORDS:
-                    known.clear()
-                ids = self._word(word)
-                if len(word) <= 64:
+                ids = older.get(word) or self._word(word)
+                if len(word) <= 64 and len(known) < KEPT_WORDS:
                     known[word] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return b"".join(out)
 
-    def decode(self, ids: list[int]) -> str:
+    def encode(self, text: str) -> list[int]:
+        flat = self.encode_flat(text)
+        return list(struct.unpack(f"<{len(flat) // ID_BYTES}i", flat))
+
+    def decode(self, ids: list[int] | tuple[int, ...]) -> str:
         """The text of ids: bytes that are no UTF-8 become replacement characters."""
         text = self.text
         whole = b"".join([text[k] for k in ids]).decode("utf-8", "replace")
@@ -253,15 +275,15 @@ def round_trip(documents: DataFrame, model: str) -> DataFrame:
             texts, flat, ends, crc, same = batch.column(1), [], [0], [], []
             for k in range(batch.num_rows):
                 text = texts[k].as_py() or ""
-                own = fst.encode(text)
-                back = fst.decode(own)
-                flat.append(pa.array(own, pa.int32()))
-                ends.append(ends[-1] + len(own))
+                own = fst.encode_flat(text)
+                n = len(own) // ID_BYTES
+                back = fst.decode(struct.unpack(f"<{n}i", own))
+                flat.append(own)
+                ends.append(ends[-1] + n)
                 crc.append(zlib.crc32(back.encode()))
                 same.append(back == text)
-            ids = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.concat_arrays(flat) if flat else pa.array([], pa.int32())
-            )
+            values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(flat))])
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
             counts = [b - a for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), ids, pa.array(crc, pa.int64()), pa.array(same, pa.bool_())],
