@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from skylag.llm.common import LOWER, open_store, once_per_process, shared_uri, spread, stored
 
 # Words whose ids a worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 # A character whose token stands between words that are encoded in one call.
 BETWEEN = "•"
 # Marks that are tokens of their own behind an ASCII letter or digit.

@@ -2,7 +2,7 @@
 
 import sentencepiece
 
-from skylag.llm import pieces, queries
+from skylag.llm import pieces, queries, token_files
 
 
 def test_frequent_words_are_composed_once(monkeypatch):
@@ -26,3 +26,14 @@ def test_neighbours_are_kept_within_bounds(monkeypatch):
     for text in ("internationalisation, of unbelievable", "  a  b ", "▁▁ x", "\n\t ...!? É́ 😀", "a" * 300, ""):
         assert fst.encode(text) == library.encode(text)
         assert len(fst.near) <= 5
+
+
+def test_words_of_several_tasks_are_kept():
+    """A worker keeps the words of its next tasks: clearing them at half a million made most of them new again."""
+    encoder = token_files.WordEncoder(queries.TOKENIZER, "<u2")
+    encoder.known.update((b"%d" % k, b"") for k in range(600_000))
+    first = encoder.encode(["Hello there."])
+    learned = []
+    encoder._learn = learned.append
+    assert encoder.encode(["Hello there."]) == first and not learned
+    assert len(encoder.known) > 600_000
