@@ -31,6 +31,8 @@ ANCHOR = 40
 # Different pieces of one gram that go to one shard, and bytes that a shard aims at.
 CROWD = 2000
 SHARD_BYTES = 1 << 20
+# Places of two substrings that are compared for all substrings at once.
+NAMED_PLACES = 64
 # Bytes of a text that are cut at a time, and bits that number places in them.
 CHUNK = 1 << 22
 PLACE_BITS = 24
@@ -161,14 +163,35 @@ def pieces(rows: DataFrame, width: int, anchor: int) -> DataFrame:
 # ---- suffix array of a shard
 
 
+def named(text, starts, stops):
+    """Numbers of sorted substrings ``text[start:stop]``, equal ones alike."""
+    import numpy as np
+
+    length = stops - starts
+    differs = np.ones(len(starts), dtype=bool)
+    differs[1:] = length[1:] != length[:-1]
+    # Neighbours of one length are compared a place at a time, the few that are alike for long at once.
+    alike, place = np.flatnonzero(~differs), 0
+    while len(alike) and place < NAMED_PLACES:
+        alike = alike[length[alike] > place]
+        other = text[starts[alike] + place] != text[starts[alike - 1] + place]
+        differs[alike[other]] = True
+        alike = alike[~other]
+        place += 1
+    for k in alike[length[alike] > place].tolist():
+        one, two, n = starts[k], starts[k - 1], length[k]
+        differs[k] = not np.array_equal(text[one + place:one + n], text[two + place:two + n])
+    return np.cumsum(differs) - 1
+
+
 def induced_order(s, size: int):
-    """Suffix array of a list of numbers below ``size`` that ends with its only 0."""
+    """Suffix array of numbers below ``size`` that end with their only 0."""
     import numpy as np
 
     n = len(s)
-    if n < 3:
-        return sorted(range(n), key=lambda k: s[k:])
     text = np.asarray(s, dtype=np.int64)
+    if n < 3:
+        return np.array(sorted(range(n), key=lambda k: text[k:].tolist()), dtype=np.int64)
     # Classify: a suffix is smaller than the next if its first different number is.
     step = np.sign(np.diff(text))
     known = np.where(step != 0, np.arange(n - 1), n)
@@ -179,8 +202,7 @@ def induced_order(s, size: int):
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     counts = np.bincount(text, minlength=size)
     ends = np.cumsum(counts)
-    heads = (ends - counts).tolist()
-    ends = ends.tolist()
+    heads = ends - counts
     # What stands before each suffix, if it is induced as a larger or a smaller one; else -1.
     before = np.concatenate([[-1], text[:-1]])
     is_larger = np.concatenate([[False], ~smaller[:-1]])
@@ -234,26 +256,27 @@ def induced_order(s, size: int):
             pass_on(larger[c][::-1], smaller_kind, c)
             parts[c] = np.concatenate([larger[c], backwards[::-1]])
         parts[0] = np.array([n - 1])
-        return np.concatenate(parts).tolist()
+        return np.concatenate(parts)
 
     def induce(seeds):
         if size <= 512 and n > 4 * size:
             return induce_buckets(seeds)
         larger_before, smaller_before = larger_kind.tolist(), smaller_kind.tolist()
-        order = [-1] * n
-        tail = ends[:]
-        for k in reversed(seeds):
-            c = s[k]
-            tail[c] -= 1
-            order[tail[c]] = k
-        head = heads[:]
+        # The seeds stand at the ends of their buckets, in the order given.
+        seeds = np.asarray(seeds, dtype=np.int64)
+        by = np.argsort(text[seeds], kind="stable")
+        own = text[seeds][by]
+        order = np.full(n, -1)
+        order[ends[own] - np.searchsorted(own, own, side="right") + np.arange(len(own))] = seeds[by]
+        order = order.tolist()
+        head = heads.tolist()
         for k in order:
             if k >= 0:
                 c = larger_before[k]
                 if c >= 0:
                     order[head[c]] = k - 1
                     head[c] += 1
-        tail = ends[:]
+        tail = ends.tolist()
         for at in range(n - 1, -1, -1):
             k = order[at]
             if k >= 0:
@@ -261,30 +284,19 @@ def induced_order(s, size: int):
                 if c >= 0:
                     tail[c] -= 1
                     order[tail[c]] = k - 1
-        return order
+        return np.array(order)
 
-    seeds = leftmost.tolist()
-    order = np.array(induce(seeds))
+    order = induce(leftmost)
     is_leftmost = np.zeros(n, dtype=bool)
     is_leftmost[leftmost] = True
     ranked = order[is_leftmost[order]]
     # Name the substrings from one leftmost-smaller place to the next, equal ones alike.
     stop = np.full(n, n - 1)
     stop[leftmost[:-1]] = leftmost[1:]
-    name, names = 0, np.zeros(n, dtype=np.int64)
-    previous = None
-    for k, to in zip(ranked.tolist(), stop[ranked].tolist()):
-        own = s[k:to + 1]
-        if own != previous:
-            name += 1
-            previous = own
-        names[k] = name - 1
-    if name < len(seeds):
-        inner = induced_order(names[leftmost].tolist(), name)
-        seeds = leftmost[np.array(inner)].tolist()
-    else:
-        seeds = ranked.tolist()
-    return induce(seeds)
+    names = np.zeros(n, dtype=np.int64)
+    names[ranked] = named(text, ranked, stop[ranked] + 1)
+    count = int(names[ranked[-1]]) + 1
+    return induce(ranked if count == len(leftmost) else leftmost[induced_order(names[leftmost], count)])
 
 
 def common_prefixes(text: bytes, order):
@@ -330,14 +342,12 @@ def repeated_windows(texts: list[bytes], width: int):
     """
     import numpy as np
 
-    flat, joined = [], b"\0".join(texts) + b"\0"
-    for t in texts:
-        flat += [b + 2 for b in t]
-        flat.append(1)
-    flat.append(0)
-    order = induced_order(flat, 258)
+    joined = b"\0".join(texts) + b"\0"
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
     begins = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
+    flat = np.concatenate([np.frombuffer(joined, dtype=np.uint8).astype(np.int64) + 2, [0]])
+    flat[begins + lengths] = 1
+    order = induced_order(flat, 258)
     left = np.repeat(begins + lengths, lengths + 1) - np.arange(len(flat) - 1)
     # Prefixes are measured up to the joint of either side.
     shared = common_prefixes(joined + b"\0", order)[:-1]
