@@ -37,7 +37,11 @@ PERCENT = 90
 # Cells of the frequency table, and rows that it is summed in.
 CELL_BITS, SLICES = 20, 64
 # The suffix filter has a power of two of parts, with at most so many shingles each on average.
-PART_SHINGLES = 8
+PART_SHINGLES = 3
+# Largest count of a part that a byte holds: a set with a larger one is not filtered by its parts.
+MOST_COUNT = 127
+# Bytes of a row per node, as counted before a broadcast.
+ROW_BYTES = 64
 # Hashes that are counted at a time.
 COUNTED = 1 << 20
 # Odd factors of the words of a shingle, and of a shorter text.
@@ -149,13 +153,14 @@ def _most_common() -> str:
 
 
 def _unlike(percent: int) -> str:
-    """SQL for pairs with too little in common, by ``a_n, a_parts, b_n, b_parts``."""
-    return f"({100 + percent} * {_most_common()} < {percent} * (a_n + b_n))"
+    """SQL for pairs with too little in common, by ``a_n, a_parts, b_n, b_parts``; false without parts."""
+    return f"coalesce({100 + percent} * {_most_common()} < {percent} * (a_n + b_n), false)"
 
 
 def sets(documents: DataFrame, counts, words_each: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, text_hash, n, node, prefix, parts`` of every document: the size and hash of
-    its set, its rarest shingles in order, and the counts of the hash space's parts."""
+    its set, its rarest shingles in order, and the counts of the hash space's parts, a byte
+    each as they go through shuffles with every bucket of a node."""
     kept = documents.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
@@ -175,16 +180,17 @@ def sets(documents: DataFrame, counts, words_each: int = SHINGLE_WORDS, percent:
                 rank = kept.value[cells_of(own)]
                 order = np.lexsort((own, rank))[:first]
                 prefixes.append(own[order].view(np.int64))
-                parts.append(part_counts(own))
+                counts = part_counts(own)
+                parts.append(counts.astype(np.int8) if counts.max() <= MOST_COUNT else None)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                 pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(prefixes, pa.list_(pa.int64())),
-                pa.array(parts, pa.list_(pa.int32())),
+                pa.array(parts, pa.list_(pa.int8())),
             ], ["doc_id", "text_hash", "n", "node", "prefix", "parts"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
     return rows.mapInArrow(
-        run, "doc_id long, text_hash long, n long, node long, prefix array<long>, parts array<int>"
+        run, "doc_id long, text_hash long, n long, node long, prefix array<long>, parts array<byte>"
     )
 
 
@@ -269,13 +275,16 @@ def ngram_groups(documents: DataFrame, words_each: int = SHINGLE_WORDS, percent:
     copies of itself included. Repeated rows are each answered; other columns are ignored.
     """
     counts = frequencies(documents, words_each)
-    rows = stored(sets(documents, counts, words_each, percent), "ngrams-rows")
-    distinct = stored(
+    rows = stored(sets(documents, counts, words_each, percent).withColumn("row", F.monotonically_increasing_id()), "ngrams-rows")
+    known = stored(
         rows.where("n > 0").groupBy("node").agg(
-            F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.max("n").alias("n"),
-            F.first("prefix").alias("prefix"), F.first("parts").alias("parts"),
+            F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.max("n").alias("n"), F.min("row").alias("of_row"),
         ), "ngrams-distinct",
     )
+    # Prefixes and parts are read from one row of each node instead of being written again.
+    distinct = rows.select("row", "prefix", "parts").join(small(known, ROW_BYTES), F.col("row") == F.col("of_row")).select(
+        "node", "text_hash", "n", "prefix", "parts"
+    )
     buckets = distinct.select("node", "n", F.posexplode("prefix").alias("place", "bucket")).selectExpr(
         "bucket", "node", "shiftleft(n, 32) | place AS mark"
     )
@@ -283,7 +292,7 @@ def ngram_groups(documents: DataFrame, words_each: int = SHINGLE_WORDS, percent:
         buckets, _linker(documents, distinct, words_each, percent), _far(percent), "ngrams",
         details=distinct.selectExpr("node", "struct(n, parts) AS detail"), no_link=re.sub(r"\b([ab])_", lambda m: {"a": "x.", "b": "y."}[m[1]], _unlike(percent)),
     )
-    member = distinct.select("node", "first_id").join(
+    member = known.select("node", "first_id").join(
         groups.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left"
     ).select("node", "first_id", F.coalesce("root", "node").alias("root"))
     least = member.groupBy("root", F.pmod("root", F.lit(7)).alias("part")).agg(

@@ -139,3 +139,28 @@ def test_pairs_left_pass_the_suffix_filter(spark, monkeypatch):
     for r in seen[-1]:
         (n, one), (m, two) = (sets[x & (2 ** 64 - 1)] for x in r)
         assert len(one) == len(two) and 190 * int(np.minimum(one, two).sum()) >= 90 * (n + m)
+
+
+def test_sets_with_crowded_parts_are_not_filtered(spark):
+    """A part's count goes through shuffles as one byte; without parts no pair is told apart."""
+    rows = [(k, " ".join(f"w{j}" for j in range(50))) for k in range(2)]
+    docs = frame(spark, rows)
+    made = ngram_join.sets(docs, ngram_join.frequencies(docs))
+    assert dict(made.dtypes)["parts"] == "array<tinyint>"
+    pairs = spark.createDataFrame(
+        [(9, [5, 4], 9, [4, 5]), (9, [9, 0], 9, [0, 9]), (9, None, 9, [0, 9]), (9, [9, 0], 9, None)],
+        "a_n long, a_parts array<byte>, b_n long, b_parts array<byte>",
+    )
+    assert [r[0] for r in pairs.coalesce(1).selectExpr(ngram_join._unlike(90)).collect()] == [True, True, False, False]
+
+
+def test_parts_tell_half_equal_sets_apart(spark):
+    """Sets with three quarters in common are no links, and few pass the filter."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for _ in range(40):
+        pool = rng.integers(0, 2**64, 500, dtype=np.uint64)
+        a, b = np.sort(pool[:400]), np.sort(pool[100:])
+        rows.append((400, ngram_join.part_counts(a).tolist(), 400, ngram_join.part_counts(b).tolist()))
+    pairs = spark.createDataFrame(rows, "a_n long, a_parts array<int>, b_n long, b_parts array<int>").coalesce(1)
+    assert sum(r[0] for r in pairs.selectExpr(ngram_join._unlike(90)).collect()) >= 30
