@@ -41,7 +41,7 @@ PART_SHINGLES = 3
 # Largest count of a part that a byte holds: a set with a larger one is not filtered by its parts.
 MOST_COUNT = 127
 # Bytes of a row per node, as counted before a broadcast.
-ROW_BYTES = 64
+ROW_BYTES = 128
 # Hashes that are counted at a time.
 COUNTED = 1 << 20
 # Odd factors of the words of a shingle, and of a shorter text.
