@@ -15,6 +15,8 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 TASK_ROWS = 100_000
 # Rows that a pair to compare counts as.
 PAIR_ROWS = 50
+# Whether Spark removes the shuffle files of a query at its end; else they stay until the driver collects garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Largest table that is broadcast.
 BROADCAST = 64 << 20
 # Comparisons with hubs go on, at most so often, while more pairs are left.
@@ -61,10 +63,18 @@ def scratch():
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written once to the shared folder: lineage ends here."""
+    """The same rows, written once to the shared folder: lineage ends here.
+
+    Nothing else uses the shuffles of the write, so their files go with it.
+    """
     spark = df.sparkSession
     uri = shared_uri(spark, name)
-    df.write.parquet(uri)
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(uri)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(uri)
 
 
