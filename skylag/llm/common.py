@@ -15,6 +15,8 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 TASK_ROWS = 100_000
 # Rows that a pair to compare counts as.
 PAIR_ROWS = 50
+# Bytes of a batch that are worked on at a time.
+SLICE_BYTES = 4 << 20
 # Whether Spark removes the shuffle files of a query at its end; else they stay until the driver collects garbage.
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Largest table that is broadcast.
@@ -78,6 +80,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(uri)
 
 
+def give_back() -> None:
+    """Return memory that is free to the system: glibc and Arrow keep it for a process's later work,
+    but a driver or a worker does other work next."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim:
+        trim(0)
+
+
+def slices(batches):
+    """The rows of Arrow batches in order, about ``SLICE_BYTES`` at a time: what is made of a batch
+    is held several times over, in the worker and where it is read again."""
+    give_back()
+    for batch in batches:
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    give_back()
+
+
 def spread(work: DataFrame) -> DataFrame:
     """Rows that each stand for much work (a file, a block of a file), dealt out one by one.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from skylag.llm.common import once_per_process
+from skylag.llm.common import once_per_process, slices
 
 # Fixed values of the model format.
 UNIGRAM, BPE = 1, 2
@@ -271,7 +271,7 @@ def round_trip(documents: DataFrame, model: str) -> DataFrame:
         import pyarrow as pa
 
         fst = compiled(model)
-        for batch in batches:
+        for batch in slices(batches):
             texts, flat, ends, crc, same = batch.column(1), [], [0], [], []
             for k in range(batch.num_rows):
                 text = texts[k].as_py() or ""

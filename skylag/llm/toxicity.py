@@ -16,6 +16,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skylag.llm.common import give_back, slices
 from skylag.llm.decontam import FOLD
 
 # Bounds of the sample that the model is fitted on: documents, and their mean characters.
@@ -164,7 +165,11 @@ def fit_sample(
     rows = rows.where(F.char_length("text") <= longest).orderBy("doc_id", "text").limit(fit_documents)
     # As Arrow, so that only one text at a time is a Python string.
     sample = rows.select("text", "label").toArrow()
-    return fit((t.as_py() for t in sample.column(0)), sample.column(1).to_pylist())
+    model = fit((t.as_py() for t in sample.column(0)), sample.column(1).to_pylist())
+    # The sample and the numbers of its words are a hundred megabytes that the driver needs no more.
+    del sample
+    give_back()
+    return model
 
 
 def score_documents(documents: DataFrame, model: tuple[float, dict[str, float]]) -> DataFrame:
@@ -209,7 +214,7 @@ def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         scorer = Scorer(*shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at)
             keep = [scorer.score(texts[k].as_py())[0] < 0.5 for k in range(batch.num_rows)]
             yield batch.filter(pa.array(keep, pa.bool_()))
