@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from skylag.llm.common import LOWER, open_store, once_per_process, shared_uri, spread, stored
 
-# Words whose ids a worker keeps.
-KEPT_WORDS = 1_000_000
+# Words of each of the two generations whose ids a worker keeps.
+KEPT_WORDS = 700_000
+# Texts, and characters of texts, that are encoded at a time.
+TEXTS, CHARS = 512, 1 << 21
 # A character whose token stands between words that are encoded in one call.
 BETWEEN = "•"
 # Marks that are tokens of their own behind an ASCII letter or digit.
@@ -40,7 +42,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.width, self.known = Tokenizer.from_file(path), width, {}
+        self.tokenizer, self.width = Tokenizer.from_file(path), width
+        # Words seen lately, and those before them that were not seen again.
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.between = self.ids(BETWEEN)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
@@ -106,13 +111,16 @@ class WordEncoder:
             whole = not self.by_word or b"<|" in data
             split.append(None if whole else data.translate(LOWER).split())
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        known = self.known
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         new = set().union(*(words for words in split if words)).difference(known)
+        again = older.keys() & new
+        known.update((w, older[w]) for w in again)
+        new -= again
         if new:
             self._learn(new)
         return [
-            self._bytes(self.ids(text)) if words is None else b"".join([known[w] for w in words])
+            self._bytes(self.ids(text)) if words is None else b"".join(map(known.__getitem__, words))
             for text, words in zip(texts, split)
         ]
 
@@ -125,6 +133,19 @@ def id_width(path: str) -> str:
     return "<u2" if size <= 1 << 16 else "<u4"
 
 
+def taken(texts, most: int = TEXTS, chars: int = CHARS):
+    """Lists of the texts of an Arrow column in order, null as empty: so many, and about so many characters."""
+    own, held = [], 0
+    for text in texts:
+        own.append(text.as_py() or "")
+        held += len(own[-1])
+        if len(own) >= most or held >= chars:
+            yield own
+            own, held = [], 0
+    if own:
+        yield own
+
+
 def write_tokens(documents: DataFrame, uri: str, tokenizer: str, end_id: int) -> DataFrame:
     """Write the ids of all texts in ascending doc_id order; the manifest of the parts.
 
@@ -151,12 +172,12 @@ def write_tokens(documents: DataFrame, uri: str, tokenizer: str, end_id: int) ->
             if ids is None:
                 ids = store.open_output_stream(f"{root}/{name}.ids")
                 index = store.open_output_stream(f"{root}/{name}.idx")
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 64):
-                for made in encoder.encode(["" if t is None else t for t in texts[at:at + 64]]):
-                    ids.write(made + end)
-                    index.write(np.array([tokens], dtype="<i8").tobytes())
-                    tokens += len(made) // size + 1
+            for texts in taken(batch.column(1)):
+                made = encoder.encode(texts)
+                ids.write(end.join(made) + end)
+                stops = tokens + np.cumsum([len(own) // size + 1 for own in made])
+                index.write(np.concatenate([[tokens], stops[:-1]]).astype("<i8").tobytes())
+                tokens = int(stops[-1])
             docs, nulls = docs + batch.num_rows, nulls + batch.column(0).null_count
             # Document ids follow the offsets of their batch; the manifest says how long each stretch is.
             index.write(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())

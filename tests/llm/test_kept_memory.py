@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skylag.llm import pieces, queries, toxicity
+from skylag.llm import pieces, queries, token_files, toxicity
 from skylag.llm.common import SLICE_BYTES, give_back, slices, stored
 
 
@@ -52,6 +52,25 @@ def test_large_batches_are_not_made_at_once(spark, monkeypatch, name):
     assert sum(m.num_rows for m in made) == 4000 and max(m.nbytes for m in made) < 4 * SLICE_BYTES
 
 
+def test_frequent_words_stay(monkeypatch):
+    """All kept words were dropped at once, the frequent ones too."""
+    monkeypatch.setattr(token_files, "KEPT_WORDS", 10)
+    encoder, learned = token_files.WordEncoder(queries.TOKENIZER, "<u2"), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: learned.extend(words) or learn(words))
+    for k in range(60):
+        text = f"hello wörld{k}x, hello 日本{k}."
+        assert encoder.encode([text]) == [encoder._bytes(encoder.ids(text))]
+    assert learned.count(b"hello") == 1 and len(encoder.older) < 30
+
+
+def test_texts_are_taken_by_number_and_length():
+    texts = pa.array([None, "", *(["ab"] * 5), "x" * 50, "y"])
+    own = list(token_files.taken(texts, most=3, chars=20))
+    assert [t for part in own for t in part] == ["", "", *(["ab"] * 5), "x" * 50, "y"]
+    assert [len(part) for part in own] == [3, 3, 2, 1]
+
+
 def test_memory_is_given_back():
     """The driver kept 124 MB after the fit, of which nothing was in use."""
     def held():
