@@ -166,7 +166,7 @@ def fit_sample(
     # As Arrow, so that only one text at a time is a Python string.
     sample = rows.select("text", "label").toArrow()
     model = fit((t.as_py() for t in sample.column(0)), sample.column(1).to_pylist())
-    # The sample and the numbers of its words are a hundred megabytes that the driver needs no more.
+    # The driver needs the sample and the numbers of its words no more.
     del sample
     give_back()
     return model

@@ -72,7 +72,7 @@ def test_texts_are_taken_by_number_and_length():
 
 
 def test_memory_is_given_back():
-    """The driver kept 124 MB after the fit, of which nothing was in use."""
+    """A process that read and fitted a sample kept 124 MB of which nothing was in use."""
     def held():
         with open("/proc/self/smaps_rollup") as f:
             return next(int(line.split()[1]) for line in f if line.startswith("Pss_Anon:"))
