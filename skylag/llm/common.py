@@ -4,6 +4,7 @@ import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -192,7 +193,7 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
 
 def near_components(
     buckets: DataFrame, linker, far: str, name: str, many_pairs: float = MANY_PAIRS, details: DataFrame | None = None,
-    no_link: str = "false",
+    no_link: str = "false", beyond: str | None = None,
 ) -> DataFrame:
     """Connected groups of nodes that share a bucket and are linked: ``node, root`` for
     nodes with a link.
@@ -204,7 +205,9 @@ def near_components(
     ``linker`` gets the nodes that share a bucket and gives a function that keeps the
     links of a frame of pairs ``a, b``. ``details`` has ``node, detail`` of every node, and ``no_link``
     is SQL on two details ``x`` and ``y`` that is true only of pairs which are no link: a test too wide for
-    marks, made where the pairs left meet, so that those which fail are never rows.
+    marks, made where the pairs left meet, so that those which fail are never rows. ``beyond`` is SQL on
+    two marks ``x <= y`` that is true only of pairs which are no link in any bucket and, with one, of all
+    pairs of its bucket that enclose it in the order of marks: rows without a partner then need no details.
 
     Exact, without all pairs of a bucket: first each node is compared with one hub, the
     smallest near node of its buckets' smallest, and groups are joined; then, in buckets
@@ -258,7 +261,10 @@ def near_components(
                 break
     # Buckets of a node before each of its buckets: a pair counts in the first that both share.
     before = Window.partitionBy("node").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shared = stored(_one_of_each(shared).withColumn("earlier", F.collect_list("bucket").over(before)), f"{name}-rest")
+    shared = _one_of_each(shared)
+    if beyond is not None:
+        shared = _with_partners(shared, lambda x, y: apart(x, y, beyond))
+    shared = stored(shared.withColumn("earlier", F.collect_list("bucket").over(before)), f"{name}-rest")
     if details is not None:
         shared = shared.join(details.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).drop("of")
     left, right = shared.alias("l"), shared.alias("r")
@@ -270,6 +276,20 @@ def near_components(
     return components(links, f"{name}-stars")
 
 
+def _with_partners(shared: DataFrame, beyond: Callable[[str, str], str]) -> DataFrame:
+    """The rows whose neighbour before or behind, in their bucket's order of marks, is not beyond
+    reach, in buckets where such rows are of more than one group.
+
+    A row dropped here is beyond all others of its bucket, as those enclose its neighbours.
+    """
+    ordered, whole = Window.partitionBy("bucket").orderBy("mark"), Window.partitionBy("bucket")
+    near = shared.select("*", F.lag("mark").over(ordered).alias("before"), F.lead("mark").over(ordered).alias("behind")).where(
+        f"before IS NOT NULL AND NOT {beyond('before', 'mark')} OR behind IS NOT NULL AND NOT {beyond('mark', 'behind')}"
+    ).drop("before", "behind")
+    ends = near.select("*", F.min("grp").over(whole).alias("g0"), F.max("grp").over(whole).alias("g1"))
+    return ends.where("g0 <> g1").drop("g0", "g1")
+
+
 def _one_of_each(shared: DataFrame) -> DataFrame:
     """The rows of one bucket for each set of nodes: no pair is far in the first of its buckets and near in
     a later one, so the first of equal buckets will do.

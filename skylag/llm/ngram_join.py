@@ -256,15 +256,19 @@ def _linker(documents: DataFrame, distinct: DataFrame, words_each: int, percent:
     return linker
 
 
+def _lengths_apart(percent: int) -> str:
+    """SQL on two marks ``n << 32 | place``: the lengths allow no link."""
+    return f"100 * least(shiftright(x, 32), shiftright(y, 32)) < {percent} * greatest(shiftright(x, 32), shiftright(y, 32))"
+
+
 def _far(percent: int) -> str:
     """SQL on two marks ``n << 32 | place``: the lengths or the places allow no link."""
     n = {v: f"shiftright({v}, 32)" for v in "xy"}
     at = {v: f"({v} & 4294967295L)" for v in "xy"}
     before = f"least({at['x']}, {at['y']})"
     behind = f"least({n['x']} - {at['x']}, {n['y']} - {at['y']})"
-    length = f"100 * least({n['x']}, {n['y']}) < {percent} * greatest({n['x']}, {n['y']})"
     places = f"{100 + percent} * ({before} + {behind}) < {percent} * ({n['x']} + {n['y']})"
-    return f"({length} OR {places})"
+    return f"({_lengths_apart(percent)} OR {places})"
 
 
 def ngram_groups(documents: DataFrame, words_each: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -291,6 +295,7 @@ def ngram_groups(documents: DataFrame, words_each: int = SHINGLE_WORDS, percent:
     groups = near_components(
         buckets, _linker(documents, distinct, words_each, percent), _far(percent), "ngrams",
         details=distinct.selectExpr("node", "struct(n, parts) AS detail"), no_link=re.sub(r"\b([ab])_", lambda m: {"a": "x.", "b": "y."}[m[1]], _unlike(percent)),
+        beyond=f"({_lengths_apart(percent)})",
     )
     member = known.select("node", "first_id").join(
         groups.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left"
