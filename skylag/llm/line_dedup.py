@@ -37,9 +37,10 @@ ROW_BYTES = 256
 # Pairs that may be left before the last step.
 MANY_PAIRS = 300_000
 # Lines are near copies if at most one character of five is edited. Most differ in far less, which
-# is cheaper to see: this number of edits above the difference in length is tried first. Pairs of
-# long lines that may differ in more than ``SPARK_EDITS`` are left to ``edits_within``.
-EDITED, FEW_EDITS, SPARK_EDITS = 5, 24, 1024
+# is cheaper to see: this number of edits above the difference in length is tried first, then ``MORE_EDITS``.
+# Pairs of lines so long (above 80,000 characters) that they may differ in more than ``SPARK_EDITS``
+# are left to ``edits_within``, as Spark's function would take minutes for one of them.
+EDITED, FEW_EDITS, MORE_EDITS, SPARK_EDITS = 5, 24, 1024, 16_384
 # Words of up to three characters have weight 1, others a third of their characters and five; in lines
 # with more weight than a lane counts at most 8.
 SHORT_WORD, WEIGHT_PLUS, WEIGHT_CHARS, MOST_WEIGHT = 3, 5, 3, 8
@@ -47,7 +48,8 @@ SHORT_WORD, WEIGHT_PLUS, WEIGHT_CHARS, MOST_WEIGHT = 3, 5, 3, 8
 WIDTH, LANES, WEIGHTS, WORDS = 9, 7, 511, 63
 ONES = sum(1 << (WIDTH * lane) for lane in range(LANES))
 
-NORMAL_WORDS = r"array_remove(split(lower(line), '[^\\p{L}\\p{N}]+'), '')"
+# Found, not split at what is between: that would try every character of a word as an end.
+NORMAL_WORDS = r"regexp_extract_all(lower(line), '[\\p{L}\\p{N}]+', 0)"
 
 
 def _votes(hash_: str, weight: str) -> list[Column]:
@@ -222,6 +224,15 @@ def _long_links(pairs: DataFrame) -> DataFrame:
     return spread(pairs).mapInArrow(run, "a long, b long")
 
 
+def _near(one: str, two: str, most: str) -> str:
+    """SQL: at most so many characters are edited; small numbers, which are cheaper, are tried first."""
+    tries = [f"abs(length({one}) - length({two})) + {FEW_EDITS}", str(MORE_EDITS), most]
+    tests = [f"levenshtein({one}, {two}, cast(least({tries[0]}, {most}) AS int)) >= 0"]
+    for below, top in zip(tries, tries[1:]):
+        tests.append(f"{below} < {most} AND {below} < {top} AND levenshtein({one}, {two}, cast(least({top}, {most}) AS int)) >= 0")
+    return f"({' OR '.join(tests)})"
+
+
 def _linker(documents: DataFrame, kinds: DataFrame):
     def linker(nodes: DataFrame):
         texts = stored(_line_texts(documents, kinds, nodes), "lines-texts")
@@ -239,10 +250,7 @@ def _linker(documents: DataFrame, kinds: DataFrame):
                 "substring(ta, p + 1) AS ta", "substring(tb, p + 1) AS tb", "la - p AS la", "lb - p AS lb"))
             both = both.selectExpr("*", _once(f"{_common(_END)} AS p"))
             both = both.selectExpr("a", "b", "most", _once("substring(ta, 1, la - p) AS ta", "substring(tb, 1, lb - p) AS tb"))
-            few = f"abs(length(ta) - length(tb)) + {FEW_EDITS}"
-            spark_most = f"least(most, {SPARK_EDITS})"
-            test = (f"levenshtein(ta, tb, cast(least({few}, {spark_most}) AS int)) >= 0"
-                    f" OR {few} < {spark_most} AND levenshtein(ta, tb, cast({spark_most} AS int)) >= 0")
+            test = _near("ta", "tb", f"least(most, {SPARK_EDITS})")
             if not any_long:
                 return both.where(test).select("a", "b")
             judged = both.selectExpr("*", _once(f"{test} AS near")).where(f"near OR most > {SPARK_EDITS}")
@@ -322,4 +330,5 @@ def _without_copies(documents: DataFrame, block_bits: int, end_bits: int) -> Dat
     joined = _keyed(documents).join(gone, F.expr("k0 = g0 AND k1 = g1"), "left").select(
         "row", F.split("row.text", "\n").alias("lines"), F.coalesce("gone", F.expr("cast(array() AS array<int>)")).alias("gone")
     )
-    return joined.select("row", "lines", "gone", _kept(F.col("lines"), F.col("gone")).alias("kept"))
+    kept = F.when(F.size("gone") > 0, _kept(F.col("lines"), F.col("gone"))).otherwise(F.col("lines"))
+    return joined.select("row", "lines", "gone", kept.alias("kept"))
