@@ -7,28 +7,31 @@ high by one level as often as the filter errs. A word's probability interpolates
 pair's relative frequency with its own.
 
 The filter grows with the n-grams, at ``BITS`` bits for each member, so it errs alike
-at every size. It is made in slices of the hash space, each by one task, and sent to
-the workers whole. If it is larger than ``filter_bytes``, pairs are parted by the hash
-of their first word: one filter and one pass over the documents for each part.
-
-The base score is exact. Counts of the most frequent words (at most ``HOT_WORDS``, 16
-bytes each) are sent to the workers; the other words of a document are joined with
-their counts. Words stand for themselves by 64-bit hashes.
+at every size. It is made in slices of the hash space, each by one task, and stays
+there: the n-grams of all documents go to the slices and their levels come back, so
+that documents are read twice at any size, once to count tokens and once for the rest,
+and no process holds more than one slice.
+
+Documents are worked on in blocks of about ``GATHER`` tokens. A block sends each of its
+words and pairs once to every slice, with its count in training documents; its texts
+travel beside as numbers of its words, and meet the answers by the block's name.
+Slices also answer words' exact counts, so the base score is exact. Words stand for
+themselves by 64-bit hashes.
 """
 
-import random
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import LOWER, once_per_process, stored
+from skylag.llm.common import LOWER, stored
 
 HOT_WORDS = 1 << 20
 BITS = 8
 PROBES = 4
 FILTER_BYTES = 256 << 20
-# N-grams of one slice, tokens gathered before a task counts pairs, words a worker keeps.
+# N-grams of one slice, tokens of a block, words a worker keeps from one block to the next.
 SLICE_GRAMS = 1 << 19
+# Slices of pairs for one of words.
+WORD_SHARE = 8
 GATHER = 1 << 20
 KEPT_WORDS = 200_000
 # Share of the pair's relative frequency in a word's probability.
@@ -36,9 +39,12 @@ PAIR_SHARE = 0.7
 # The end of a text, and the start of the next: no word, as words hold no white space.
 END = b"\n"
 
-ROW_SCHEMA = (
-    "row_id long, doc_id long, text_hash long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-    "rare array<struct<h:long,times:int>>"
+# Rows of these kinds: a block's documents, and its words and its pairs in one slice.
+BLOCK, WORDS, PAIRS = 0, 1, 2
+GRAM_SCHEMA = "kind int, key long, block long, a binary, b binary, c binary"
+ANSWER_SCHEMA = "kind int, key long, block long, distinct long, a binary, b binary, levels binary, counts binary"
+SCORE_SCHEMA = (
+    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
 
 
@@ -56,14 +62,36 @@ def mixed(h):
     return h ^ (h >> np.uint64(32))
 
 
+def unmixed(h):
+    """The hashes that ``mixed`` was given."""
+    import numpy as np
+
+    back = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+    h = (h ^ (h >> np.uint64(32))) * back
+    h = (h ^ (h >> np.uint64(32))) * back
+    return h ^ (h >> np.uint64(32))
+
+
 def pair_hash(first, second):
     import numpy as np
 
     return mixed(first * np.uint64(0x9E3779B97F4A7C15) + (second ^ (second >> np.uint64(29))))
 
 
+class Numbers(dict):
+    """Numbers words in the order seen; ``new`` are those without a hash yet."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        number = self[word] = len(self)
+        return number
+
+
 class Words:
-    """Numbers words in the order seen, with their hashes and values looked up for them."""
+    """Numbers of words, with their hashes."""
 
     def __init__(self):
         self.clear()
@@ -71,26 +99,23 @@ class Words:
     def clear(self):
         import numpy as np
 
-        self.number, self.hashes = {}, np.zeros(0, dtype=np.uint64)
+        self.number, self.hashes = Numbers(), np.zeros(0, dtype=np.uint64)
 
-    def read(self, texts: list[str]):
+    def read(self, texts: list[bytes]):
         """Numbers of all tokens of the texts, and each text's number of tokens. New words get hashes."""
         import numpy as np
         import xxhash
 
         number, parts, sizes = self.number, [], []
-        new: list[bytes] = []
         for text in texts:
-            words = text.encode().translate(LOWER).split()
+            words = text.translate(LOWER).split()
             words.append(END)
-            for w in set(words).difference(number):
-                number[w] = len(number)
-                new.append(w)
             parts.append(np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words)))
             sizes.append(len(words))
-        if new:
-            more = np.array([xxhash.xxh64_intdigest(w) for w in new], dtype=np.uint64)
+        if number.new:
+            more = np.array([xxhash.xxh64_intdigest(w) for w in number.new], dtype=np.uint64)
             self.hashes = np.concatenate([self.hashes, more])
+            number.new.clear()
         return (np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)), np.array(sizes, dtype=np.int64)
 
 
@@ -124,113 +149,186 @@ def batches_of(batch, size: int = 1 << 20):
             begin, total = k + 1, 0
 
 
-# ---- counting
+# ---- n-grams of blocks
+
+
+def count_tokens(training: DataFrame) -> int:
+    """Tokens of all texts, ends included."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            total = batch.num_rows + sum(len(t.split()) for t in batch.column(0).to_pylist() if t)
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["tokens"])
+
+    return training.select("text").mapInArrow(run, "tokens long").agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+
 
+def block_pairs(hashes, numbers, sizes):
+    """A block's pairs: the number before each token, the tokens ordered by their pair, the
+    pairs' hashes in that order, and where a new pair begins.
 
-def _planes(values):
-    """Numbers as bytes, place by place, so that equal high bytes compress."""
+    Ordered by all high bits of the hash that leave room for a token's place: of pairs that
+    differ in lower bits only, one may appear twice, which is counted and answered as well.
+    """
     import numpy as np
 
-    return np.ascontiguousarray(values.astype("<u8").view("u1").reshape(-1, 8).T).tobytes()
+    before = contexts(numbers, sizes, numbers[sizes[0] - 1])
+    pairs = pair_hash(hashes[before], hashes[numbers])
+    low = np.uint64(len(pairs).bit_length())
+    order = np.sort((pairs >> low << low) | np.arange(len(pairs), dtype=np.uint64))
+    order = (order & ((np.uint64(1) << low) - np.uint64(1))).view(np.int64)
+    pairs = pairs[order]
+    return before, order, pairs, np.concatenate([[True], pairs[1:] != pairs[:-1]])
 
 
-def _from_planes(data: bytes):
+def _packed(numbers) -> bytes:
+    """Numbers below 2^32, place by place, compressed."""
     import numpy as np
+    import pyarrow as pa
 
-    return np.ascontiguousarray(np.frombuffer(data, dtype="u1").reshape(8, -1).T).view("<u8").ravel()
+    planes = np.ascontiguousarray(numbers.astype("<u4").view("u1").reshape(-1, 4).T)
+    return pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _blobs(kind: int, parts: int, part_of, hashes, counts, slices: int):
-    """Sorted hashes with counts, cut by part and slice: ``kind, part, slice, blob``."""
+def _unpacked(data: bytes, count: int):
     import numpy as np
     import pyarrow as pa
 
-    rows = []
-    part = part_of % np.uint64(parts)
-    for p in range(parts):
-        own = part == p
-        h, c = (hashes, counts) if parts == 1 else (hashes[own], counts[own])
-        edges = np.searchsorted(slice_of(h, slices), np.arange(1, slices))
-        for s, (a, b) in enumerate(zip([0, *edges.tolist()], [*edges.tolist(), len(h)])):
-            if b > a:
-                steps = np.diff(h[a:b], prepend=np.uint64(0))
-                rows.append((kind, p, s, b - a, _planes(steps) + _planes(c[a:b])))
-    columns = list(zip(*rows)) or [[]] * 5
-    types = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["kind", "part", "slice", "grams", "blob"])
+    planes = pa.decompress(data, decompressed_size=4 * count, codec="zstd", asbytes=True)
+    numbers = np.ascontiguousarray(np.frombuffer(planes, dtype="u1").reshape(4, -1).T).view("<u4")
+    return numbers.ravel().astype(np.int64)
 
 
-def word_counts(training: DataFrame) -> DataFrame:
-    """``h, c``: the hash and the count of every token, ends included."""
+def _cut(values, begin):
+    """Rows of bytes: the values from each beginning to the next."""
+    import numpy as np
+    import pyarrow as pa
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
+    ends = (np.append(begin, len(values)) * values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1)).astype("<i4")
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(begin), buffers)
 
-        words, total = Words(), np.zeros(0, dtype=np.int64)
 
-        def flush():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words.hashes.view(np.int64)), pa.array(total)], ["h", "c"])
+def _joined(column, dtype: str):
+    """Values of all rows of bytes one after the other, and the bytes of each row."""
+    import numpy as np
+    import pyarrow.compute as pc
 
-        for batch in batches:
-            for part in batches_of(batch):
-                numbers, _ = words.read([t or "" for t in part.column("text").to_pylist()])
-                own = np.bincount(numbers, minlength=len(words.hashes))
-                own[:len(total)] += total
-                total = own
-                if len(total) > KEPT_WORDS:
-                    yield flush()
-                    words.clear()
-                    total = total[:0]
-        yield flush()
-
-    counted = training.select("text").mapInArrow(run, "h long, c long")
-    return counted.groupBy("h").agg(F.sum("c").alias("c")).where("c > 0")
-
-
-def _pair_blobs(training: DataFrame, parts: int, slices: int) -> DataFrame:
-    def run(batches):
-        import numpy as np
+    parts = [np.zeros(0, dtype="u1")]
+    for chunk in column.chunks:
+        _, offsets, data = chunk.buffers()
+        wide = "<i8" if str(chunk.type).startswith("large") else "<i4"
+        ends = np.frombuffer(offsets, dtype=wide)[chunk.offset:chunk.offset + len(chunk) + 1] if len(chunk) else [0]
+        if ends[-1] > ends[0]:
+            parts.append(np.frombuffer(data, dtype="u1")[ends[0]:ends[-1]])
+    lengths = pc.binary_length(column).to_numpy().astype(np.int64)
+    return np.concatenate(parts).view(dtype), lengths
 
-        words, gathered, firsts, size = Words(), [], [], 0
 
-        def flush():
-            h, f = np.concatenate(gathered), np.concatenate(firsts)
-            h, at, c = np.unique(h, return_index=True, return_counts=True)
-            return _blobs(2, parts, f[at], h, c, slices)
+def _gram_rows(kind: int, block: int, hashes, counts, slices: int):
+    """Hashes in the order of their slices, with counts: a row for each slice that has some.
 
-        for batch in batches:
-            for part in batches_of(batch):
-                if len(words.number) > KEPT_WORDS:
-                    words.clear()
-                numbers, sizes = words.read([t or "" for t in part.column("text").to_pylist()])
-                first = words.hashes[contexts(numbers, sizes, words.number[END])]
-                gathered.append(pair_hash(first, words.hashes[numbers]))
-                firsts.append(first)
-                size += len(numbers)
-                if size >= GATHER:
-                    yield flush()
-                    gathered, firsts, size = [], [], 0
-        if gathered:
-            yield flush()
+    A hash is its step from the one before: six low bytes, and two high ones that are mostly zero.
+    """
+    import numpy as np
+    import pyarrow as pa
 
-    return training.select("text").mapInArrow(run, "kind int, part int, slice int, grams long, blob binary")
+    own = slice_of(hashes, slices)
+    begin = np.flatnonzero(np.diff(own, prepend=-1))
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    steps[begin] = hashes[begin]
+    places = steps.astype("<u8").view("u1").reshape(-1, 8)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(len(begin), kind, dtype=np.int32)), pa.array(own[begin]),
+        pa.array(np.full(len(begin), block, dtype=np.int64)),
+        _cut(places[:, :6], begin), _cut(places[:, 6:], begin), _cut(counts.astype("<u4"), begin),
+    ], ["kind", "key", "block", "a", "b", "c"])
 
 
-def _word_blobs(counts: DataFrame, parts: int, slices: int) -> DataFrame:
+def _hashes_of(table):
+    """The hashes of rows of n-grams, and where each row's begin."""
+    import numpy as np
+
+    low, lengths = _joined(table.column("a"), "u1")
+    sizes = lengths // 6
+    begin = np.cumsum(sizes) - sizes
+    places = np.empty((len(low) // 6, 8), dtype="u1")
+    places[:, :6] = low.reshape(-1, 6)
+    places[:, 6:] = _joined(table.column("b"), "u1")[0].reshape(-1, 2)
+    steps = places.view("<u8").ravel()
+    hashes = np.cumsum(steps, dtype=np.uint64)
+    return hashes - np.repeat(hashes[begin] - steps[begin], sizes), begin
+
+
+def _block_rows(documents, numbers, sizes, all_hashes, place_in_run: int, slices: dict):
+    """A block's documents, words and pairs. ``numbers`` are places in ``all_hashes``."""
+    import numpy as np
+    import pyarrow as pa
+    import xxhash
+
+    used = np.flatnonzero(np.bincount(numbers, minlength=len(all_hashes)))
+    used = used[np.argsort(mixed(all_hashes[used]))]
+    hashes, place = all_hashes[used], np.zeros(len(all_hashes), dtype=np.int64)
+    place[used] = np.arange(len(used))
+    numbers = place[numbers]
+    learned = np.repeat(~documents.column("held_out").to_numpy(), sizes)
+    documents = documents.append_column("n_tokens", pa.array(sizes))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, documents.schema) as stream:
+        stream.write_table(documents)
+    held = [sink.getvalue().to_pybytes(), _packed(numbers), b""]
+    # Named by what it holds, so that a task that runs again gives the same name to the same block.
+    name = xxhash.xxh64(place_in_run.to_bytes(8, "little"))
+    for part in (*held, hashes.tobytes()):
+        name.update(part)
+    block = int(np.uint64(name.intdigest()).view(np.int64))
+    # Some slice of pairs takes it along, so that all tasks there have alike to do.
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([BLOCK], pa.int32()), pa.array([block % slices[PAIRS]], pa.int64()), pa.array([block], pa.int64()),
+         *[pa.array([part], pa.binary()) for part in held]], ["kind", "key", "block", "a", "b", "c"])
+    counts = np.bincount(numbers[learned], minlength=len(hashes))
+    yield _gram_rows(WORDS, block, mixed(hashes), counts, slices[WORDS])
+    _, order, pairs, new = block_pairs(hashes, numbers, sizes)
+    counts = np.add.reduceat(learned[order].astype(np.int64), np.flatnonzero(new))
+    yield _gram_rows(PAIRS, block, pairs[new], counts, slices[PAIRS])
+
+
+def gram_rows(documents: DataFrame, slices: dict) -> DataFrame:
+    """Documents of blocks, and their n-grams by slice, as in ``GRAM_SCHEMA``."""
+
     def run(batches):
         import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        words, pieces, numbers, sizes, size = Words(), [], [], [], 0
+        task, blocks = TaskContext.get().partitionId(), 0
+
+        def block():
+            return _block_rows(
+                pa.Table.from_batches(pieces), np.concatenate(numbers), np.concatenate(sizes), words.hashes,
+                (task << 32) + blocks, slices,
+            )
 
         for batch in batches:
-            h = mixed(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            c = batch.column(1).to_numpy(zero_copy_only=False)
-            order = np.argsort(h)
-            for p in range(parts):
-                # Every part needs the words' own counts.
-                yield _blobs(1, parts, np.full(len(h), p, dtype=np.uint64), h[order], c[order], slices)
+            for piece in batches_of(batch):
+                n, s = words.read([t or b"" for t in piece.column("text").to_pylist()])
+                pieces.append(piece.select(["doc_id", "held_out"]))
+                numbers.append(n)
+                sizes.append(s)
+                size += len(n)
+                if size >= GATHER:
+                    yield from block()
+                    blocks += 1
+                    pieces, numbers, sizes, size = [], [], [], 0
+                    if len(words.number) > KEPT_WORDS:
+                        words.clear()
+        if size:
+            yield from block()
 
-    return counts.select("h", "c").mapInArrow(run, "kind int, part int, slice int, grams long, blob binary")
+    return documents.select("doc_id", "held_out", "text").mapInArrow(run, GRAM_SCHEMA)
 
 
 # ---- the filter
@@ -298,150 +396,111 @@ def expected(level):
     return np.where(level > 0, (3 * 2.0 ** (level - 1) - 1) / 2, 0.0)
 
 
-def build_slices(blobs: DataFrame) -> DataFrame:
-    """``kind, part, slice, members, size, bits``: counts added, levels taken, bits set."""
+def filter_slice(kind: int, hashes, counts) -> Filter:
+    """The slice that holds distinct hashes with their counts: levels taken, bits set."""
+    import numpy as np
 
-    def run(table):
-        import numpy as np
-        import pyarrow as pa
+    top = np.frexp(counts.astype(np.float64))[1]
+    size = -(-int(top.sum()) * BITS // 64) * 64
+    bits = np.zeros(size, dtype=bool)
+    first, step = strides(hashes)
+    for level in range(1, int(top.max(initial=0)) + 1):
+        enough = top >= level
+        first, step, top = first[enough], step[enough], top[enough]
+        for place in places_of(first, step, level, np.uint64(size)):
+            bits[place.view(np.int64)] = True
+    return Filter(np.packbits(bits, bitorder="little"), {(kind, 0): (0, size)}, {kind: 1})
 
-        kind, part, slice_ = (table.column(c)[0].as_py() for c in ("kind", "part", "slice"))
-        hashes, counts = [], []
-        for n, blob in zip(table.column("grams").to_pylist(), table.column("blob").to_pylist()):
-            hashes.append(np.cumsum(_from_planes(blob[:8 * n]), dtype=np.uint64))
-            counts.append(_from_planes(blob[8 * n:]).astype(np.int64))
-        h, at = np.unique(np.concatenate(hashes), return_inverse=True)
-        c = np.bincount(at, np.concatenate(counts)).astype(np.int64)
-        top = np.frexp(c.astype(np.float64))[1]
-        members = int(top.sum())
-        size = -(-members * BITS // 64) * 64
-        bits = np.zeros(size, dtype=bool)
-        first, step = strides(h)
-        for level in range(1, int(top.max()) + 1):
-            enough = top >= level
-            first, step, top = first[enough], step[enough], top[enough]
-            for place in places_of(first, step, level, np.uint64(size)):
-                bits[place.view(np.int64)] = True
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        return pa.table({
-            "kind": pa.array([kind], pa.int32()), "part": pa.array([part], pa.int32()), "slice": pa.array([slice_], pa.int32()),
-            "members": pa.array([members], pa.int64()), "size": pa.array([size], pa.int64()), "bits": pa.array([packed], pa.binary()),
-        })
 
-    return blobs.groupBy("kind", "part", "slice").applyInArrow(
-        run, "kind int, part int, slice int, members long, size long, bits binary"
-    )
+def answers(grams: DataFrame) -> DataFrame:
+    """Rows of blocks as they are; of n-grams the ``levels`` read from their slice of the filter. Words
+    come with their hashes and ``counts``, and on one row of a slice with the number of those that are ``distinct``."""
 
+    def rows(table, a, b, levels, counts, distinct: int = 0):
+        import numpy as np
+        import pyarrow as pa
 
-def load_filter(slices: DataFrame, part: int, n_slices: dict):
-    """The filter of a part as plain values, for a broadcast of bounded size."""
-    import numpy as np
+        words = np.zeros(len(table), dtype=np.int64)
+        words[:1] = distinct
+        return pa.table(
+            [*(table.column(c) for c in ("kind", "key", "block")), pa.array(words), a, b, levels, counts],
+            ["kind", "key", "block", "distinct", "a", "b", "levels", "counts"])
 
-    own = slices.where(F.col("part") == part)
-    size = own.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    bits, places, at = np.zeros(size // 8 + 1, dtype=np.uint8), {}, 0
-    for kind, slice_, n, data in own.select("kind", "slice", "size", "bits").toLocalIterator():
-        bits[at // 8:(at + n) // 8] = np.frombuffer(data, dtype=np.uint8)
-        places[kind, slice_] = (at, n)
-        at += n
-    return bits, places, n_slices
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        blocks = table.column("kind").to_numpy() == BLOCK
+        own, table = table.filter(pa.array(blocks)), table.filter(pa.array(~blocks))
+        none = pa.array([b""] * len(own), pa.binary())
+        own = rows(own, own.column("a"), own.column("b"), none, none)
+        if not len(table):
+            return own
+        kind = table.column("kind")[0].as_py()
+        hashes, begin = _hashes_of(table)
+        hashes, at = np.unique(hashes, return_inverse=True)
+        total = np.bincount(at, _joined(table.column("c"), "<u4")[0], len(hashes)).astype(np.int64)
+        levels = _cut(filter_slice(kind, hashes, total).level(kind, hashes).astype("u1")[at], begin)
+        none = pa.array([b""] * len(table), pa.binary())
+        if kind == PAIRS:
+            return pa.concat_tables([own, rows(table, none, none, levels, none)])
+        exact = _cut(total[at].astype("<i8"), begin)
+        return pa.concat_tables([own, rows(table, table.column("a"), table.column("b"), levels, exact, np.count_nonzero(total))])
+
+    return grams.groupBy((F.col("kind") == WORDS).alias("words"), "key").applyInArrow(run, ANSWER_SCHEMA)
 
 
 # ---- scoring
 
+UNLIKE = "a block and its answers do not match: the documents changed while they were read"
 
-def hot_words(counts: DataFrame, most: int):
-    """Hashes and counts of the most frequent words: all of at least some count, ``most`` at most."""
-    import numpy as np
 
-    step = F.expr("if(c < 1000, c, 1000 * cast(pow(2, floor(log2(c / 1000))) AS bigint))")
-    histogram = counts.groupBy(step.alias("least")).agg(F.count("*").alias("words")).orderBy(F.desc("least")).collect()
-    bound, words = None, 0
-    for least, n in histogram:
-        words += n
-        if words > most:
-            break
-        bound = least
-    if bound is None:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    frame = counts.where(F.col("c") >= bound).select("h", "c").toArrow()
-    h = frame.column("h").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    return h[order], frame.column("c").to_numpy().astype(np.int64)[order]
-
-
-def _score_pass(documents: DataFrame, hot, loaded, part: int, parts: int, smooth: float) -> DataFrame:
-    """One pass with the filter of one part: exact sums of the hot words (in part 0 only),
-    the rare words, and the pairs whose first word is of the part."""
-    context = documents.sparkSession.sparkContext
-    shared = context.broadcast((*hot, *loaded))
+def block_scores(answered: DataFrame, tokens: int, smooth: float) -> DataFrame:
+    """The scores of each block's documents, from the answers of all slices."""
 
-    def run(batches):
+    def run(table):
         import numpy as np
         import pyarrow as pa
 
-        hot_h, hot_c, bits, places, n_slices = shared.value
-        held = Filter(bits, places, n_slices)
-        words = Words()
-        exact = np.zeros(0, dtype=np.int64)
-        own_p = np.zeros(0)
-        own_c = np.zeros(0)
-        for batch in batches:
-            for piece in batches_of(batch):
-                if len(words.number) > KEPT_WORDS:
-                    words.clear()
-                    exact, own_p, own_c = exact[:0], own_p[:0], own_c[:0]
-                numbers, sizes = words.read([t or "" for t in piece.column("text").to_pylist()])
-                new = words.hashes[len(exact):]
-                if len(new):
-                    at = np.searchsorted(hot_h, new)
-                    at[at == len(hot_h)] = 0
-                    hit = (hot_h[at] == new) if len(hot_h) else np.zeros(len(new), dtype=bool)
-                    exact = np.concatenate([exact, np.where(hit, hot_c[at] if len(hot_h) else 0, -1)])
-                    count = expected(held.level(1, mixed(new)))
-                    own_c = np.concatenate([own_c, count])
-                    own_p = np.concatenate([own_p, (count + 1) / smooth])
-                before = contexts(numbers, sizes, words.number[END])
-                first, second = words.hashes[before], words.hashes[numbers]
-                mine = slice(None) if parts == 1 else np.flatnonzero(first % np.uint64(parts) == part)
-                pairs = expected(held.level(2, pair_hash(first[mine], second[mine])))
-                context_count = np.maximum(own_c[before[mine]], pairs)
-                share = np.where(context_count > 0, PAIR_SHARE, 0.0)
-                p = share * pairs / np.maximum(context_count, 1) + (1 - share) * own_p[numbers[mine]]
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                score = np.bincount(owner[mine], np.log10(p), len(sizes))
-                c = exact[numbers]
-                known = c >= 0
-                base = np.bincount(owner[known], np.log10(c[known] + 1.0), len(sizes))
-                rare = [[]] * len(sizes)
-                if part == 0 and not known.all():
-                    own, times = _counted(owner[~known], second[~known])
-                    edges = np.searchsorted(own[0], np.arange(len(sizes) + 1))
-                    rare = [
-                        [{"h": h, "times": t} for h, t in zip(own[1][a:b].tolist(), times[a:b].tolist())]
-                        for a, b in zip(edges[:-1], edges[1:])
-                    ]
-                start = random.getrandbits(62)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([start + k for k in range(len(sizes))], pa.int64()),
-                    piece.column("doc_id"), piece.column("text_hash"), piece.column("held_out"), pa.array(sizes),
-                    pa.array(np.bincount(owner[known & (c > 0)], minlength=len(sizes)).astype(np.int64)),
-                    pa.array(base), pa.array(score),
-                    pa.array(rare, pa.list_(pa.struct([("h", pa.int64()), ("times", pa.int32())]))),
-                ], ["row_id", "doc_id", "text_hash", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
-
-    return documents.mapInArrow(run, ROW_SCHEMA)
-
-
-def _counted(owner, hashes):
-    """Distinct pairs of owner and hash, by owner, with their numbers."""
-    import numpy as np
+        kind = table.column("kind").to_numpy()
+        key = table.column("key").to_numpy()
+
+        def rows(of: int):
+            own = np.flatnonzero(kind == of)
+            return table.take(pa.array(own[np.argsort(key[own])]))
+
+        held, words = rows(BLOCK), rows(WORDS)
+        if len(held) != 1:
+            raise ValueError(UNLIKE)
+        documents = pa.ipc.open_stream(held.column("a")[0].as_py()).read_all()
+        sizes = documents.column("n_tokens").to_numpy()
+        numbers = _unpacked(held.column("b")[0].as_py(), int(sizes.sum()))
+        hashes = unmixed(_hashes_of(words)[0])
+        if len(hashes) != numbers.max() + 1:
+            raise ValueError(UNLIKE)
+        before, order, _, new = block_pairs(hashes, numbers, sizes)
+        own = expected(_joined(words.column("levels"), "u1")[0].astype(np.int64))
+        exact, _ = _joined(words.column("counts"), "<i8")
+        pairs = expected(_joined(rows(PAIRS).column("levels"), "u1")[0].astype(np.int64))
+        lead = order[new]
+        if len(pairs) != len(lead):
+            raise ValueError(UNLIKE)
+        context = np.maximum(own[before[lead]], pairs)
+        share = np.where(context > 0, PAIR_SHARE, 0.0)
+        p = share * pairs / np.maximum(context, 1) + (1 - share) * ((own + 1) / smooth)[numbers[lead]]
+        pair = np.empty(len(order), dtype=np.int64)
+        pair[order] = np.cumsum(new) - 1
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        base = np.bincount(owner, np.log10(exact + 1.0)[numbers], len(sizes))
+        return pa.table({
+            "doc_id": documents.column("doc_id"), "held_out": documents.column("held_out"), "n_tokens": pa.array(sizes),
+            "n_known": pa.array(np.bincount(owner, (exact > 0)[numbers], len(sizes)).astype(np.int64)),
+            "train_tokens": pa.array(np.full(len(sizes), tokens, dtype=np.int64)),
+            "base_score": pa.array(base - sizes * np.log10(smooth)),
+            "score": pa.array(np.bincount(owner, np.log10(p)[pair], len(sizes))),
+        })
 
-    order = np.lexsort((hashes, owner))
-    owner, hashes = owner[order], hashes[order]
-    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])]))
-    times = np.diff(np.concatenate([new, [len(owner)]]))
-    return (owner[new], hashes[new].view(np.int64)), times
+    return answered.groupBy("block").applyInArrow(run, SCORE_SCHEMA)
 
 
 def lm_scores(
@@ -452,40 +511,17 @@ def lm_scores(
     Learned from the documents that are not held out (a null doc_id is). A null text is
     empty and has its end as only token. Repeated rows count and score each by itself.
     Without training documents counts are 0 and probabilities those of one unseen word.
+
+    A slice of the filter has about ``slice_grams`` tokens, and ``filter_bytes`` at most. ``hot`` has no effect:
+    frequent words are answered by the slices as all others are.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"), held_out().alias("held_out"))
-    training = rows.where("NOT held_out")
-    counts = stored(word_counts(training), "lm-words")
-    tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    smooth = float(tokens + distinct + 1)
-    # Sizes before pairs are counted: at most one pair a token, two members on average.
-    parts = max(1, -(-tokens * 2 * BITS // 8 // filter_bytes))
-    n_slices = {1: max(1, distinct // slice_grams), 2: max(1, tokens // parts // slice_grams)}
-    blobs = _pair_blobs(training, parts, n_slices[2]).unionByName(_word_blobs(counts, parts, n_slices[1]))
-    slices = stored(build_slices(blobs), "lm-filter")
-    frequent = hot_words(counts, hot)
-    scored = later = None
-    for part in range(parts):
-        one = stored(_score_pass(rows, frequent, load_filter(slices, part, n_slices), part, parts, smooth), "lm-rows")
-        if scored is None:
-            scored = one
-        else:
-            # Rows with one id and text score alike, so one of them stands for all.
-            one = one.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(F.first("score").alias("s"))
-            later = one if later is None else later.unionByName(one)
-    if later is not None:
-        later = later.groupBy("d", "t").agg(F.sum("s").alias("s"))
-        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))
-        scored = scored.join(later, same).withColumn("score", F.expr("score + s"))
-    rare = scored.select("row_id", F.inline("rare")).join(counts.withColumnsRenamed({"h": "ch"}), F.col("h") == F.col("ch"), "left")
-    more = rare.groupBy(F.col("row_id").alias("of")).agg(
-        F.sum(F.expr("times * log10(coalesce(c, 0) + 1)")).alias("more"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"),
-    )
-    return scored.join(more, F.col("row_id") == F.col("of"), "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(smooth))).alias("base_score"),
-        "score",
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), held_out().alias("held_out")
     )
+    tokens = count_tokens(rows.where("NOT held_out"))
+    # At most one pair a token, two members on average. Words are fewer; most come from many blocks.
+    pairs = max(1, tokens // slice_grams, -(-tokens * 2 * BITS // 8 // filter_bytes))
+    slices = {PAIRS: pairs, WORDS: -(-pairs // WORD_SHARE)}
+    answered = stored(answers(gram_rows(rows, slices)), "lm-answers")
+    distinct = answered.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
+    return block_scores(answered, tokens, float(tokens + distinct + 1))
