@@ -13,7 +13,7 @@ that documents are read twice at any size, once to count tokens and once for the
 and no process holds more than one slice.
 
 Documents are worked on in blocks of about ``GATHER`` tokens. A block sends each of its
-words and pairs once to every slice, with its count in training documents; its texts
+words and pairs once, to its slice, with its count in training documents; its texts
 travel beside as numbers of its words, and meet the answers by the block's name.
 Slices also answer words' exact counts, so the base score is exact. Words stand for
 themselves by 64-bit hashes.
@@ -28,12 +28,12 @@ HOT_WORDS = 1 << 20
 BITS = 8
 PROBES = 4
 FILTER_BYTES = 256 << 20
-# N-grams of one slice, tokens of a block, words a worker keeps from one block to the next.
+# Tokens for one slice of pairs, tokens of a block, words a worker keeps from one block to the next.
 SLICE_GRAMS = 1 << 19
-# Slices of pairs for one of words.
-WORD_SHARE = 8
 GATHER = 1 << 20
 KEPT_WORDS = 200_000
+# Slices of pairs for one of words.
+WORD_SHARE = 8
 # Share of the pair's relative frequency in a word's probability.
 PAIR_SHARE = 0.7
 # The end of a text, and the start of the next: no word, as words hold no white space.
